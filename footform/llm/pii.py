@@ -29,6 +29,7 @@ DIGIT = re.compile(r"[0-9]")
 
 # Characters that look like ASCII ones.
 HOMOGLYPHS = dict(zip("авеіјкмнорсѕтухАВЕІЈКМНОРСЅТУХαοινΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "abeijkmhopcstyxABEIJKMHOPCSTYXaoivABEZHIKMNOPTYX", strict=True))
+HOMOGLYPHS |= dict(zip("Ьԁɡһӏոԛѡ", "bdghlnqw", strict=True))
 HOMOGLYPHS |= {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}  # full-width forms
 HOMOGLYPHS |= {chr(base + i): str(i) for base in (0x660, 0x6F0, 0x966, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6) for i in range(10)}
 HOMOGLYPHS |= dict.fromkeys("。｡․·", ".") | dict.fromkeys("‐‑‒–−", "-") | {"﹫": "@", " ": " ", " ": " ", " ": " "}
@@ -44,9 +45,11 @@ _NUMBER = rf"(?:{'|'.join(sorted(SPELLED, key=len, reverse=True))})"
 _SEP = r"[\x20,.-]{1,2}"
 _OPEN, _CLOSE = r"\x20{0,3}[(\[{<]\x20{0,3}", r"\x20{0,3}[)\]}>]\x20{0,3}"
 _DOT = r"(?:dot|punkt|punto|point)"
+#: Top-level domains that end an address whose at and dots are plain words.
+_TLD = r"(?:com|org|net|edu|gov|info|biz|io|co|ai|app|dev|eu|uk|us|de|fr|es|it|nl|ch|at|test|example|invalid)"
 RULES = re.compile(
     rf"(?P<glyph>[{re.escape(''.join(HOMOGLYPHS))}])"
-    rf"|(?P<at>{_OPEN}(?:at|arroba|@){_CLOSE}|\x20at\x20(?=[\w-]{{1,63}}(?:\x20dot\x20|{_OPEN}{_DOT}{_CLOSE})\w))"
+    rf"|(?P<at>{_OPEN}(?:at|arroba|@){_CLOSE}|\x20at\x20(?=(?:[\w-]{{1,63}}(?:\x20dot\x20|{_OPEN}{_DOT}{_CLOSE}|\.)){{1,8}}{_TLD}\b)(?=[\w.-]{{1,200}}(?:\x20dot\x20|{_OPEN})))"
     rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE}|\x20dot\x20(?=\w))"
     rf"|(?P<plus>\bplus\x20(?=[0-9]|{_NUMBER}\b))"
     rf"|(?P<digits>\b{_NUMBER}(?:{_SEP}(?:{_NUMBER}|[0-9]+))*+(?!\w))",
@@ -121,7 +124,8 @@ def transduce(text: str) -> tuple[str, list[int], list[tuple[int, int, int]]]:
             put(m.start(), m.end(), "+")
         else:
             parts = list(_PART.finditer(text, m.start(), m.end()))
-            if sum(p[0][0].isalnum() for p in parts) < 2:
+            alone = sum(p[0][0].isalnum() for p in parts) < 2
+            if alone and not (text[max(0, m.start() - 5) : m.start()].lower().endswith(("+", "plus ", "dot ")) or text.startswith(" dot ", m.end())):
                 continue
             for p in parts:
                 if p[0].lower() in SPELLED:
@@ -157,7 +161,7 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     more = []
     for a, kind, b in detect(normal):
         span = source_span(a, b, starts, pieces)
-        if span and not any(k == kind and s < span[1] and span[0] < e for s, k, e in base):
+        if span and not any(k == kind and s < span[1] and span[0] < e and not (span[0] <= s and e <= span[1] and (s, e) != span) for s, k, e in base):
             more.append((span[0], kind, span[1]))
     return base, more
 
