@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, pii, warc
+from . import decontaminate, exact_dedup, pii, rans, warc
 
 QUERIES = {
+    "op1_rans_tokens": rans.op1,
     "op2_decontamination": decontaminate.op2,
     "op6_warc": warc.op6,
     "op9_pii": pii.op9,
