@@ -51,6 +51,8 @@ def exact_duplicates(
     # Level 3: the full hash is a key only where the first two levels left a question.
     sha = F.sha2(F.col("norm"), 256)
     hashed = flagged.select("id", "n_cp", sha.alias("text_sha256"), F.when(F.col("shared"), sha).alias("key"))
+    # Rows with a key of their own spread over the join's partitions; nulls would meet in one.
+    spread = F.coalesce("key", F.concat(F.lit("#"), F.col("text_sha256")))
     best = F.struct(F.col("n_cp"), (-F.col("id")).alias("neg"), F.col("id"))
     groups = (
         hashed.filter("key is not null")
@@ -58,7 +60,7 @@ def exact_duplicates(
         .agg(F.max(best).getField("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .filter("group_size > 1")
     )
-    return hashed.join(groups, "key", "left").select(
+    return hashed.withColumn("key", spread).join(groups, "key", "left").select(
         F.col("id").alias(id_col),
         F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, pii, rans, warc
+from . import decontaminate, exact_dedup, language_id, packing, pii, rans, toxicity, warc
 
 QUERIES = {
     "op1_rans_tokens": rans.op1,
     "op2_decontamination": decontaminate.op2,
+    "op3_language_id": language_id.op3,
+    "op5_packing": packing.op5,
     "op6_warc": warc.op6,
+    "op7_toxicity": toxicity.op7,
     "op9_pii": pii.op9,
     "op10_exact_dedup": exact_dedup.op10,
 }
