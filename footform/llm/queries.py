@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, packing, pii, rans, toxicity, warc
+from . import decontaminate, exact_dedup, language_id, packing, pii, rans, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_rans_tokens": rans.op1,
     "op2_decontamination": decontaminate.op2,
     "op3_language_id": language_id.op3,
+    "op4_suffix_dedup": suffix_dedup.op4,
     "op5_packing": packing.op5,
     "op6_warc": warc.op6,
     "op7_toxicity": toxicity.op7,
