@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, language_id, packing, pii, rans, suffix_dedup, toxicity, warc
+from . import decontaminate, exact_dedup, jaccard_join, language_id, packing, pii, rans, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_rans_tokens": rans.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_packing": packing.op5,
     "op6_warc": warc.op6,
     "op7_toxicity": toxicity.op7,
+    "op8_jaccard_join": jaccard_join.op8,
     "op9_pii": pii.op9,
     "op10_exact_dedup": exact_dedup.op10,
 }
