@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -38,6 +39,20 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: Ids of 8 bytes that a join may broadcast; more of them are shuffled.
+BROADCAST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the ids in the one column of ``gone``; the ids are broadcast only if they are few.
+
+    Rows with a null id stay. All rows of a repeated id go together.
+    """
+    gone = materialise(gone.toDF("__gone").distinct(), "gone-ids")
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["__gone"], "left_anti")
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a URI, for use inside tasks."""
     return pafs.FileSystem.from_uri(uri)

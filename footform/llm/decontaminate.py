@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import materialise, small_batches, without_ids
 
 #: Every byte that is neither a digit, a letter nor part of a non-ASCII character splits words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -136,8 +136,7 @@ def _merge(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """``docs`` without rows that share a window with an item; columns as they were."""
-    bad = contamination(docs, benchmark, width).filter("n_hit > 0").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    return without_ids(docs, contamination(docs, benchmark, width).filter("n_hit > 0").select("doc_id"))
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

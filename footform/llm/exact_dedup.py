@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import without_ids
+
 #: White space that does not count when texts are compared.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -71,8 +73,7 @@ def exact_duplicates(
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_duplicates` does not keep; columns as they were."""
-    gone = exact_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gone"]), "left_anti")
+    return without_ids(docs, exact_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(id_col), id_col)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

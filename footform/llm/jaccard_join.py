@@ -20,12 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import BROADCAST_IDS, materialise, small_batches, without_ids
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 MAX_BITS = 1 << 16
-BROADCAST_IDS = 500_000  # ids of 8 bytes that a join may broadcast; more are shuffled
 
 
 class _Words(dict):
@@ -267,8 +266,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, frequent
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with the document of the smallest id of each component; columns as they were."""
-    gone = near_duplicates(docs, width, percent).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return without_ids(docs, near_duplicates(docs, width, percent).filter("doc_id <> component_id").select("doc_id"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

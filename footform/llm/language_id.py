@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, without_ids
 
 UNKNOWN = "und"
 WINDOW = 128  # bytes that one run of the network covers; each text is cut into whole such windows
@@ -178,6 +178,17 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def with_known_language(docs: DataFrame, least: float = 0.35, **settings) -> DataFrame:
+    """``docs`` without rows that have no language: no letter, or no language as likely as ``least``; columns as they were.
+
+    The network learns from the rows that name a language. If none does, nothing can be rejected and all rows stay.
+    """
+    network = train(docs, **settings)
+    if network is None:
+        return docs
+    return without_ids(docs, languages(docs, network).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id"))
+
+
 def fold(of: int, id_col: str = "doc_id"):
     """crc32 of the id's text, modulo ``of``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % of
