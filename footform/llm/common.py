@@ -43,14 +43,18 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
 BROADCAST_IDS = 500_000
 
 
+def small(df: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """``df`` marked for a broadcast if it has at most ``most`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the ids in the one column of ``gone``; the ids are broadcast only if they are few.
 
     Rows with a null id stay. All rows of a repeated id go together.
     """
     gone = materialise(gone.toDF("__gone").distinct(), "gone-ids")
-    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, docs[id_col] == gone["__gone"], "left_anti")
+    return docs.join(small(gone), docs[id_col] == gone["__gone"], "left_anti")
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, materialise, small_batches, without_ids
+from .common import materialise, small, small_batches, without_ids
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -100,8 +100,7 @@ def prefix(n: int, percent: int) -> int:
 
 def pick(df: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows of ``df`` whose doc is in ``ids(doc)`` (or is not): the ids are broadcast only if they are few."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if few else ids, "doc", how)
+    return df.join(small(ids), "doc", how)
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, materialise, open_fs, small_batches
+from .common import fresh_dir, materialise, open_fs, small, small_batches
 
 LENGTH, GRAM = 400, 160
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 20  # bytes of text that are fingerprinted at once, or one longer text
+BLOCK = 8  # starts that are refined together
+ASKED = 1_000_000  # anchors or blocks of some 20 bytes that a join may broadcast to the texts; more are shuffled
 ENTRY = "fp long, ext long, doc long, pos int, lo int, hi int"
 _POWERS: list[np.ndarray] = []
 
@@ -159,32 +161,52 @@ class IndexFamily:
         for _, path in self.levels:
             held = self._read(path) if held is None else held.unionByName(self._read(path))
         shared = materialise(held.join(seen.distinct(), "fp", "left_semi"), "suffix-shared")
-        kinds = materialise(shared.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "lo", "hi")).alias("one")), "suffix-kinds")
+        kinds = materialise(shared.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "suffix-kinds")
         whole = shared.join(kinds.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
-        # Where an anchor's surroundings differ, one anchor of each kind shows its runs one by one.
+        # Where an anchor's surroundings differ, one anchor of each kind shows its runs, first in blocks of starts.
         unsure = kinds.filter("n = 1").select("fp").distinct()
-        asked = kinds.join(unsure, "fp", "left_semi").groupBy(F.col("one.doc").alias("doc")).agg(F.collect_list(F.struct("fp", "one.lo", "one.hi")).alias("asked"))
-        runs = materialise(self._runs(docs, asked), "suffix-runs")
-        twice = runs.groupBy("fp", "run").count().filter("count > 1").select("fp", "run")
-        single = runs.join(twice, ["fp", "run"], "left_semi").select("doc", F.col("start").alias("lo"), F.col("start").alias("hi"))
-        return whole.unionByName(single)
-
-    def _runs(self, docs: DataFrame, asked: DataFrame) -> DataFrame:
+        asked = kinds.join(unsure, "fp", "left_semi").select("fp", "one.doc", "one.pos", "one.lo", "one.hi")
+        blocks = materialise(self._refined(docs, asked, BLOCK), "suffix-blocks")
+        sorts = materialise(blocks.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "suffix-kinds")
+        some = blocks.join(sorts.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
+        # A block's core lies in all of its runs: only where the core repeats may a single run do.
+        open_cores = sorts.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1").select("fp")
+        asked = sorts.join(open_cores, "fp", "left_semi").select("fp", "one.doc", "one.pos", "one.lo", "one.hi")
+        runs = materialise(self._refined(docs, asked, 1), "suffix-runs")
+        twice = runs.groupBy("fp", "ext").count().filter("count > 1").select("fp", "ext")
+        single = runs.join(twice, ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
+        return whole.unionByName(some).unionByName(single)
+
+    def _refined(self, docs: DataFrame, asked: DataFrame, block: int) -> DataFrame:
+        """``asked(fp, doc, pos, lo, hi)`` cut into blocks of ``block`` starts, counted from ``pos``.
+
+        Gives ``fp`` (of what all runs of a block have in common, and of the asked fp), ``ext`` (of the block's whole
+        surroundings), doc, pos (the block's begin, also where the text has only some of its starts), lo, hi.
+        """
         length = self.length
+        few = asked.limit(ASKED + 1).count() <= ASKED
+        by_doc = asked.groupBy("doc").agg(F.collect_list(F.struct("fp", "pos", "lo", "hi")).alias("asked"))
+        by_doc = F.broadcast(by_doc) if few else by_doc
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    fps = np.array([w["fp"] for w in wanted], np.int64)
-                    counts = np.array([w["hi"] - w["lo"] + 1 for w in wanted])
-                    starts = np.repeat([w["lo"] for w in wanted], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                    prints = mix(Sums(text.encode()).of(starts, starts + length)).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(fps, counts)), pa.array(prints), pa.array([doc] * len(starts), pa.int64()), pa.array(starts, pa.int32())], ["fp", "run", "doc", "start"])
-
-        return docs.select("doc", "text").join(asked, "doc").mapInArrow(run, "fp long, run long, doc long, start int")
-
-
-def without_repeats(docs: DataFrame, batches: int = 4, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+                    fp, anchor, lo, hi = (np.array([w[k] for w in wanted], np.int64) for k in ("fp", "pos", "lo", "hi"))
+                    first, last = (lo - anchor) // block, (hi - anchor) // block
+                    n = last - first + 1
+                    of = np.repeat(np.arange(len(lo)), n)
+                    number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[of]
+                    begin = anchor[of] + number * block
+                    a, b = np.maximum(lo[of], begin), np.minimum(hi[of], begin + block - 1)
+                    sums = Sums(text.encode())
+                    core = mix(sums.of(begin + block - 1, begin + length) + mix(fp[of].view(np.uint64) + number.view(np.uint64)))
+                    whole = mix(sums.of(a, b + length) + mix(((a - begin) << 32 | (b - begin)).astype(np.uint64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), pa.array([doc] * len(a), pa.int64()), *(pa.array(x, pa.int32()) for x in (begin, a, b))], ["fp", "ext", "doc", "pos", "lo", "hi"])
+
+        return docs.select("doc", "text").join(by_doc, "doc").mapInArrow(run, ENTRY)
+
+
+def without_repeats(docs: DataFrame, batches: int = 3, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) for ``docs(doc_id, text)`` with unique ids.
 
     A byte is removed if a run of ``length`` bytes that covers it starts anywhere else too, in the same text or in
@@ -198,7 +220,7 @@ def without_repeats(docs: DataFrame, batches: int = 4, length: int = LENGTH, gra
     key = [F.sha2("text", 256).alias("sha")]
     classes = long.select("doc", *key).groupBy("sha").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = materialise(long.select("doc", *key).join(classes, "sha").select("doc", (F.col("doc") == F.col("first")).alias("stays")), "suffix-copies")
-    unlike = long.join(copies.filter("not stays").select("doc"), "doc", "left_anti")
+    unlike = long.join(small(copies.filter("not stays").select("doc")), "doc", "left_anti")
     family = IndexFamily(spark, length, gram)
     for k in range(batches):
         family.add(unlike.filter(F.pmod(F.xxhash64("doc"), F.lit(batches)) == k))
