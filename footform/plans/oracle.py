@@ -34,6 +34,14 @@ fixtures AS (
   SELECT id AS fixture_id, home_team_id AS team_id, 'home' AS location, home_score AS score FROM fixtures UNION ALL SELECT id, away_team_id, 'away', away_score FROM fixtures
 ), types AS (
   SELECT * FROM (VALUES (42, 'Shots Total', 'shots-total'), (52, 'Goals', 'goals'), (83, 'Redcards', 'redcards'), (84, 'Yellowcards', 'yellowcards'), (85, 'Yellowred Cards', 'yellowred-cards'), (5304, 'Expected Goals (xG)', 'expected-goals')) v(id, name, code)
+), odds_latest AS (
+  SELECT l_orderkey AS fixture_id, CASE WHEN l_linenumber % 2 = 1 THEN CASE WHEN l_linenumber % 4 = 1 THEN 'home' ELSE 'away' END ELSE 'match' END AS side,
+         CASE WHEN l_linenumber % 2 = 1 THEN 1.5 + l_partkey % 4 ELSE 3.5 + l_partkey % 6 END::DOUBLE AS line, max(((100 + 20 * round(l_discount * 100) + 10 * round(l_tax * 100)) / 100)::DOUBLE) AS odds FROM lineitem GROUP BY ALL
+), player_odds AS (
+  SELECT DISTINCT l_orderkey AS fixture_id, l_partkey AS player_id, (0.5 + l_linenumber % 3)::DOUBLE AS line, ((100 + 20 * round(l_discount * 100) + 10 * round(l_tax * 100)) / 100)::DOUBLE AS odds FROM lineitem WHERE l_linestatus = 'F'
+), form AS (
+  SELECT f.id AS fixture_id, f.starting_at, a.team_id, b.team_id AS opponent_id, a.value::DOUBLE AS shots_for, b.value::DOUBLE AS shots_against, (a.value + b.value)::DOUBLE AS match_shots
+  FROM fixture_statistics a JOIN fixture_statistics b ON a.fixture_id = b.fixture_id AND a.team_id <> b.team_id JOIN fixtures f ON f.id = a.fixture_id WHERE a.type_id = 42 AND b.type_id = 42
 ), finished AS (SELECT * FROM fixtures WHERE home_score IS NOT NULL AND away_score IS NOT NULL
 ), sides AS (
   SELECT id AS fixture_id, league_id, season_id, starting_at, home_team_id AS team_id, TRUE AS is_home, home_score AS scored, away_score AS conceded FROM finished
@@ -205,3 +213,92 @@ ORACLES = {
     "teams_playing_on_date": f"SELECT team_id, count(*) AS fixture_count FROM (SELECT home_team_id AS team_id FROM {TODAY} UNION ALL SELECT away_team_id FROM {TODAY}) GROUP BY 1",
     "refresh_team_likely_players": f"SELECT team_id, player_id, confidence::DOUBLE AS confidence, {_ts('starting_at')} AS last_seen_at, fixture_id AS source_fixture_id, {_ts(AS_OF)} AS updated_at FROM {LIKELY}",
 }
+
+
+RATE = lambda value, sizes, least: f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY team_id, line ORDER BY pct DESC, size) AS best FROM (
+    SELECT w.team_id, lines.line, size, avg((v >= lines.line)::INT) AS pct, count(*) AS total, avg(v) AS avg, string_agg(v::INT::VARCHAR, ',' ORDER BY rn) AS seq
+    FROM (SELECT team_id, {value} AS v, row_number() OVER (PARTITION BY team_id ORDER BY starting_at DESC NULLS FIRST, fixture_id DESC) AS rn FROM form) w
+    CROSS JOIN (SELECT DISTINCT line FROM (SELECT line FROM odds_latest UNION ALL SELECT line FROM player_odds)) lines CROSS JOIN (SELECT unnest({list(sizes)}) AS size) s WHERE rn <= size AND v IS NOT NULL GROUP BY ALL
+    HAVING count(*) >= {least})) WHERE best = 1)"""
+NEAR = f"(SELECT * FROM fixtures WHERE starting_at BETWEEN {AS_OF} - INTERVAL 60 DAY AND {AS_OF} + INTERVAL 14 DAY)"
+
+
+def shot_bets(side: str, own: str, other: str, own_value: str, other_value: str, market: str) -> str:
+    return f"""SELECT o.fixture_id, '{market}' AS market, o.side, o.line, round(o.odds, 6) AS odds, f.{own} AS team_id, f.{other} AS opponent_id, round(a.pct, 6) AS team_pct, round(b.pct, 6) AS opp_pct, a.total AS team_samples, b.total AS opp_samples,
+      a.size AS team_sample_size, b.size AS opp_sample_size, a.seq AS team_seq, b.seq AS opp_seq
+      FROM odds_latest o JOIN {NEAR} f ON f.id = o.fixture_id JOIN {RATE(own_value, (10, 20), 3)} a ON a.team_id = f.{own} AND a.line = o.line JOIN {RATE(other_value, (10, 20), 3)} b ON b.team_id = f.{other} AND b.line = o.line
+      WHERE o.side = '{side}' AND least(a.pct, b.pct) >= 0.5"""
+
+
+FORMS = f"""(SELECT player_id, max(team_id) FILTER (WHERE rn = 1) AS team_id, count(*) AS n, list(v ORDER BY rn) AS shots FROM (SELECT w.*, s.v FROM {last('apps', 'player_id', 20)} w
+    LEFT JOIN (SELECT fixture_id, player_id, max(value) AS v FROM fixture_player_statistics WHERE type_id = 42 GROUP BY 1, 2) s ON s.fixture_id = w.fixture_id AND s.player_id = w.player_id) GROUP BY player_id)"""
+KEPT = "(SELECT * EXCLUDE (rank) FROM (SELECT *, row_number() OVER (PARTITION BY league_id ORDER BY is_current DESC, end_date DESC, id DESC) AS rank FROM seasons) WHERE rank <= 2)"
+EXPORTED = f"(SELECT * FROM fixtures WHERE season_id IN (SELECT id FROM {KEPT}) AND ((home_score IS NOT NULL AND away_score IS NOT NULL) OR starting_at BETWEEN {AS_OF} AND {AS_OF} + INTERVAL 14 DAY))"
+WINDOW = "(SELECT * FROM fixtures WHERE starting_at >= TIMESTAMP '2001-07-01' AND starting_at < TIMESTAMP '2001-07-16')"
+OF_TEAM = "(SELECT *, row_number() OVER (ORDER BY starting_at DESC, fixture_id DESC) AS rn FROM sides WHERE team_id = 5)"
+
+ORACLES |= {
+    "stat_type_usage": """SELECT t.id AS type_id, t.code AS key, t.name, t.id IN (SELECT type_id FROM fixture_player_statistics) OR t.code = 'expected-goals' AS is_player, t.id IN (SELECT type_id FROM fixture_statistics) AS is_team FROM types t
+        WHERE t.id IN (SELECT type_id FROM fixture_player_statistics UNION SELECT type_id FROM fixture_statistics) OR t.code LIKE 'expected-goal%'""",
+    "stat_type_counts_by_league": f"""SELECT coalesce(a.type_id, b.type_id) AS type_id, player_rows, player_players_count, team_rows, team_teams_count
+        FROM (SELECT type_id, count(*) AS player_rows, count(DISTINCT player_id) AS player_players_count FROM fixture_player_statistics JOIN finished ON id = fixture_id WHERE {L0} GROUP BY 1) a
+        FULL JOIN (SELECT type_id, count(*) AS team_rows, count(DISTINCT team_id) AS team_teams_count FROM fixture_statistics JOIN finished ON id = fixture_id WHERE {L0} GROUP BY 1) b ON a.type_id = b.type_id""",
+    "odds_target_fixtures": f"SELECT id, league_id, {_ts('starting_at')} AS starting_at, home_team_id, away_team_id FROM {WINDOW} WHERE league_id IN (0, 1)",
+    "fixture_odds": "SELECT fixture_id, bookmaker_id, market_key, selection_key, participant_type, participant_id, round(line::DOUBLE, 6) AS line, round(price_decimal::DOUBLE, 6) AS price_decimal FROM odds_outcomes WHERE bookmaker_id = 2 AND fixture_id = 7",
+    "player_odds_next_days": f"""SELECT fixture_id, {_ts('starting_at')} AS starting_at, participant_id AS player_id, selection_key, round(line::DOUBLE, 6) AS line, round(price_decimal::DOUBLE, 6) AS price_decimal FROM odds_outcomes JOIN fixtures f ON f.id = fixture_id
+        WHERE {L0} AND starting_at >= TIMESTAMP '2001-07-01' AND starting_at < TIMESTAMP '2001-07-31' AND bookmaker_id = 2 AND market_key = 'player_shots' AND participant_id IS NOT NULL""",
+    "filter_players_by_odds": f"""SELECT player_id, fixture_id, {_ts('starting_at')} AS starting_at, round(price_decimal::DOUBLE, 6) AS price_decimal, round(line::DOUBLE, 6) AS line, market_key, selection_key, bookmaker_id FROM (
+        SELECT o.*, participant_id AS player_id, starting_at, row_number() OVER (PARTITION BY participant_id ORDER BY price_decimal DESC, fixture_id DESC, line, selection_key, bookmaker_id) AS best FROM odds_outcomes o JOIN fixtures f ON f.id = fixture_id
+        WHERE {L0} AND {london('starting_at')} >= DATE '2001-05-01' AND {london('starting_at')} < DATE '2001-07-30' AND market_key = 'player_shots' AND price_decimal BETWEEN 1.2 AND 2.5 AND participant_id IN (SELECT id FROM players WHERE short_name < 'Brand#3')) WHERE best = 1""",
+    "odds_coverage": f"""SELECT *, distinct_sot_05_players >= 20 AND coalesce(mapped_pct_player_outcomes, 0) >= 80 AS passed FROM (SELECT count(DISTINCT CASE WHEN market_key = 'player_shots_on_target' AND line = 0.5 THEN participant_id END) AS distinct_sot_05_players,
+        round(100.0 * count(participant_id) / nullif(count(*), 0), 2) AS mapped_pct_player_outcomes FROM odds_outcomes WHERE fixture_id IN (SELECT id FROM fixtures WHERE {L0} AND {london('starting_at')} >= DATE '2001-07-01' AND {london('starting_at')} < DATE '2001-07-15'))""",
+    "odds_latest": """SELECT fixture_id, market_key, selection_key, round(line::DOUBLE, 6) AS line, round(price::DOUBLE, 6) AS price_decimal FROM (
+        SELECT l_orderkey AS fixture_id, CASE WHEN l_linestatus = 'F' THEN 'player_shots' ELSE 'player_shots_on_target' END AS market_key, trim(regexp_replace(lower(p_name || ' ' || p_brand || ' over ' || (0.5 + l_linenumber % 3)::DECIMAL(3,1)), '[^a-z0-9]+', '_', 'g'), '_') AS selection_key,
+          0.5 + l_linenumber % 3 AS line, round(1 + l_discount, 2) AS price, row_number() OVER (PARTITION BY l_orderkey, l_linestatus, p_name, p_brand, l_linenumber % 3 ORDER BY l_shipdate DESC, round(1 + l_discount, 2) DESC) AS best FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE best = 1""",
+    "team_shot_form": f"SELECT fixture_id, {_ts('starting_at')} AS starting_at, team_id, opponent_id, shots_for, shots_against, match_shots FROM form",
+    "shot_over_odds": "SELECT fixture_id, side, line, round(odds, 6) AS odds FROM odds_latest",
+    "team_shot_value_bets": " UNION ALL ".join([shot_bets("home", "home_team_id", "away_team_id", "shots_for", "shots_against", "team shots"), shot_bets("away", "away_team_id", "home_team_id", "shots_for", "shots_against", "team shots"), shot_bets("match", "home_team_id", "away_team_id", "match_shots", "match_shots", "match shots")]),
+    "player_forms": f"SELECT player_id, team_id, size AS sample_size, array_to_string(list_transform(shots[1:size], lambda v: coalesce(v::VARCHAR, 'null')), ',') AS shots FROM {FORMS} CROSS JOIN (SELECT unnest([5, 10]) AS size) WHERE n >= size",
+    "shots_hit_rates": f"""SELECT player_id, team_id, size AS sample_size, sample, hits, round(hits / sample, 6) AS rate, array_to_string(list_transform(shots[1:sample], lambda v: coalesce(v, 0)), ',') AS seq FROM (
+        SELECT *, len(list_filter(shots[1:sample], lambda v: v >= 1)) AS hits FROM {FORMS} CROSS JOIN (SELECT unnest([11, 14, 15, 20]) AS size) CROSS JOIN (VALUES (11, 9), (14, 12), (15, 13), (20, 16)) v(sample, required) WHERE n >= size AND size >= sample) WHERE hits >= required""",
+    "player_shot_value_bets": f"""SELECT o.fixture_id, o.player_id, l.latest_team_id AS team_id, opponent_id, o.line, round(o.odds, 6) AS odds, round(p.pct, 6) AS player_pct, round(r.pct, 6) AS opp_pct, p.size AS player_sample, r.size AS opp_sample_size, p.seq AS player_seq, r.seq AS opp_seq
+        FROM player_odds o JOIN (SELECT * FROM fixtures WHERE starting_at BETWEEN {AS_OF} - INTERVAL 700 DAY AND {AS_OF} + INTERVAL 14 DAY) f ON f.id = o.fixture_id JOIN {latest(0)} l ON l.player_id = o.player_id AND l.latest_team_id IN (home_team_id, away_team_id)
+        JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY pct DESC, size) AS best FROM (SELECT player_id, size, len(list_filter(known, lambda v: v >= 1)) / len(known) AS pct, array_to_string(known, ',') AS seq FROM (
+          SELECT player_id, size, list_filter(shots[1:size], lambda v: v IS NOT NULL) AS known FROM {FORMS} CROSS JOIN (SELECT unnest([5, 10]) AS size) WHERE n >= size) WHERE len(known) > 0)) WHERE best = 1 AND pct >= 0.8) p ON p.player_id = o.player_id
+        JOIN (SELECT team_id AS opponent_id, * EXCLUDE (team_id) FROM {RATE('shots_against', (5, 10), 1)}) r ON r.opponent_id = CASE WHEN l.latest_team_id = home_team_id THEN away_team_id ELSE home_team_id END AND r.line = o.line WHERE o.odds >= 1.25 AND r.pct >= 0.7""",
+    "outside_box_sot": f"""SELECT player_id, p.name AS player, team_id, t.name AS team, hit_games, samples, seq FROM (
+        SELECT player_id, team_id, count(*) FILTER (WHERE value >= 1) AS hit_games, count(*) AS samples, string_agg(value::INT::VARCHAR, '-' ORDER BY rn) AS seq FROM (
+          SELECT s.*, fp.team_id, row_number() OVER (PARTITION BY s.player_id ORDER BY f.starting_at DESC NULLS LAST, s.fixture_id DESC, value DESC) AS rn FROM fixture_player_statistics s JOIN fixture_players fp ON fp.fixture_id = s.fixture_id AND fp.player_id = s.player_id JOIN fixtures f ON f.id = s.fixture_id WHERE type_id = 42)
+        WHERE rn <= 10 GROUP BY 1, 2) a JOIN players p ON p.id = player_id JOIN teams t ON t.id = team_id ORDER BY hit_games DESC, samples DESC, player_id, team_id LIMIT 50""",
+    "team_forms": f"SELECT team_id, count(*) AS games, round(avg(shots_for), 6) AS shots_for, round(avg(shots_against), 6) AS shots_against, string_agg(match_shots::INT::VARCHAR, ',' ORDER BY rn) AS match_shots FROM {last('form', 'team_id', 10)} GROUP BY 1",
+    "player_availability": f"""SELECT l.player_id, latest_team_id AS team_id, team_games, coalesce(n, 0) AS appearances, round(coalesce(n, 0) / team_games, 6) AS availability FROM {latest(0)} l JOIN (SELECT team_id, count(*) AS team_games FROM {last('sides', 'team_id', 5, L0)} GROUP BY 1) g ON g.team_id = latest_team_id
+        LEFT JOIN (SELECT fp.player_id, fp.team_id, count(*) AS n FROM fixture_players fp JOIN {last('sides', 'team_id', 5, L0)} w ON w.fixture_id = fp.fixture_id AND w.team_id = fp.team_id GROUP BY 1, 2) s ON s.player_id = l.player_id AND s.team_id = latest_team_id""",
+    "freshness_report": f"""SELECT count(*) AS fixtures_total, count(*) FILTER (WHERE home_score IS NOT NULL) AS fixtures_scored, {_ts('max(starting_at) FILTER (WHERE home_score IS NOT NULL)')} AS max_scored_at, count(*) FILTER (WHERE home_score IS NOT NULL) AS participants_scored,
+        {_ts('max(starting_at) FILTER (WHERE home_score IS NOT NULL)')} AS max_participants_scored_at, count(*) FILTER (WHERE home_score IS NOT NULL AND {L0} AND starting_at >= TIMESTAMP '2001-01-01') AS league_scored_since,
+        count(*) FILTER (WHERE home_score IS NOT NULL AND starting_at >= TIMESTAMP '2001-01-01' AND 5 IN (home_team_id, away_team_id)) AS team_scored_since, max(starting_at) FILTER (WHERE home_score IS NOT NULL) < {AS_OF} - INTERVAL 30 DAY AS stale FROM fixtures""",
+    "player_stat_staleness": f"""SELECT {_ts('a')} AS max_fixture_at, {_ts('b')} AS max_stat_at, CASE WHEN a IS NULL OR b IS NULL THEN 'skipped' WHEN b < TIMESTAMP '2000-01-01' THEN 'missing' WHEN a > b + INTERVAL 7 DAY THEN 'stale' ELSE 'ok' END AS status
+        FROM (SELECT (SELECT max(starting_at) FROM finished WHERE league_id IN (0, 1)) AS a, (SELECT max(starting_at) FROM fixtures f JOIN fixture_player_statistics s ON s.fixture_id = f.id WHERE player_id = 7 AND type_id = 42 AND league_id IN (0, 1)) AS b)""",
+    "team_results_sequence": f"""SELECT 5 AS team_id, string_agg(CASE WHEN scored > conceded THEN 'W ' WHEN scored < conceded THEN 'L ' ELSE 'D ' END || CASE WHEN is_home THEN scored || '-' || conceded ELSE conceded || '-' || scored END, ',' ORDER BY rn) AS results FROM {OF_TEAM} WHERE rn <= 5""",
+    "team_stat_sequence": f"SELECT 5 AS team_id, string_agg(coalesce(v::VARCHAR, 'n/a'), ',' ORDER BY rn) AS values FROM {OF_TEAM} w LEFT JOIN (SELECT fixture_id, max(value) AS v FROM fixture_statistics WHERE team_id = 5 AND type_id = 84 GROUP BY 1) s ON s.fixture_id = w.fixture_id WHERE rn <= 5",
+    "player_stat_sequence": """SELECT 7 AS player_id, string_agg(coalesce(v::VARCHAR, 'n/a'), ',' ORDER BY rn) AS values, string_agg(is_starter::VARCHAR, ',' ORDER BY rn) AS started FROM (SELECT fp.*, row_number() OVER (ORDER BY starting_at DESC, fixture_id DESC) AS rn FROM fixture_players fp JOIN fixtures f ON f.id = fixture_id WHERE player_id = 7) w
+        LEFT JOIN (SELECT fixture_id, max(value) AS v FROM fixture_player_statistics WHERE player_id = 7 AND type_id = 42 GROUP BY 1) s ON s.fixture_id = w.fixture_id WHERE rn <= 10""",
+    "find_player": "SELECT player_id, p.name AS player_name, team_id, fixture_id FROM fixture_players JOIN players p ON p.id = player_id WHERE lower(p.name) LIKE '%brand#1%' ORDER BY fixture_id DESC, player_id LIMIT 1",
+    "current_season": f"SELECT id, league_id, is_current, {_ts('start_date')} AS start_date, {_ts('end_date')} AS end_date FROM seasons WHERE {L0} ORDER BY is_current DESC, end_date DESC LIMIT 1",
+    "reconcile_scores": """SELECT id, home_score, away_score, stored_home, stored_away, CASE WHEN found THEN 'mismatch' ELSE 'missing' END AS problem FROM (SELECT * FROM finished ORDER BY starting_at DESC, id DESC LIMIT 500) a
+        LEFT JOIN (SELECT id, home_score + (id % 3 = 0)::INT AS stored_home, away_score AS stored_away, TRUE AS found FROM fixtures WHERE id % 5 <> 0) b USING (id) WHERE home_score IS DISTINCT FROM stored_home OR away_score IS DISTINCT FROM stored_away""",
+    "keep_seasons": f"SELECT id, league_id, is_current, {_ts('start_date')} AS start_date, {_ts('end_date')} AS end_date FROM {KEPT}",
+    "season_window": "SELECT id, strftime(start_date, '%Y-%m-%d') AS first_day, strftime(CASE WHEN is_current THEN least(end_date::DATE, DATE '2001-08-03') ELSE end_date::DATE END, '%Y-%m-%d') AS last_day FROM seasons",
+    "fixtures_in_window": f"SELECT id, league_id, {_ts('starting_at')} AS starting_at FROM fixtures WHERE starting_at >= TIMESTAMP '2001-04-04' AND starting_at < TIMESTAMP '2001-08-04' AND league_id IN (0, 1)",
+    "history_fixtures": f"SELECT id, season_id FROM fixtures WHERE season_id IN (SELECT id FROM {KEPT} WHERE league_id IN (0, 1))",
+    "export_subset": f"""SELECT 'seasons' AS table_name, count(*) AS rows FROM {KEPT} UNION ALL SELECT 'fixtures', count(*) FROM {EXPORTED} UNION ALL SELECT 'teams', count(*) FROM (SELECT home_team_id FROM {EXPORTED} UNION SELECT away_team_id FROM {EXPORTED})
+        UNION ALL SELECT 'players', count(*) FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_orderkey IN (SELECT id FROM {EXPORTED})) UNION ALL SELECT 'fixture_players', count(*) FROM fixture_players WHERE fixture_id IN (SELECT id FROM {EXPORTED})
+        UNION ALL SELECT 'fixture_player_statistics', count(*) FROM fixture_player_statistics WHERE fixture_id IN (SELECT id FROM {EXPORTED}) UNION ALL SELECT 'fixture_statistics', count(*) FROM fixture_statistics WHERE fixture_id IN (SELECT id FROM {EXPORTED})
+        UNION ALL SELECT 'odds_outcomes', count(*) FROM odds_outcomes WHERE fixture_id IN (SELECT id FROM {EXPORTED})""",
+    "unknown_team_fixtures": "SELECT id FROM fixtures WHERE home_team_id >= 20 OR away_team_id >= 20",
+    "dedupe_team_stats": "SELECT fixture_id, team_id, type_id, max(value) AS value FROM fixture_statistics GROUP BY ALL",
+    "prune_fixtures": f"SELECT id, season_id FROM fixtures WHERE season_id IN (SELECT id FROM {KEPT}) OR season_id IS NULL",
+    "export_odds_window": f"SELECT fixture_id, bookmaker_id, market_key, selection_key, round(line::DOUBLE, 6) AS line, round(price_decimal::DOUBLE, 6) AS price_decimal FROM odds_outcomes WHERE fixture_id IN (SELECT id FROM {WINDOW})",
+    "odds_participant_patch": f"SELECT fixture_id, bookmaker_id, market_key, selection_key, round(line::DOUBLE, 6) AS line, participant_id, participant_type FROM odds_outcomes WHERE participant_id IS NOT NULL AND fixture_id IN (SELECT id FROM {WINDOW})",
+    "merge_by_key": "SELECT id, CASE WHEN id % 2 = 0 THEN upper(name) ELSE name END AS name, short_code FROM teams",
+    "upsert_outcomes": """SELECT fixture_id, selection_key, bookmaker_id, market_key, round(line::DOUBLE, 6) AS line, participant_id, round((price_decimal + CASE WHEN fixture_id % 3 = 0 THEN 1 ELSE 0 END)::DOUBLE, 6) AS price_decimal FROM (SELECT fixture_id, bookmaker_id, market_key, selection_key, line, max(participant_id) AS participant_id, max(price_decimal) AS price_decimal FROM odds_outcomes GROUP BY ALL)""",
+}

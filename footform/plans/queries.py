@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import players, teams
+from ..operators import catalog, odds, players, quality, teams, value
+from ..sources import ingest, merge, sinks
 from ..sources.proxy import tables
 from .oracle import ORACLES, sql
 
@@ -98,4 +99,98 @@ QUERIES = {
     "refresh_team_likely_players": _on(teams.refresh_team_likely_players, league=0, recent_days=60, last=3, as_of=AS_OF),
 }
 
+OFFER = ["fixture_id", "bookmaker_id", "market_key", "selection_key", "line"]
+
+
+def _derived(build: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: flat(build(tables(spark, sf_dir)))
+
+
+def _pulled(t) -> DataFrame:
+    return odds.odds_latest(odds.parsed_rows(t.odds_snapshots))
+
+
+def _shot_bets(t) -> DataFrame:
+    bets = value.team_shot_value_bets(t, as_of=AS_OF, min_pct=0.5, min_samples=3, lookback=60, limit=None)
+    return bets.select("fixture_id", "market", "side", "line", "odds", "team_id", "opponent_id", "team_pct", "opp_pct", "team_samples", "opp_samples", "team_sample_size", "opp_sample_size", "team_seq", "opp_seq")
+
+
+def _player_bets(t) -> DataFrame:
+    current = t.players.join(players.latest_team(t, 0).select(F.col("player_id").alias("id"), F.col("team_id").alias("current_team_id")), "id", "left")
+    bets = value.player_shot_value_bets(replace(t, players=current, player_forms=value.player_forms(t)), as_of=AS_OF, lookback=700, limit=None)
+    return bets.select("fixture_id", "player_id", "team_id", "opponent_id", "line", "odds", "player_pct", "opp_pct", "player_sample", "opp_sample_size", "player_seq", "opp_seq")
+
+
+def _forms(t) -> DataFrame:
+    return value.player_forms(t).select("player_id", "team_id", "sample_size", F.transform("raw_fixtures", lambda x: x["shots"]).alias("shots"))
+
+
+def _export(t) -> DataFrame:
+    out = sinks.export_subset(t, as_of=AS_OF)
+    return sinks.export_counts(replace(out, fixture_participants=None, types=None, odds_latest=None, player_odds=None, team_stats=None, player_stats=None, odds_snapshots=None))
+
+
+def _reconcile(t) -> DataFrame:
+    stored = t.fixtures.filter("id % 5 <> 0").withColumn("home_score", F.col("home_score") + (F.col("id") % 3 == 0).cast("int"))
+    return quality.reconcile_scores(t.fixtures, stored, n=500)
+
+
+def _upsert(t) -> DataFrame:
+    current = t.odds_outcomes.groupBy(*OFFER).agg(F.max("participant_type").alias("participant_type"), F.max("participant_id").alias("participant_id"), F.max("price_decimal").alias("price_decimal"))
+    new = current.filter("fixture_id % 3 = 0").withColumn("participant_id", F.lit(None).cast("long")).withColumn("price_decimal", (F.col("price_decimal") + 1).cast("decimal(10,4)"))
+    return odds.upsert_outcomes(current, new).select(*OFFER, "participant_id", "price_decimal")
+
+
+def _merged(t) -> DataFrame:
+    teams = t.teams.select("id", "name", "short_code")
+    return merge.merge_by_key(teams, teams.filter("id % 2 = 0").select("id", F.upper("name").alias("name")), ["id"])
+
+
+def _days(df: DataFrame) -> DataFrame:
+    return df.select("id", F.date_format("first_day", "yyyy-MM-dd").alias("first_day"), F.date_format("last_day", "yyyy-MM-dd").alias("last_day"))
+
+
+SINCE = "2001-01-01 00:00:00"
+QUERIES |= {
+    "stat_type_usage": _on(catalog.stat_type_usage),
+    "stat_type_counts_by_league": _on(catalog.stat_type_counts_by_league, league=0),
+    "odds_target_fixtures": _on(odds.odds_target_fixtures, leagues=[0, 1], as_of="2001-07-01", days=14),
+    "fixture_odds": _on(odds.fixture_odds, fixture=7),
+    "player_odds_next_days": _on(odds.player_odds_next_days, league=0, days=30, market="player_shots", as_of="2001-07-01 00:00:00"),
+    "filter_players_by_odds": _derived(lambda t: odds.filter_players_by_odds(t, t.players.filter("short_name < 'Brand#3'").select(F.col("id").alias("player_id")), on="2001-05-01", league=0, market="player_shots", least=1.2, most=2.5, days=90)),
+    "odds_coverage": _on(odds.odds_coverage, as_of="2001-07-01 00:00:00", league=0),
+    "odds_latest": _derived(lambda t: _pulled(t).select("fixture_id", "market_key", "selection_key", "line", "price_decimal")),
+    "parse_outcomes": _derived(lambda t: odds.parse_outcomes(t, t.odds_snapshots, t.fixtures).select("fixture_id", "market_key", "selection_key", "participant_type", "participant_id", "line", "price_decimal")),
+    "unmatched_player_odds": _derived(lambda t: odds.unmatched_player_odds(odds.parse_outcomes(replace(t, players=t.players.filter("id % 4 <> 0")), t.odds_snapshots, t.fixtures))),
+    "upsert_outcomes": _derived(_upsert),
+    "team_shot_form": _on(value.team_shot_form),
+    "shot_over_odds": _derived(lambda t: value.shot_over_odds(t.odds_latest)),
+    "team_shot_value_bets": _derived(_shot_bets),
+    "player_forms": _derived(_forms),
+    "shots_hit_rates": _derived(lambda t: value.shots_hit_rates(value.player_forms(t, sizes=(11, 14, 15, 20)))),
+    "player_shot_value_bets": _derived(_player_bets),
+    "outside_box_sot": _on(value.outside_box_sot, words=("shots",)),
+    "team_forms": _on(value.team_forms),
+    "player_availability": _on(value.player_availability, league=0),
+    "freshness_report": _on(quality.freshness_report, as_of=AS_OF, league=0, team=5, since=SINCE),
+    "player_stat_staleness": _on(quality.player_stat_staleness, player=7, type_id=42, leagues=[0, 1], cutoff="2000-01-01 00:00:00"),
+    "team_results_sequence": _on(quality.team_results_sequence, team=5),
+    "team_stat_sequence": _on(quality.team_stat_sequence, team=5),
+    "player_stat_sequence": _on(quality.player_stat_sequence, player=7),
+    "find_player": _on(quality.find_player, name="Brand#1"),
+    "current_season": _on(quality.current_season, league=0),
+    "reconcile_scores": _derived(_reconcile),
+    "keep_seasons": _derived(lambda t: ingest.keep_seasons(t.seasons)),
+    "season_window": _derived(lambda t: _days(ingest.season_window(t.seasons, AS_OF))),
+    "fixtures_in_window": _derived(lambda t: ingest.recent_window(t, AS_OF, [0, 1]).select("id", "league_id", "starting_at")),
+    "history_fixtures": _derived(lambda t: ingest.history_fixtures(t, [0, 1]).select("id", "season_id")),
+    "export_subset": _derived(_export),
+    "unknown_team_fixtures": _derived(lambda t: sinks.unknown_team_fixtures(t.fixtures, t.teams.filter("id < 20"))),
+    "dedupe_team_stats": _on(sinks.dedupe_team_stats),
+    "prune_fixtures": _derived(lambda t: sinks.prune_fixtures(t, ingest.keep_seasons(t.seasons)).select("id", "season_id")),
+    "export_odds_window": _derived(lambda t: sinks.export_odds_window(t, as_of="2001-07-01", days=14)["odds_outcomes"].select(*OFFER, "price_decimal")),
+    "odds_participant_patch": _on(sinks.odds_participant_patch, as_of="2001-07-01", days=14),
+    "merge_by_key": _derived(_merged),
+}
+
 ORACLE_SQL = {name: sql(body) for name, body in ORACLES.items()}

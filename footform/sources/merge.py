@@ -12,17 +12,12 @@ def merge_by_key(current: DataFrame, updates: DataFrame, keys: list[str]) -> Dat
 
     ``updates`` must hold a key once. Null keys are keys like any other.
     """
-    fresh = updates.withColumn("__new", F.lit(True))
-    on = [current[k].eqNullSafe(fresh[k]) for k in keys]
-    both = current.withColumn("__old", F.lit(True)).join(fresh, on, "full_outer")
-    columns = []
-    for c in current.columns:
-        if c not in updates.columns:
-            columns.append(current[c])
-        else:
-            columns.append(F.when(fresh["__new"], fresh[c]).otherwise(current[c]).alias(c))
-    columns += [fresh[c] for c in updates.columns if c not in current.columns]
-    return both.select(*columns)
+    fresh = updates.toDF(*(f"__{c}" for c in updates.columns)).withColumn("__new", F.lit(True))
+    on = [current[k].eqNullSafe(fresh[f"__{k}"]) for k in keys]
+    both = current.join(fresh, on, "full_outer")
+    value = lambda c: F.when(F.col("__new"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c)
+    columns = [value(c) if c in updates.columns else F.col(c) for c in current.columns]
+    return both.select(*columns, *(F.col(f"__{c}").alias(c) for c in updates.columns if c not in current.columns))
 
 
 def latest_wins(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -64,6 +64,13 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         F.make_timestamp(F.col("season_id") % 10000, F.lit(12), F.lit(31), F.lit(0), F.lit(0), F.lit(0)).alias("end_date"),
     )
     both = F.explode(F.array(F.struct(F.col("home_team_id").alias("team_id"), F.lit("home").alias("location"), F.col("home_score").alias("score")), F.struct(F.col("away_team_id").alias("team_id"), F.lit("away").alias("location"), F.col("away_score").alias("score")))).alias("s")
+    dec = price.cast("double")
+    over = F.when(odd("l_linenumber"), 1.5 + F.col("l_partkey") % 4).otherwise(3.5 + F.col("l_partkey") % 6)
+    market = F.when(odd("l_linenumber"), 285).otherwise(292)
+    payload = F.to_json(F.struct(F.concat(F.lit("Over "), over.cast("string")).alias("total"), F.when(F.col("l_linenumber") % 4 == 1, "1").otherwise("2").alias("label")))
+    latest = line.select(F.col("l_orderkey").alias("fixture_id"), F.lit(2).alias("bookmaker_id"), market.alias("market_id"), F.lit("Over").alias("selection"), F.lit(None).cast("string").alias("line"), dec.alias("decimal_odds"), payload.alias("raw"))
+    shots_json = F.to_json(F.array(F.struct(F.struct(F.lit("SHOTS_TOTAL").alias("developer_name")).alias("type"), F.struct(F.col("value").alias("value")).alias("data"))))
+    details = F.to_json(F.array(F.struct(F.col("type_id"), F.struct(F.col("value").alias("value")).alias("data"))))
     names = [(42, "Shots Total", "shots-total"), (52, "Goals", "goals"), (83, "Redcards", "redcards"), (84, "Yellowcards", "yellowcards"), (85, "Yellowred Cards", "yellowred-cards"), (5304, "Expected Goals (xG)", "expected-goals")]
     return Tables(
         fixtures=fx,
@@ -76,4 +83,21 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         seasons=seasons,
         types=spark.createDataFrame(names, "id int, name string, code string"),
         odds_outcomes=offers,
+        odds_latest=latest,
+        player_odds=line.filter("l_linestatus = 'F'").select(F.col("l_orderkey").alias("fixture_id"), F.col("l_partkey").alias("player_id"), F.lit(268).alias("market_id"), (0.5 + F.col("l_linenumber") % 3).alias("line"), dec.alias("decimal_odds")).distinct(),
+        team_stats=team_facts.filter("type_id = 42").select("fixture_id", "team_id", shots_json.alias("stats")),
+        player_stats=player_facts.select("fixture_id", "player_id", details.alias("stats")).join(lineups.select("fixture_id", "player_id", "team_id"), ["fixture_id", "player_id"]),
+        odds_snapshots=snapshots(line, part),
+    )
+
+
+def snapshots(line: DataFrame, part: DataFrame) -> DataFrame:
+    """Odds payloads, one for each order and ship date, with every line item as an offer on its player."""
+    offer = F.struct(
+        F.when(F.col("l_linestatus") == "F", 268).otherwise(267).alias("market_id"), F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.concat(F.lit("Over "), (0.5 + F.col("l_linenumber") % 3).cast("string")).alias("label"),
+        F.round(1 + F.col("l_discount"), 2).cast("string").alias("value"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+    )
+    rows = line.join(part, line["l_partkey"] == part["p_partkey"]).groupBy("l_orderkey", "l_shipdate").agg(F.array_sort(F.collect_list(offer)).alias("data"))
+    return rows.select(
+        F.xxhash64("l_orderkey", "l_shipdate").alias("id"), F.col("l_orderkey").alias("fixture_id"), F.lit(2).alias("bookmaker_id"), F.col("l_shipdate").cast("timestamp").alias("pulled_at"), F.to_json(F.struct("data")).alias("raw")
     )
