@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Position codes and their abbreviations.
 POSITIONS = {
@@ -70,7 +71,7 @@ def slug(c: Column) -> Column:
     return F.when(text == "", "unknown").otherwise(text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_name(names: pd.Series) -> pd.Series:
     """Names without accents, in lower-case letters and digits only; null stays null."""
 
