@@ -25,6 +25,7 @@ from .common import materialise, small, small_batches, without_ids
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 MAX_BITS = 1 << 16
+GROUP_ROWS = 4000  # members of regions that are joined in one group
 
 
 class _Words(dict):
@@ -202,22 +203,36 @@ def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
     known = lambda df, col, out: df.join(labels.select(F.col("doc").alias(col), F.col("component").alias(out)), col, "left").withColumn(out, F.coalesce(out, F.col(col)))
     held = known(known(regions.filter("members > 2"), "doc", "own"), "pivot", "main")
     mixed = held.groupBy("key").agg(F.sum((F.col("own") != F.col("main")).cast("long")).alias("out")).filter("out > 0").select("key")
-    held = materialise(held.join(mixed, "key", "left_semi").filter("doc <> pivot").select("key", "doc", "own", "main", "members"), "jaccard-mixed")
+    held = materialise(held.join(mixed, "key", "left_semi").filter("doc <> pivot").select("key", "pivot", "doc", "own", "main", "members"), "jaccard-mixed")
     blocks = F.ceil(F.col("members") / block).cast("long")
+    groups = 1 + held.count() // GROUP_ROWS
     full = held.join(sets.select("doc", "n", "bitmap"), "doc")
-    right = full.withColumn("block", F.pmod(F.xxhash64("doc"), blocks)).select("key", "block", "doc", "own", "n", "bitmap")
-    left = full.filter("own <> main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).select("key", "block", "doc", "own", "n", "bitmap").toDF("key_", "block_", "doc_", "own_", "n_", "bitmap_")
+    # Regions of one pivot go to one group, as they hold the same pairs; a large region's blocks go to different ones.
+    group = F.pmod(F.xxhash64("pivot", "block"), F.lit(groups)).alias("group")
+    columns = ["key", "block", "doc", "own", "n", "bitmap"]
+    right = full.withColumn("block", F.pmod(F.xxhash64("doc"), blocks)).select(group, *columns)
+    left = full.filter("own <> main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).select(group, *columns)
+    left = left.toDF(*(f"{c}_" for c in left.columns))
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        facts = {d: (o, n, m) for df, e in ((x, "_"), (y, "")) for d, o, n, m in zip(df[f"doc{e}"], df[f"own{e}"], df[f"n{e}"], df[f"bitmap{e}"], strict=True)}
+        members = {k: g.to_numpy(np.int64) for k, g in y.groupby(["key", "block"])["doc"]}
+        partners: dict[int, list[np.ndarray]] = {}
+        for k, g in x.groupby(["key_", "block_"])["doc_"]:
+            if k in members:
+                for doc in g:
+                    partners.setdefault(doc, []).append(members[k])
         out = []
-        ys, ns, own, maps = y["doc"].to_numpy(np.int64), y["n"].to_numpy(np.int64), y["own"].to_numpy(np.int64), y["bitmap"].tolist()
-        if len(ys):
-            for doc, mine, n, m in zip(x["doc_"], x["own_"], x["n_"], x["bitmap_"], strict=True):
-                hit = ys[may_link(int(n), m, ns, maps, percent) & (own != mine)]
+        for doc, lists in partners.items():
+            own, n, m = facts[doc]
+            others = [d for d in np.unique(np.concatenate(lists)).tolist() if facts[d][0] != own]
+            if others:
+                known = [facts[d] for d in others]
+                hit = np.array(others)[may_link(int(n), m, np.array([f[1] for f in known]), [f[2] for f in known], percent)]
                 out.append(np.stack([np.minimum(hit, doc), np.maximum(hit, doc)], 1))
         return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
 
-    return left.groupBy("key_", "block_").cogroup(right.groupBy("key", "block")).applyInPandas(run, "a long, b long").distinct()
+    return left.groupBy("group_").cogroup(right.groupBy("group")).applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, frequent_from: int = 4, most_frequent: int = 200_000) -> DataFrame:
