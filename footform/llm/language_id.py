@@ -178,7 +178,7 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def with_known_language(docs: DataFrame, least: float = 0.35, **settings) -> DataFrame:
+def with_known_language(docs: DataFrame, least: float = 0.3, **settings) -> DataFrame:
     """``docs`` without rows that have no language: no letter, or no language as likely as ``least``; columns as they were.
 
     The network learns from the rows that name a language. If none does, nothing can be rejected and all rows stay.

@@ -147,9 +147,12 @@ def transduce(text: str) -> tuple[str, list[int], list[tuple[int, int, int]]]:
             alone = sum(p[0][0].isalnum() for p in parts) < 2
             if alone and not (text[max(0, m.start() - 5) : m.start()].lower().endswith(("+", "plus ", "dot ")) or text.startswith(" dot ", m.end())):
                 continue
-            for p in parts:
-                if p[0].lower() in SPELLED:
+            spelled = [p[0].lower() in SPELLED for p in parts] + [False]
+            for k, p in enumerate(parts):
+                if spelled[k]:
                     put(p.start(), p.end(), SPELLED[p[0].lower()])
+                elif k and p[0].isspace() and spelled[k - 1] and spelled[k + 1]:
+                    put(p.start(), p.end(), "")  # blanks between digit words are no part of the number
                 elif not p[0][0].isalnum() and len(p[0]) > 1:
                     put(p.start(), p.end(), p[0].strip()[:1] or " ")
     out.append(text[done:])
