@@ -157,10 +157,11 @@ class IndexFamily:
         seen = self._read(self.matches[0], "fp long")
         for path in self.matches[1:]:
             seen = seen.unionByName(self._read(path, "fp long"))
+        seen = materialise(seen.distinct(), "suffix-seen")
         held = None
         for _, path in self.levels:
             held = self._read(path) if held is None else held.unionByName(self._read(path))
-        shared = materialise(held.join(seen.distinct(), "fp", "left_semi"), "suffix-shared")
+        shared = materialise(held.join(seen, "fp", "left_semi"), "suffix-shared")
         kinds = materialise(shared.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "suffix-kinds")
         whole = shared.join(kinds.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
         # Where an anchor's surroundings differ, one anchor of each kind shows its runs, first in blocks of starts.
