@@ -194,7 +194,7 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
-def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int = 2000) -> DataFrame:
+def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int = 500) -> DataFrame:
     """``a, b``: a member that its region's pivot did not reach, and one of another component that it may be close to.
 
     ``regions(key, doc, pivot, members)``. A region's members are dealt to blocks of about ``block``; members outside
