@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pytest
@@ -356,19 +357,23 @@ def test_near_duplicates(docs, width, percent):
     assert got == plain_components(dict(corpus()), width, percent)
 
 
-def test_one_of_many_near_copies_stays(spark):
+def test_one_of_many_near_copies_stays(spark, monkeypatch):
     rng = random.Random(5)
     base = [f"b{k}" for k in range(120)]
     texts = {}
     for i in range(150):
         w = list(base)
-        for at in rng.sample(range(len(w)), rng.randrange(9)):
+        for at in rng.sample(range(len(w)), rng.randrange(13)):
             w[at] = f"r{i}{at}"
         texts[i] = " ".join(w)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     want = plain_components(texts, 4, 85)
     assert by_id(jaccard_join.near_duplicates(df, 4, 85), "n_shingles", "component_id") == want
     assert {r.doc_id for r in jaccard_join.drop_near_duplicates(df, 4, 85).collect()} == {c for _, c in want.values()}
+    # The same over many blocks of a region and many groups of regions.
+    monkeypatch.setattr(jaccard_join, "outside", partial(jaccard_join.outside, block=20))
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 50)
+    assert by_id(jaccard_join.near_duplicates(df, 4, 85), "n_shingles", "component_id") == want
 
 
 # 3 and 7: models
