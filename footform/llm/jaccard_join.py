@@ -25,12 +25,13 @@ from .common import materialise, small, small_batches, without_ids
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 MAX_BITS = 1 << 16
+MOST_WORDS = 200_000  # that a Python worker remembers the hashes of
 GROUP_ROWS = 4000  # members of regions that are joined in one group
 
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= MOST_WORDS:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h

@@ -112,7 +112,7 @@ class Network:
                     w -= (rate * 0.8**epoch * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
         return self
 
-    def documents(self, texts: list[bytes], lanes: int = 4096) -> np.ndarray:
+    def documents(self, texts: list[bytes], lanes: int = 1024) -> np.ndarray:
         """Mean label probabilities over all bytes of each text (zeros for an empty one)."""
         counts = [-(-len(t) // WINDOW) for t in texts]
         owner = np.repeat(np.arange(len(texts)), counts)

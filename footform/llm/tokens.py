@@ -30,7 +30,7 @@ def byte_letters() -> dict[int, str]:
 class _Words(dict):
     """Ids of a lower-cased word as little-endian 16-bit numbers; at most ``most`` words are remembered."""
 
-    def __init__(self, model, most: int = 1_000_000):
+    def __init__(self, model, most: int = 600_000):
         self.model, self.most, self.letters = model, most, byte_letters()
         self.split = regex.compile(PATTERN).findall
 
