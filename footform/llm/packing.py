@@ -1,6 +1,6 @@
 """Best-fit packing by a grouping genetic algorithm, on islands with elite migration.
 
-Pieces are dealt to shards of bounded size. Several islands evolve packings of the same shard; between epochs the best
+Pieces are dealt to shards bounded by pieces or by tokens. Several islands evolve packings of the same shard; between epochs the best
 packing of an island migrates to its neighbour. A chromosome is a packing itself: crossover injects whole well-filled
 bins of one parent, drops the bins they collide with and best-fits the displaced pieces. Bins that a shard could not
 fill are opened again and packed together with those of other shards, level by level.
@@ -117,7 +117,26 @@ def evolve(size: np.ndarray, seeds: list[np.ndarray], capacity: int, population:
     return people[scores.index(max(scores))]
 
 
-def _islands(pieces: DataFrame, seeds: bool, capacity: int, population: int, generations: int, epoch: int) -> DataFrame:
+def runs(size: np.ndarray, capacity: int, most: int) -> np.ndarray:
+    """The run of each piece: a run is packed as one item. Up to ``most`` pieces are runs of their own.
+
+    Of more pieces, those of one short length are put together up to a 64th of the capacity, all but the last of a
+    length, which still fill small gaps one by one.
+    """
+    if len(size) <= most:
+        return np.arange(len(size))
+    per = np.maximum(1, capacity // 64 // size)
+    order = np.argsort(size, kind="stable")
+    _, first, count = np.unique(size[order], return_index=True, return_counts=True)
+    nth = np.arange(len(size)) - np.repeat(first, count)
+    whole = np.repeat(count, count) // per[order] - 1
+    begins = (nth % per[order] == 0) | (nth >= whole * per[order])
+    out = np.empty(len(size), np.int64)
+    out[order] = np.cumsum(begins) - 1
+    return out
+
+
+def _islands(pieces: DataFrame, seeds: bool, capacity: int, shard_pieces: int, population: int, generations: int, epoch: int) -> DataFrame:
     """One epoch on every island of every shard: ``shard, island, row, length, bin``."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
@@ -129,7 +148,11 @@ def _islands(pieces: DataFrame, seeds: bool, capacity: int, population: int, gen
         else:
             group = group.sort_values("row")
             rows, size, starts = group["row"].to_numpy(), group["length"].to_numpy(np.int64), []
-        return pd.DataFrame({"shard": shard, "island": island, "row": rows, "length": size.astype(np.int32), "bin": evolve(size, starts, capacity, population, generations, rng)})
+        # All islands of a shard make the same runs, so a run lies in one bin of every seed.
+        run_of = runs(size, capacity, 2 * shard_pieces)
+        _, at = np.unique(run_of, return_index=True)
+        bins = evolve(np.bincount(run_of, size).astype(np.int64), [b[at] for b in starts], capacity, population, generations, rng)
+        return pd.DataFrame({"shard": shard, "island": island, "row": rows, "length": size.astype(np.int32), "bin": bins[run_of]})
 
     return pieces.groupBy("shard", "island").applyInPandas(run, "shard long, island int, row long, length int, bin long")
 
@@ -145,34 +168,40 @@ def pack(
 ) -> DataFrame:
     """``row, sequence_id, offset`` for ``pieces(row, length)``, lengths from 1 to ``capacity``, in few sequences.
 
-    Full pieces are sequences of their own. A shard's packing takes at most a bin more than its share; what stays
-    unfilled is packed again over ever fewer shards until one is left. Nothing but row counts passes through the driver.
+    Full pieces are sequences of their own. A shard has about ``shard_pieces`` pieces, or about 64 sequences' worth of
+    tokens where pieces are so short that this is more pieces. So with two shards or more a level opens a small part
+    of its bins again: at most one in 64 and one more for each shard, while best fit leaves fewer than twice the least
+    number of bins. Each level's tokens are under a tenth of the last one's, whatever the lengths, until one shard is
+    left or no bin can be saved; 64 levels can't be reached. Nothing but counts passes through the driver.
     Sequence numbers are odd for full pieces, else made of the shard, the bin (under 65536) and the level.
     """
     spark = pieces.sparkSession
     full = pieces.filter(F.col("length") == capacity).select("row", F.expr("row * 2 + 1").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     done, rest, level = full, pieces.filter(F.col("length") < capacity).select("row", "length"), 0
-    n = rest.count()
+    count = lambda df: df.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).head()
+    n, tokens = count(rest)
     while n:
-        shards = -(-n // shard_pieces)
+        least = -(-tokens // capacity)
+        shards = min(-(-n // shard_pieces), -(-least // 64))
         dealt = rest.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(shards)))
         both = dealt.withColumn("island", F.explode(F.array(*(F.lit(i) for i in range(islands)))))
-        state = materialise(_islands(both, False, capacity, population, generations, 0), "pack-epoch")
+        state = materialise(_islands(both, False, capacity, shard_pieces, population, generations, 0), "pack-epoch")
         for epoch in range(1, epochs):
             elite = state.withColumn("island", F.pmod(F.col("island") + 1, F.lit(islands))).withColumn("origin", F.lit(1))
-            state = materialise(_islands(state.withColumn("origin", F.lit(0)).unionByName(elite), True, capacity, population, generations, epoch), "pack-epoch")
+            state = materialise(_islands(state.withColumn("origin", F.lit(0)).unionByName(elite), True, capacity, shard_pieces, population, generations, epoch), "pack-epoch")
         fill = state.groupBy("shard", "island", "bin").agg(F.sum("length").alias("fill"))
         score = fill.groupBy("shard", "island").agg(F.count(F.lit(1)).alias("bins"), F.sum(F.pow(F.col("fill") / capacity, 2)).alias("full"))
-        best = score.groupBy("shard").agg(F.min(F.struct("bins", -F.col("full"), "island"))["island"].alias("island"))
-        chosen = state.join(best, ["shard", "island"]).join(fill, ["shard", "island", "bin"])
-        if shards > 1:
+        best = score.groupBy("shard").agg(F.min(F.struct("bins", -F.col("full"), "island")).alias("best")).select("shard", "best.island", "best.bins")
+        own = best.select("shard", "island")
+        chosen = state.join(own, ["shard", "island"]).join(fill, ["shard", "island", "bin"])
+        if shards > 1 and best.agg(F.sum("bins")).head()[0] > least:
             # A shard's emptiest bins, one for each 64 of its bins, meet those of other shards at the next level.
-            ranked = fill.join(best, ["shard", "island"]).withColumn("rank", F.expr("row_number() over (partition by shard order by fill, bin)")).withColumn("of", F.expr("count(1) over (partition by shard)"))
+            ranked = fill.join(own, ["shard", "island"]).withColumn("rank", F.expr("row_number() over (partition by shard order by fill, bin)")).withColumn("of", F.expr("count(1) over (partition by shard)"))
             opened = ranked.filter(F.col("rank") <= F.ceil(F.col("of") / 64)).select("shard", "bin", F.lit(True).alias("open"))
             chosen = materialise(chosen.join(opened, ["shard", "bin"], "left").withColumn("open", F.coalesce("open", F.lit(False))), "pack-level")
             rest = chosen.filter("open").select("row", "length")
             chosen = chosen.filter("not open")
-            n = rest.count()
+            n, tokens = count(rest)
         else:
             n = 0
         place = F.expr("sum(length) over (partition by shard, bin order by row rows between unbounded preceding and 1 preceding)")

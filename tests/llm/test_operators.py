@@ -291,6 +291,45 @@ def test_packing_over_many_shards(spark):
     assert fill.count() <= 1.06 * rng_total(pieces) / 100 + 1
 
 
+@pytest.mark.parametrize("lengths", [[1] * 5000, [1] * 9000, [1, 5, 9] * 3000, [1 + 7919 * k % 700 * (k % 3 > 0) for k in range(6000)]])
+def test_packing_of_many_short_pieces_ends(spark, monkeypatch, lengths):
+    levels, write = [], packing.materialise
+
+    def counted(df, name):
+        levels.append(name)
+        assert levels.count("pack-level") < 6, "the levels don't end"
+        return write(df, name)
+
+    monkeypatch.setattr(packing, "materialise", counted)
+    pieces = spark.createDataFrame(list(enumerate(lengths)), "row long, length int")
+    got = packing.pack(pieces).join(pieces, "row").collect()
+    assert sorted(r.row for r in got) == list(range(len(lengths)))
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for places in bins.values():
+        places.sort()
+        assert [a for a, _ in places] == np.cumsum([0] + [n for _, n in places])[:-1].tolist() and sum(places[-1]) <= 4096
+    assert len(bins) <= -(-sum(lengths) // 4096) + 1
+
+
+def test_empty_texts_are_packed(spark, tokenizer):
+    texts = [None, "", "one two", "three"] * 1500
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = packing.packed_documents(df, tokenizer).collect()
+    assert len(got) == len(texts) and {r.doc_id for r in got} == set(range(len(texts)))
+    assert len({r.sequence_id for r in got}) == -(-sum(r.length for r in got) // 4096)
+
+
+def test_runs_of_equal_short_pieces():
+    rng = np.random.default_rng(8)
+    size = np.concatenate([np.ones(200_000, np.int64), rng.integers(1, 4096, 50)])
+    run_of = packing.runs(size, 4096, 8192)
+    assert run_of.max() < 8192 and np.bincount(run_of, size)[run_of[size < 64]].max() <= 64
+    assert all(len(set(size[run_of == k].tolist())) == 1 for k in range(0, run_of.max() + 1, 97))
+    assert packing.runs(size[:8000], 4096, 8192).tolist() == list(range(8000))
+
+
 def rng_total(pieces):
     return pieces.agg(F.sum("length")).head()[0]
 
