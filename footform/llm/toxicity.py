@@ -3,7 +3,8 @@
 Each word has two hashed vectors side by side, so that two words collide in one of them at most, and a third summed
 over its hashed beginnings, so that the forms of one stem share what is learned. Filters of several widths
 run over the whole text and are pooled by their maximum. Trained in numpy on a bounded sample of labelled rows, with
-the sample's share of positives taken out of the scores again; thresholds are calibrated by language.
+the sample's share of positives taken out of the scores again; thresholds are calibrated by language, on counts over
+all labelled rows that the network has not seen.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small, small_batches
 from .language_id import fold
 
 #: Folds ASCII capitals and turns other ASCII than letters and digits into blanks, byte for byte.
@@ -148,39 +149,97 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 20_000, **settings) -> Classifier | None:
     """A classifier from ``docs(doc_id, text, lang)`` and ``labels(doc_id, toxic)``.
 
-    It learns from at most ``per_class`` rows of each label, those that a hash of the id puts first among labelled
-    texts of up to ``max_chars`` characters; the share of positives is counted over all labelled rows. Null labels
-    and labels without a document don't count. None if one of the two labels is missing.
+    The network learns from at most ``per_class`` rows of each label, those that a hash of the id puts first among
+    labelled texts of up to ``max_chars`` characters; the share of positives is counted over all labelled rows. The
+    thresholds come from a second network that learns without an eighth of these ids: all labelled rows it has not
+    seen, of any length, are scored and counted. Null labels and labels without a document don't count. None if one
+    of the two labels is missing.
     """
     named = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    texts = docs.select("doc_id", "text", "lang").filter(F.length("text").between(1, max_chars))
-    short = texts.select("doc_id").join(named, "doc_id")
+    texts = docs.select("doc_id", "text", "lang")
+    brief = texts.filter(F.length("text").between(1, max_chars))
+    short = brief.select("doc_id").join(named, "doc_id")
     counts = {r["toxic"]: r["count"] for r in named.join(docs.select("doc_id"), "doc_id").groupBy("toxic").count().collect()}
     # Each label's first rows, kept by every task on its own before they meet.
     first = lambda label: short.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id").limit(per_class)
     chosen = first(0).unionByName(first(1))
-    rows = sorted(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.coalesce("lang", F.lit("")).alias("lang"), (fold(8) == 1).alias("calibrate")).collect())
-    if {r["toxic"] for r in rows} != {0, 1}:
-        return None
-    y = np.array([r["toxic"] for r in rows], np.float32)
-    model = Classifier().train([r["text"] for r in rows], y, **settings)
-    share, sampled = counts[1] / (counts[0] + counts[1]), float(y.mean())
-    model.shift = float(np.log(sampled / (1 - sampled)) - np.log(share / (1 - share)))
-    scores = np.concatenate([_sigmoid(model.logits([r["text"] for r in rows[a : a + 256]])) for a in range(0, len(rows), 256)])
-    for lang in sorted({r["lang"] for r in rows}):
-        own = np.array([r["lang"] == lang for r in rows])
-        model.thresholds[lang] = best_threshold(scores[own], y[own])
+    rows = sorted(brief.join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.coalesce("lang", F.lit("")).alias("lang"), (fold(8) == 1).alias("calibrate"), "doc_id").collect())
+
+    def fit(rows: list) -> Classifier | None:
+        if {r["toxic"] for r in rows} != {0, 1}:
+            return None
+        y = np.array([r["toxic"] for r in rows], np.float32)
+        model = Classifier().train([r["text"] for r in rows], y, **settings)
+        share, sampled = counts[1] / (counts[0] + counts[1]), float(y.mean())
+        model.shift = float(np.log(sampled / (1 - sampled)) - np.log(share / (1 - share)))
+        return model
+
+    model, fresh = fit(rows), [r for r in rows if not r["calibrate"]]
+    blind = model if len(fresh) == len(rows) else fit(fresh)
+    if blind:
+        seen = docs.sparkSession.createDataFrame(sorted({(r["doc_id"],) for r in fresh}), docs.select("doc_id").schema)
+        model.thresholds = thresholds(calibration(texts, named, seen, blind).collect())
     return model
 
 
-def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
-    """The score that cuts the calibration rows of a language with the best F1."""
-    best = (0.0, 0.5)
-    for cut in np.unique(np.quantile(scores, np.linspace(0, 1, 101))):
-        hit = scores >= cut
-        f1 = 2 * float((hit & (y == 1)).sum()) / max(1.0, float(hit.sum() + (y == 1).sum()))
-        best = max(best, (f1, float(cut)))
-    return best[1]
+#: Buckets to each unit of a logit that scores are counted in for the thresholds.
+STEPS = 20
+
+
+def calibration(docs: DataFrame, labels: DataFrame, seen: DataFrame, model: Classifier) -> DataFrame:
+    """``lang, bucket, toxic, seen, n``: counts over all rows of ``labels`` with a document, of texts of any length.
+
+    ``seen`` are the few ids that the network learned from. Labels are broadcast if they are few; else all documents
+    are scored and their buckets joined, so that texts are never shuffled.
+    """
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            logits = np.concatenate([shared.value.logits(texts[a : a + 32]) for a in range(0, len(texts), 32)]) if texts else np.zeros(0)
+            buckets = np.floor(np.clip(logits, -40, 40) * STEPS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(buckets, pa.int32()), batch.column(2)], ["doc_id", "bucket", "lang"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
+    ids = labels.select("doc_id").distinct()
+    few = small(ids)
+    if few is not ids:
+        texts = texts.join(few, "doc_id", "left_semi")
+    scored = texts.mapInArrow(run, "doc_id long, bucket int, lang string").join(labels, "doc_id")
+    marked = scored.join(F.broadcast(seen.withColumn("seen", F.lit(True))), "doc_id", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+    return marked.groupBy("lang", "bucket", "toxic", "seen").agg(F.count(F.lit(1)).alias("n"))
+
+
+def thresholds(counts: list) -> dict[str, float]:
+    """The cut of each language from rows of ``lang, bucket, toxic, seen, n``.
+
+    Unseen rows say how the scores of a label are spread, all rows how frequent the label is. A language with under
+    ten unseen positives or no unseen negative takes the cut of all languages together.
+    """
+    langs: dict[str, list] = {}
+    for lang, *row in counts:
+        langs.setdefault(lang, []).append(row)
+    everything = best_cut([row for rows in langs.values() for row in rows], 1)
+    cuts = {lang: best_cut(rows, 10) for lang, rows in langs.items()}
+    return {lang: everything if cut is None else cut for lang, cut in cuts.items() if cut is not None or everything is not None}
+
+
+def best_cut(rows: list, least: int) -> float | None:
+    """The score with the best F1, the highest of equal ones; None below ``least`` unseen positives."""
+    bucket, toxic, seen, n = np.array(rows, np.int64).reshape(-1, 4).T
+    values, at = np.unique(bucket, return_inverse=True)
+    share = []
+    for label in (0, 1):
+        fresh = np.bincount(at, n * ((toxic == label) & (seen == 0)), len(values))
+        if fresh.sum() < (least if label else 1):
+            return None
+        # Rows of the label at or above each bucket, scaled to all of its rows.
+        share.append(fresh[::-1].cumsum()[::-1] / fresh.sum() * n[toxic == label].sum())
+    f1 = 2 * share[1] / (share[0] + share[1] + share[1][0])
+    best = len(values) - 1 - int(np.argmax(f1[::-1]))
+    return float(_sigmoid(values[best] / STEPS))
 
 
 def toxicity(docs: DataFrame, model: Classifier | None) -> DataFrame:
@@ -199,7 +258,7 @@ def toxicity(docs: DataFrame, model: Classifier | None) -> DataFrame:
         for batch in batches:
             texts, langs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             scores = np.concatenate([_sigmoid(net.logits(texts[a : a + 32])) for a in range(0, len(texts), 32)]) if net and texts else np.zeros(len(texts))
-            flagged = [bool(s >= (net.thresholds.get(x, 0.5) if net else 1.1)) for s, x in zip(scores, langs, strict=True)]
+            flagged = [bool(s >= (net.thresholds.get(x or "", 0.5) if net else 1.1)) for s, x in zip(scores, langs, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(flagged, pa.bool_())], ["doc_id", "score", "flagged"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).mapInArrow(run, "doc_id long, score double, flagged boolean")

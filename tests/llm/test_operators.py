@@ -468,3 +468,49 @@ def test_toxicity(spark):
     held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([(got[i][0] >= 0.3) == bool(y) for i, y in held]) > 0.95
     assert got[900] == got[901] and 0 <= got[900][0] < 0.3
+
+
+def test_thresholds_count_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(9)
+    rows_, labels = [], []
+    for i in range(1200):
+        lang, toxic = ("xx", "yy", None)[i % 3], int(i % 10 == 0)
+        w = words(rng, 60 if lang != "yy" else 400, 3000).split()
+        for _ in range(toxic * (1 + i % 2)):
+            w[rng.randrange(60)] = rng.choice(["scumbag", "vileness", "vilest"])
+        rows_.append((i, " ".join(w), lang))
+        labels.append((i, toxic))
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    calls = []
+    count = toxicity.calibration
+    monkeypatch.setattr(toxicity, "calibration", lambda *a: calls.append(a) or count(*a))
+    model = toxicity.train(df, marks, per_class=60, max_chars=600, epochs=6)  # texts of yy are longer than that
+    counts = count(*calls[0]).collect()
+    assert sum(r.n for r in counts) == 1200 and {r.lang for r in counts} == {"xx", "yy", ""} == set(model.thresholds)
+    seen = {r.doc_id for r in calls[0][2].collect()}
+    assert 90 < len(seen) < 120 and not any(zlib.crc32(str(i).encode()) % 8 == 1 for i in seen)
+    assert all(rows_[i][2] != "yy" for i in seen)
+    # Few labels are broadcast, many are joined with the buckets of all documents: the same counts.
+    monkeypatch.setattr(toxicity, "small", lambda x: x)
+    assert sorted(count(*calls[0]).collect()) == sorted(counts)
+    # Each cut has the best F1 that the unseen rows of the language allow.
+    scores, flags = by_id(toxicity.toxicity(df, calls[0][3]), "score"), by_id(toxicity.toxicity(df, model), "score", "flagged")
+    for lang in ("xx", "yy", None):
+        own = [(scores[i][0], y) for i, y in labels if rows_[i][2] == lang and i not in seen]
+        weight = [sum(1 for i, y in labels if rows_[i][2] == lang and y == k) / sum(y == k for _, y in own) for k in (0, 1)]
+
+        def f1(cut, own=own, weight=weight):
+            hit = [weight[y] * (s >= cut) for s, y in own]
+            return 2 * sum(h for h, (_, y) in zip(hit, own, strict=True) if y) / (sum(hit) + sum(weight[y] * y for _, y in own))
+
+        cut = model.thresholds[lang or ""]
+        assert f1(cut) >= 0.98 * max(f1(s) for s, _ in own)
+        assert all(flags[i][1] == (flags[i][0] >= cut) for i, _, x in rows_ if x == lang)
+
+
+def test_a_language_of_few_positives_takes_the_cut_of_all():
+    counts = [("xx", 10, 1, False, 50), ("xx", -10, 0, False, 500), ("yy", 90, 1, False, 3), ("yy", -20, 0, False, 30), ("zz", 40, 1, True, 70), ("zz", -20, 0, False, 9)]
+    cut = 1 / (1 + np.exp(-10 / toxicity.STEPS))
+    assert toxicity.thresholds(counts) == pytest.approx({"xx": cut, "yy": cut, "zz": cut})
+    assert toxicity.thresholds([("xx", 1, 0, False, 5)]) == {}
