@@ -117,8 +117,11 @@ def detect(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def transduce(text: str) -> tuple[str, list[int], list[tuple[int, int, int]]]:
-    """Normalised text, and its rewritten pieces as (normalised start) and (normalised end, source start, source end)."""
+def transduce(text: str, ends: frozenset[int] = frozenset()) -> tuple[str, list[int], list[tuple[int, int, int]]]:
+    """Normalised text, and its rewritten pieces as (normalised start) and (normalised end, source start, source end).
+
+    A lone digit word goes on with the figures before it, unless an identifier ends there (``ends``).
+    """
     out: list[str] = []
     starts: list[int] = []
     pieces: list[tuple[int, int, int]] = []
@@ -145,7 +148,9 @@ def transduce(text: str) -> tuple[str, list[int], list[tuple[int, int, int]]]:
         else:
             parts = list(_PART.finditer(text, m.start(), m.end()))
             alone = sum(p[0][0].isalnum() for p in parts) < 2
-            if alone and not (text[max(0, m.start() - 5) : m.start()].lower().endswith(("+", "plus ", "dot ")) or text.startswith(" dot ", m.end())):
+            before = m.start() - 1
+            follows = before > 0 and text[before] in " ,.-" and text[before - 1] in "0123456789" and before not in ends
+            if alone and not follows and not (text[max(0, m.start() - 5) : m.start()].lower().endswith(("+", "plus ", "dot ")) or text.startswith(" dot ", m.end())):
                 continue
             spelled = [p[0].lower() in SPELLED for p in parts] + [False]
             for k, p in enumerate(parts):
@@ -180,7 +185,7 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     base = detect(text)
     if not disguised(text):
         return base, []
-    normal, starts, pieces = transduce(text)
+    normal, starts, pieces = transduce(text, frozenset(e for _, _, e in base))
     more = []
     for a, kind, b in detect(normal):
         span = source_span(a, b, starts, pieces)

@@ -167,6 +167,18 @@ def test_disguises(text, found):
     assert ",".join(f"{pii.KINDS[k]}:{text[s:e]}" for s, k, e in more) == found
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("ip 10.0.0.one ok", "ip:10.0.0.one"), ("card 4111 1111 1111 111 one", "card:4111 1111 1111 111 one"), ("card 4111-1111-1111-111-one.", "card:4111-1111-1111-111-one"), ("call +1 404 189 49 four", "phone:+1 404 189 49 four"),
+        ("call +1 404 189 4974 one of them", ""), ("ip 10.0.0.1 one of them", ""), ("in 2024 one of them", ""),
+    ],
+)
+def test_a_lone_digit_word_after_figures(text, found):
+    _, more = pii.find(text)
+    assert ",".join(f"{pii.KINDS[k]}:{text[s:e]}" for s, k, e in more) == found
+
+
 def test_personal_data_query(spark, sf_dir):
     want = {r.doc_id: pii.spans_text(plain_detect(r.text or "")) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in QUERIES["op9_pii"](spark, sf_dir).collect():
