@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+ROW = "__footform_row"  # the column that tells rows apart where ids don't
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI; set here only where the session names none (tests)."""
+    """The folder that driver and executors share, as a URI; one is made here only for a local session that names none."""
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="footform-shared-")
         spark.conf.set(CHECKPOINT_KEY, base)
     return base if "://" in base or not base.startswith("/") else f"file://{base}"
@@ -26,17 +33,39 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder (below ``within``) and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = fresh_dir(spark, name)
+    path = f"{within}/{name}-{uuid.uuid4().hex}" if within else fresh_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the rows of an Arrow batch, so that a batch of long texts fits a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def remove(uri: str) -> None:
+    """Delete a folder that no result reads any more; one that was never written is none."""
+    fs, path = open_fs(uri)
+    if fs.get_file_info(path).type != pafs.FileType.NotFound:
+        fs.delete_dir(path)
+
+
+BATCH_ROWS = 128
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch, so that a batch of long texts fits a Python worker: one value for all operators."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
+def keep_where(docs: DataFrame, column: str, judge: Callable[[list], list[bool]]) -> DataFrame:
+    """The rows of ``docs`` whose value of ``column`` the judge keeps; each row on its own, all columns as they were."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(judge(batch.column(at).to_pylist()), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 #: Ids of 8 bytes that a join may broadcast; more of them are shuffled.
@@ -48,13 +77,31 @@ def small(df: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def without_ids(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the ids in the one column of ``gone``; the ids are broadcast only if they are few.
+def keyed(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` with a column ``ROW`` that is never null and never repeats.
+
+    Ids serve where they are whole numbers, unique and known. Else rows are numbered and written down once, so that a
+    task that runs again finds the same numbers.
+    """
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    if whole and docs.groupBy(F.col(id_col).alias("id")).count().filter("id is null or count > 1").isEmpty():
+        return docs.withColumn(ROW, F.col(id_col).cast("long"))
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (of :func:`keyed`) without the rows in the one column of ``gone``, which are broadcast only if few."""
+    gone = materialise(gone.toDF(ROW), "gone-rows")
+    return docs.join(small(gone), ROW, "left_anti").drop(ROW)
+
+
+def likely_first(order: Column, k: int, n: Column | int) -> Column:
+    """Rows that may be among the ``k`` smallest of ``n`` rows by a 64-bit hash: about ``2 * k + 1000`` of them.
 
-    Rows with a null id stay. All rows of a repeated id go together.
+    Applied before rows meet in one task, so that what meets there doesn't grow with the input.
     """
-    gone = materialise(gone.toDF("__gone").distinct(), "gone-ids")
-    return docs.join(small(gone), docs[id_col] == gone["__gone"], "left_anti")
+    share = F.least(F.lit(1.0), F.lit(2.0 * k + 1000) / n)
+    return order <= (share - 0.5) * 2.0**64
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:

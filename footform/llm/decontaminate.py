@@ -7,8 +7,8 @@ offsets in the original.
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches, without_ids
+from .common import keep_where, materialise, small_batches
 
 #: Every byte that is neither a digit, a letter nor part of a non-ASCII character splits words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -76,67 +76,106 @@ def offsets(text: str, hits: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, str | None]], width: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+_BUILT: dict[str, Automaton] = {}
+
+
+def built(token: str, items: list[tuple[int, str | None]], width: int) -> Automaton:
+    """The automaton of a part of the items, made once in a Python worker's life; only the newest is held."""
+    if token not in _BUILT:
+        _BUILT.clear()
+        _BUILT[token] = Automaton(items, width)
+    return _BUILT[token]
+
+
+def parts_of(benchmark: DataFrame, most_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The items with an id and a text, in parts of about ``most_bytes`` of text; one empty part if there are none."""
+    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).head()["n"]
+    parts = -(-size // most_bytes) or 1
+    for p in range(parts):
+        yield [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p).collect()]
+
+
+def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(intervals):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+CARRIED = "doc_id long, text string, hits array<struct<start:int,end:int>>, items array<long>"
+
+
+def _scan(docs: DataFrame, items: list[tuple[int, str]], width: int, last: bool) -> DataFrame:
+    """Adds what one part of the items hits to the rows of ``CARRIED``; the last part turns word intervals into spans."""
+    shared, token = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(shared.value, width)
+        automaton = built(token, shared.value, width)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, text, before, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
                 hits, ids = automaton.scan(words)
-                rows.append((doc_id, len(words), sum(b - a for a, b in hits), sorted(ids), offsets(text, hits) if hits else []))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
-            names = ["doc_id", "n_words", "n_hit", "items", "spans"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
+                hits, ids = merged(hits + [(h["start"], h["end"]) for h in before]), sorted(ids.union(known))
+                if last:
+                    rows.append((doc_id, len(words), sum(b - a for a, b in hits), ids, offsets(text, hits) if hits else []))
+                else:
+                    rows.append((doc_id, text, [{"start": a, "end": b} for a, b in hits], ids))
+            names = ["doc_id", "n_words", "n_hit", "items", "spans"] if last else ["doc_id", "text", "hits", "items"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), SPANS] if last else [pa.int64(), pa.string(), SPANS, pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(run, SCHEMA if last else CARRIED)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_item_bytes: int = 32 << 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_item_bytes: int = 4 << 20) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, n_words, n_hit, items, spans``.
 
     ``spans`` are code-point spans of the original text covered by a window of an item of
-    ``benchmark(item_id, text)``. Null or wordless texts have no words; null or wordless items have no windows;
-    repeated items count once by id. Empty tables give no rows, or rows without hits. Extra columns are ignored.
+    ``benchmark(item_id, text)``. Null or wordless texts have no words; null or wordless items, and items without an
+    id, have no windows; repeated items count once by id. Each row is judged on its own: null and repeated doc_ids are
+    rows as others. Empty tables give no rows, or rows without hits. Extra columns are ignored.
 
-    The items go to each task only up to ``max_item_bytes`` of text; a larger benchmark is dealt by item into as many
-    parts, scanned one after another, and the parts' word spans are merged by doc_id (which must then be unique).
+    An automaton holds at most about ``max_item_bytes`` of item text (some 75 bytes of a worker's memory for each byte).
+    A larger benchmark is dealt by item into parts that scan the rows one after another, each adding to what the row
+    carries, so the result is the same.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select("doc_id", "text")
-    items = benchmark.select("item_id", "text").filter("text is not null")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).head()["n"]
-    parts = -(-size // max_item_bytes) or 1
-    if parts == 1:
-        return _scan(docs, [tuple(r) for r in items.collect()], width)
-    found = None
-    for p in range(parts):  # one bounded part of the items at a time
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p)
-        one = materialise(_scan(docs, [tuple(r) for r in part.collect()], width), "decontaminate")
-        found = one if found is None else found.unionByName(one)
-    return _merge(found.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"), F.flatten(F.collect_list("spans")).alias("all")), docs)
-
-
-def _merge(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Joins overlapping spans of several parts and counts the words in them again."""
-    ordered = F.array_sort("all")
-    step = lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end")))),
-    ).otherwise(F.concat(acc, F.array(x)))
-    merged = found.withColumn("spans", F.aggregate(ordered, F.slice(ordered, 1, 0), step)).join(docs, "doc_id", "left")
-    covered = F.transform("spans", lambda s: F.substring("text", s["start"] + 1, s["end"] - s["start"]))
-    count = F.aggregate(covered, F.lit(0).cast("long"), lambda n, t: n + F.regexp_count(t, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))
-    return merged.select("doc_id", "n_words", count.alias("n_hit"), F.array_sort("items").alias("items"), "spans")
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """``docs`` without rows that share a window with an item; columns as they were."""
-    return without_ids(docs, contamination(docs, benchmark, width).filter("n_hit > 0").select("doc_id"))
+    small_batches(docs.sparkSession)
+    none = F.array()
+    carried = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", none.cast("array<struct<start:int,end:int>>").alias("hits"), none.cast("array<long>").alias("items"))
+    parts = list_ahead(parts_of(benchmark, max_item_bytes))
+    for part, last in parts:
+        carried = _scan(carried, part, width, last)
+        carried = carried if last else materialise(carried, "decontaminate")
+    return carried
+
+
+def list_ahead(parts: Iterator[list]) -> Iterator[tuple[list, bool]]:
+    """Each part and whether it is the last one; at most two are held."""
+    held = next(parts)
+    for following in parts:
+        yield held, False
+        held = following
+    yield held, True
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_item_bytes: int = 4 << 20) -> DataFrame:
+    """``docs`` without rows that share a window with an item; columns as they were.
+
+    Null and wordless texts share nothing and stay; repeated rows share one fate; ids, null or not, play no part. An
+    empty table stays empty, an empty benchmark drops nothing.
+    """
+    sc = docs.sparkSession.sparkContext
+    for part, last in list_ahead(parts_of(benchmark, max_item_bytes)):
+        shared, token = sc.broadcast(part), uuid.uuid4().hex
+        docs = keep_where(docs, "text", lambda texts, shared=shared, token=token: [not built(token, shared.value, width).scan(words_of(t))[0] for t in texts])
+        docs = docs if last else materialise(docs, "decontaminate")
+    return docs
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

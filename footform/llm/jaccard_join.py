@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, small, small_batches, without_ids
+from .common import ROW, fresh_dir, keyed, materialise, remove, small, small_batches, without_rows
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -155,7 +155,7 @@ def bounded(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return near.select("a", "b", "na", "nb", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, work: str) -> DataFrame:
     """Those of ``pairs(a, b)`` that are close enough, by their whole sets: ``a, b, overlap, united``."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,27 +175,27 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 4)], ["a", "b", "overlap", "united"])
 
     ids = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    whole = materialise(pick(docs, ids).mapInArrow(sets, "doc long, s binary"), "jaccard-sets")
+    whole = materialise(pick(docs, ids).mapInArrow(sets, "doc long, s binary"), "whole", work)
     left, right = whole.select(F.col("doc").alias("a"), F.col("s").alias("x")), whole.select(F.col("doc").alias("b"), F.col("s").alias("y"))
-    return materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, overlap long, united long"), "jaccard-links")
+    return materialise(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, overlap long, united long"), "links", work)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, work: str) -> DataFrame:
     """``doc, component`` (the smallest doc) of every end of ``links(a, b)``: least labels spread along links, and each
     label is replaced by its own label, until nothing changes."""
-    both = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "component-links")
-    label = materialise(both.groupBy(F.col("a").alias("doc")).agg(F.least(F.col("doc"), F.min("b")).alias("component")), "component-labels")
+    both = materialise(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both", work)
+    label = materialise(both.groupBy(F.col("a").alias("doc")).agg(F.least(F.col("doc"), F.min("b")).alias("component")), "labels", work)
     while True:
         near = both.join(label.select(F.col("doc").alias("b"), "component"), "b").groupBy(F.col("a").alias("doc")).agg(F.min("component").alias("near"))
         up = label.select(F.col("doc").alias("component"), F.col("component").alias("up"))
         following = label.join(near, "doc").join(up, "component", "left").select("doc", F.col("component").alias("was"), F.least("component", "near", "up").alias("component"))
-        following = materialise(following, "component-labels")
+        following = materialise(following, "labels", work)
         label = following.select("doc", "component")
         if following.filter("was <> component").isEmpty():
             return label
 
 
-def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, block: int = 500) -> DataFrame:
+def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int, work: str, block: int = 500) -> DataFrame:
     """``a, b``: a member that its region's pivot did not reach, and one of another component that it may be close to.
 
     ``regions(key, doc, pivot, members)``. A region's members are dealt to blocks of about ``block``; members outside
@@ -204,7 +204,7 @@ def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
     known = lambda df, col, out: df.join(labels.select(F.col("doc").alias(col), F.col("component").alias(out)), col, "left").withColumn(out, F.coalesce(out, F.col(col)))
     held = known(known(regions.filter("members > 2"), "doc", "own"), "pivot", "main")
     mixed = held.groupBy("key").agg(F.sum((F.col("own") != F.col("main")).cast("long")).alias("out")).filter("out > 0").select("key")
-    held = materialise(held.join(mixed, "key", "left_semi").filter("doc <> pivot").select("key", "pivot", "doc", "own", "main", "members"), "jaccard-mixed")
+    held = materialise(held.join(mixed, "key", "left_semi").filter("doc <> pivot").select("key", "pivot", "doc", "own", "main", "members"), "mixed", work)
     blocks = F.ceil(F.col("members") / block).cast("long")
     groups = 1 + held.count() // GROUP_ROWS
     full = held.join(sets.select("doc", "n", "bitmap"), "doc")
@@ -237,51 +237,74 @@ def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, frequent_from: int = 4, most_frequent: int = 200_000) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: ``doc_id, n_shingles, class_id, component_id``.
+    """One row per row of ``docs(doc_id, text)``: ``ROW, doc_id, n_shingles, class_id, component_id, kept``.
 
     Documents link when ``100 * |x & y| >= percent * |x | y|``. class_id is the smallest doc_id with an equal set,
-    component_id the smallest that links reach. Null and wordless texts have empty sets and are alone. Ids should be
-    unique: rows that repeat an id share what one of its texts links to. An empty table gives no rows; extra columns
-    are ignored. The order of shingles may be any: at most ``most_frequent`` counts shape it, without changing results.
+    component_id the smallest that links reach, and one row of it (that id's first) is ``kept``. Null and wordless texts
+    have empty sets and are alone. Rows are told apart by their place: null and repeated ids are rows as others, each
+    with the links of its own text; component_id is null where no row of a component has an id. An empty table gives no
+    rows; extra columns are ignored. The order of shingles may be any: at most ``most_frequent`` counts shape it,
+    without changing results.
     """
     spark = docs.sparkSession
-    small_batches(spark, 128)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").filter("doc is not null")
-    sets = materialise(described(docs, width, percent), "jaccard-sets")
+    small_batches(spark)
+    work = fresh_dir(spark, "jaccard")
+    rows = docs if ROW in docs.columns else keyed(docs.select("doc_id", "text"))
+    docs = rows.select(F.col(ROW).alias("doc"), "text")
+    sets = materialise(described(docs, width, percent), "sets", work)
     narrow = sets.select("doc", "n", "s1", "s2")
-    firsts = narrow.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("first"))
-    classes = materialise(narrow.join(firsts, ["n", "s1", "s2"], "left").select("doc", "n", F.coalesce("first", "doc").alias("first")), "jaccard-classes")
-    own = pick(sets.filter("n > 0"), classes.filter("doc <> first").select("doc").distinct(), "left_anti")
-    if not classes.groupBy("doc").count().filter("count > 1").isEmpty():
-        own = own.dropDuplicates(["doc"])
-        docs = docs.dropDuplicates(["doc"])
+    firsts = materialise(narrow.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("alike")).filter("alike > 1").drop("alike"), "firsts", work)
+    classes = materialise(narrow.join(small(firsts), ["n", "s1", "s2"], "left").select("doc", "n", F.coalesce("first", "doc").alias("first")), "classes", work)
+    own = pick(sets.filter("n > 0"), classes.filter("doc <> first").select("doc"), "left_anti")
     counts = own.select(F.explode("keys").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= frequent_from)
     frequent = counts.orderBy(F.desc("n"), "h").limit(most_frequent).toPandas()
-    keyed = own.select("doc", "keys")
+    first_keys = own.select("doc", "keys")
     if len(frequent):
         late = spark.createDataFrame(frequent[["h"]])
-        touched = materialise(own.select("doc", F.explode("keys").alias("h")).join(F.broadcast(late), "h", "left_semi").select("doc").distinct(), "jaccard-touched")
-        keyed = pick(keyed, touched, "left_anti").unionByName(reordered(pick(docs, touched), frequent, width, percent))
-    keys = materialise(keyed.select("doc", F.explode("keys").alias("key")), "jaccard-keys")
+        touched = materialise(own.select("doc", F.explode("keys").alias("h")).join(F.broadcast(late), "h", "left_semi").select("doc").distinct(), "touched", work)
+        first_keys = pick(first_keys, touched, "left_anti").unionByName(reordered(pick(docs, touched), frequent, width, percent))
+    keys = materialise(first_keys.select("doc", F.explode("keys").alias("key")), "keys", work)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    member = materialise(keys.join(shared, "key"), "jaccard-members")
+    member = materialise(keys.join(shared, "key"), "members", work)
     central = member.join(member.groupBy("doc").agg(F.count(F.lit(1)).alias("shared")), "doc")
     pivots = central.groupBy("key").agg(F.max(F.struct("shared", (-F.col("doc")).alias("neg")))["neg"].alias("neg"))
-    regions = materialise(member.join(pivots, "key").select("key", "doc", (-F.col("neg")).alias("pivot"), "members"), "jaccard-regions")
+    regions = materialise(member.join(pivots, "key").select("key", "doc", (-F.col("neg")).alias("pivot"), "members"), "regions", work)
     spokes = regions.filter("doc <> pivot").select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
-    links = verified(materialise(bounded(spokes, own, percent), "jaccard-pairs"), docs, width, percent)
-    labels = components(links)
-    rest = materialise(outside(regions, own, labels, percent), "jaccard-pairs")
+    links = verified(materialise(bounded(spokes, own, percent), "pairs", work), docs, width, percent, work)
+    labels = components(links, work)
+    rest = materialise(outside(regions, own, labels, percent, work), "pairs", work)
     if not rest.isEmpty():
-        more = verified(rest, docs, width, percent)
-        labels = components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b")))
-    out = classes.join(labels.select(F.col("doc").alias("first"), "component"), "first", "left")
-    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("first").alias("class_id"), F.coalesce("component", "first").alias("component_id"))
+        more = verified(rest, docs, width, percent, work)
+        labels = components(labels.select(F.col("doc").alias("a"), F.col("component").alias("b")).unionByName(more.select("a", "b")), work)
+    out = classes.join(small(labels.select(F.col("doc").alias("first"), "component")), "first", "left").withColumn("component", F.coalesce("component", "first"))
+    out = materialise(out, "joined", work)
+    if rows.filter(~F.col(ROW).eqNullSafe(F.col("doc_id"))).isEmpty():
+        result = out.select(F.col("doc").alias(ROW), F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("first").alias("class_id"), F.col("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept"))
+    else:
+        result = _with_ids(out, rows.select(F.col(ROW).alias("doc"), "doc_id"), work)
+    result = materialise(result, "jaccard-result")
+    remove(work)
+    return result
+
+
+def _with_ids(out: DataFrame, ids: DataFrame, work: str) -> DataFrame:
+    """Rows numbered by place named by their ids again: a class and a component by their smallest id."""
+    held = materialise(out.join(ids, "doc"), "named", work)
+    first = lambda by: held.groupBy(by).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc")).alias(f"best_{by}"))
+    named = held.join(small(first("first")), "first").join(small(first("component")), "component")
+    return named.select(
+        F.col("doc").alias(ROW), "doc_id", F.col("n").alias("n_shingles"), F.col("best_first.doc_id").alias("class_id"), F.col("best_component.doc_id").alias("component_id"), (F.col("doc") == F.col("best_component.doc")).alias("kept")
+    )
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the document of the smallest id of each component; columns as they were."""
-    return without_ids(docs, near_duplicates(docs, width, percent).filter("doc_id <> component_id").select("doc_id"))
+    """``docs`` with one row of each component, that of the smallest id; columns as they were.
+
+    Rows go, not ids: of rows that repeat an id, those linked with nothing stay. Null and wordless texts all stay. An
+    empty table stays empty.
+    """
+    rows = keyed(docs)
+    return without_rows(rows, near_duplicates(rows, width, percent).filter("not kept").select(ROW))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

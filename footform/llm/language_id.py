@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, without_ids
+from .common import keep_where, likely_first, small, small_batches
 
 UNKNOWN = "und"
 WINDOW = 128  # bytes that one run of the network covers; each text is cut into whole such windows
@@ -132,8 +132,9 @@ def passages(docs: DataFrame, per_language: int, chars: int) -> DataFrame:
     """``lang, text``: one passage of at most ``chars`` characters from each of the ``per_language`` documents of each
     language that a hash of the id puts first."""
     named = docs.filter("lang is not null and text is not null and length(text) > 0")
-    order = F.expr("row_number() over (partition by lang order by xxhash64(doc_id, 'passage'), doc_id)")
-    chosen = named.select("doc_id", "lang").withColumn("n", order).filter(F.col("n") <= per_language).select("doc_id").distinct()
+    counts = small(named.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))
+    early = named.select("doc_id", "lang", F.xxhash64("doc_id", F.lit("passage")).alias("h")).join(counts, "lang").filter(likely_first(F.col("h"), per_language, F.col("of")))
+    chosen = early.withColumn("n", F.expr("row_number() over (partition by lang order by h, doc_id)")).filter(F.col("n") <= per_language).select("doc_id").distinct()
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - chars)).cast("int") + 1
     return named.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", F.substr("text", start, F.lit(chars)).alias("text")).filter(F.length("text") > 0)
 
@@ -153,6 +154,18 @@ def train(docs: DataFrame, per_language: int = 500, chars: int = 250, **settings
     return Network(languages).train(x, mask, np.array([y for _, y in windows]), **settings)
 
 
+def predicted(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Label and probability of each text; ``und`` and 0 for a null text, one without a letter, or without a network."""
+    texts = [t if network and t and any(map(str.isalpha, t)) else "" for t in texts]
+    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    if any(texts):
+        p = network.documents([t.encode() for t in texts])
+        for k, t in enumerate(texts):
+            if t:
+                names[k], scores[k] = network.languages[int(p[k].argmax())], min(1.0, float(p[k].max()))
+    return names, scores
+
+
 def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``doc_id, lang_pred, score``.
 
@@ -164,15 +177,8 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(network)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
         for batch in batches:
-            texts = [t if net and t and any(map(str.isalpha, t)) else "" for t in batch.column(1).to_pylist()]
-            names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            if net and any(texts):
-                p = net.documents([t.encode() for t in texts])
-                for k, t in enumerate(texts):
-                    if t:
-                        names[k], scores[k] = net.languages[int(p[k].argmax())], min(1.0, float(p[k].max()))
+            names, scores = predicted(shared.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -181,12 +187,20 @@ def languages(docs: DataFrame, network: Network | None) -> DataFrame:
 def with_known_language(docs: DataFrame, least: float = 0.3, **settings) -> DataFrame:
     """``docs`` without rows that have no language: no letter, or no language as likely as ``least``; columns as they were.
 
-    The network learns from the rows that name a language. If none does, nothing can be rejected and all rows stay.
+    The network learns from the rows that name a language. If none does, nothing can be rejected and all rows stay. Each
+    row is judged by its own text: null and empty texts go, repeated rows share one fate, null ids are rows as others.
+    An empty table stays empty.
     """
     network = train(docs, **settings)
     if network is None:
         return docs
-    return without_ids(docs, languages(docs, network).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("doc_id"))
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+
+    def judge(texts: list[str | None]) -> list[bool]:
+        names, scores = predicted(shared.value, texts)
+        return [name != UNKNOWN and score >= least for name, score in zip(names, scores, strict=True)]
+
+    return keep_where(docs, "text", judge)
 
 
 def fold(of: int, id_col: str = "doc_id"):

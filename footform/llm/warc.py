@@ -163,7 +163,7 @@ def read_warc(index: DataFrame) -> DataFrame:
     revisits, whose payload is that of refers_to). Digests of responses are computed again and compared.
     """
     frames = index.groupBy("bundle", "frame", "frame_start", "frame_bytes").agg(F.collect_list(F.struct("start", "length")).alias("records"))
-    small_batches(index.sparkSession, 16)
+    small_batches(index.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
