@@ -1,8 +1,9 @@
 """Best-fit packing by a grouping genetic algorithm, on islands with elite migration.
 
-Pieces are dealt to shards bounded by pieces or by tokens. Several islands evolve packings of the same shard; between epochs the best
-packing of an island migrates to its neighbour. A chromosome is a packing itself: crossover injects whole well-filled
-bins of one parent, drops the bins they collide with and best-fits the displaced pieces. Bins that a shard could not
+Pieces are dealt to shards bounded by pieces or by tokens. Several islands evolve packings of the same shard, from best
+fits of pieces in random order; between epochs the best packing of an island migrates to its neighbour. A chromosome is
+a packing itself: crossover injects whole well-filled bins of one parent, takes their pieces out of the other's bins,
+dissolves the bins that lost some and the emptiest ones, and best-fits the displaced pieces. Bins that a shard could not
 fill are opened again and packed together with those of other shards, level by level.
 """
 
@@ -74,15 +75,18 @@ def fitness(bins: np.ndarray, size: np.ndarray, capacity: int) -> tuple[int, flo
 
 
 def crossover(mine: np.ndarray, other: np.ndarray, size: np.ndarray, capacity: int, rng: np.random.Generator) -> np.ndarray:
-    """A child of ``mine`` with some of the well-filled bins of ``other``."""
+    """A child of ``mine`` with some of the well-filled bins of ``other``.
+
+    Whole bins are injected, so their pieces are taken out of the child's own bins; bins that lost a piece are dissolved,
+    and so are the child's emptiest ones, and the displaced pieces are put back by best fit, long ones first.
+    """
     fill = np.bincount(other, size)
     best = np.argsort(-fill, kind="stable")[: max(1, len(fill) // 2)]
     chosen = rng.choice(best, max(1, min(len(best), len(fill) // 16)), replace=False)
     injected = np.isin(other, chosen)
-    hit = np.unique(mine[injected])
-    # The emptiest bin is opened too, so that a child can do with one bin less.
-    hit = np.union1d(hit, np.argmin(np.bincount(mine, size)))
-    loose = np.isin(mine, hit) & ~injected
+    own = np.bincount(mine, size)
+    emptiest = np.argsort(own, kind="stable")[: 1 + len(own) // 8]
+    loose = np.isin(mine, np.union1d(np.unique(mine[injected]), emptiest)) & ~injected
     child = np.where(injected, other + len(mine), mine)
     child[loose] = -1
     keep = child >= 0
@@ -94,27 +98,33 @@ def crossover(mine: np.ndarray, other: np.ndarray, size: np.ndarray, capacity: i
     return renumber(child)
 
 
-def evolve(size: np.ndarray, seeds: list[np.ndarray], capacity: int, population: int, generations: int, rng: np.random.Generator) -> np.ndarray:
-    """The best packing found; ``seeds`` are packings that the island starts with."""
+def evolve(size: np.ndarray, seeds: list[np.ndarray], capacity: int, population: int, generations: int, rng: np.random.Generator) -> tuple[np.ndarray, int]:
+    """The best packing found, and in how many generations a child was better than all before it.
+
+    ``seeds`` are packings that the island starts with; the rest of the population are best fits of pieces in random
+    order. Evolution ends with the least possible number of bins, or after ``generations``; while no child has improved
+    the best yet, and while the best misses the least number, it goes on to four times as many.
+    """
     people = [renumber(s) for s in seeds]
     least = -(-int(size.sum()) // capacity)
     while len(people) < population:
-        noise = np.argsort(-(size * (1 + (0.1 * rng.random(len(size)) if people else 0))), kind="stable")
         bins = np.full(len(size), -1, np.int64)
-        best_fit(noise, size, bins, [], capacity)
+        best_fit(rng.permutation(len(size)), size, bins, [], capacity)
         people.append(bins)
-        if bins.max() + 1 == least:
-            break
     scores = [fitness(p, size, capacity) for p in people]
-    for _ in range(generations):
-        if -max(scores)[0] <= least or len(people) < 2:
+    gains = idle = 0
+    for generation in range(4 * generations):
+        best = max(scores)
+        if -best[0] <= least or len(people) < 2 or (generation >= generations and idle > generations):
             break
         a, b = rng.choice(len(people), 2, replace=False)
         child = crossover(people[a], people[b], size, capacity, rng)
         score, worst = fitness(child, size, capacity), scores.index(min(scores))
+        better = score > best
+        gains, idle = gains + better, 0 if better else idle + 1
         if score > scores[worst]:
             people[worst], scores[worst] = child, score
-    return people[scores.index(max(scores))]
+    return people[scores.index(max(scores))], gains
 
 
 def runs(size: np.ndarray, capacity: int, most: int) -> np.ndarray:
@@ -137,7 +147,7 @@ def runs(size: np.ndarray, capacity: int, most: int) -> np.ndarray:
 
 
 def _islands(pieces: DataFrame, seeds: bool, capacity: int, shard_pieces: int, population: int, generations: int, epoch: int) -> DataFrame:
-    """One epoch on every island of every shard: ``shard, island, row, length, bin``."""
+    """One epoch on every island of every shard: ``shard, island, row, length, bin, gains`` (of the island's best packing)."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         shard, island = key
@@ -145,16 +155,18 @@ def _islands(pieces: DataFrame, seeds: bool, capacity: int, shard_pieces: int, p
         if seeds:
             origins = [g.sort_values("row") for _, g in group.groupby("origin")]
             rows, size, starts = origins[0]["row"].to_numpy(), origins[0]["length"].to_numpy(np.int64), [g["bin"].to_numpy(np.int64) for g in origins]
+            before = max(int(g["gains"].iloc[0]) for g in origins)
         else:
             group = group.sort_values("row")
             rows, size, starts = group["row"].to_numpy(), group["length"].to_numpy(np.int64), []
+            before = 0
         # All islands of a shard make the same runs, so a run lies in one bin of every seed.
         run_of = runs(size, capacity, 2 * shard_pieces)
         _, at = np.unique(run_of, return_index=True)
-        bins = evolve(np.bincount(run_of, size).astype(np.int64), [b[at] for b in starts], capacity, population, generations, rng)
-        return pd.DataFrame({"shard": shard, "island": island, "row": rows, "length": size.astype(np.int32), "bin": bins[run_of]})
+        bins, gains = evolve(np.bincount(run_of, size).astype(np.int64), [b[at] for b in starts], capacity, population, generations, rng)
+        return pd.DataFrame({"shard": shard, "island": island, "row": rows, "length": size.astype(np.int32), "bin": bins[run_of], "gains": np.int32(before + gains)})
 
-    return pieces.groupBy("shard", "island").applyInPandas(run, "shard long, island int, row long, length int, bin long")
+    return pieces.groupBy("shard", "island").applyInPandas(run, "shard long, island int, row long, length int, bin long, gains int")
 
 
 def pack(
@@ -164,9 +176,11 @@ def pack(
     islands: int = 2,
     epochs: int = 2,
     population: int = 4,
-    generations: int = 12,
+    generations: int = 24,
 ) -> DataFrame:
-    """``row, sequence_id, offset`` for ``pieces(row, length)``, lengths from 1 to ``capacity``, in few sequences.
+    """``row, sequence_id, offset, gains`` for ``pieces(row, length)``, lengths from 1 to ``capacity``, in few sequences.
+
+    ``gains`` says in how many generations of the genetic search the packing that a piece lies in was improved.
 
     Full pieces are sequences of their own. A shard has about ``shard_pieces`` pieces, or about 64 sequences' worth of
     tokens where pieces are so short that this is more pieces. So with two shards or more a level opens a small part
@@ -176,7 +190,7 @@ def pack(
     Sequence numbers are odd for full pieces, else made of the shard, the bin (under 65536) and the level.
     """
     spark = pieces.sparkSession
-    full = pieces.filter(F.col("length") == capacity).select("row", F.expr("row * 2 + 1").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = pieces.filter(F.col("length") == capacity).select("row", F.expr("row * 2 + 1").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).alias("gains"))
     done, rest, level = full, pieces.filter(F.col("length") < capacity).select("row", "length"), 0
     count = lambda df: df.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).head()
     n, tokens = count(rest)
@@ -205,19 +219,19 @@ def pack(
         else:
             n = 0
         place = F.expr("sum(length) over (partition by shard, bin order by row rows between unbounded preceding and 1 preceding)")
-        done = done.unionByName(chosen.select("row", F.expr(f"((shard * 65536 + bin) * 64 + {level}) * 2").alias("sequence_id"), F.coalesce(place, F.lit(0)).cast("long").alias("offset")))
+        done = done.unionByName(chosen.select("row", F.expr(f"((shard * 65536 + bin) * 64 + {level}) * 2").alias("sequence_id"), F.coalesce(place, F.lit(0)).cast("long").alias("offset"), "gains"))
         level += 1
     return done
 
 
 def packed_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of every piece of ``docs(doc_id, text)``.
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset, gains`` of every piece of ``docs(doc_id, text)``.
 
     A null or empty text is the end id alone. Repeated ids are packed row by row. An empty table gives no rows. Extra
     columns are ignored.
     """
     pieces = materialise(cut(docs, tokenizer, capacity), "pieces")
-    return pieces.join(pack(pieces, capacity), "row").select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
+    return pieces.join(pack(pieces, capacity), "row").select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset", "gains")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
