@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small, small_batches
+from .common import likely_first, small, small_batches
 from .language_id import fold
 
 #: Folds ASCII capitals and turns other ASCII than letters and digits into blanks, byte for byte.
@@ -26,6 +26,7 @@ BUCKETS, DIM, WIDTHS, FILTERS = 1 << 15, 12, (1, 2, 3), 8
 PAD = BUCKETS  # stands between documents and at their ends, and for beginnings that a word is too short for
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # characters
 COLUMNS = 2 + len(BEGINNINGS)
+STRETCH = 1 << 16  # words that are filtered at once
 
 
 class _Slots(dict):
@@ -58,13 +59,13 @@ _SLOTS = _Slots()
 def word_numbers(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of all words (n, COLUMNS) of the texts one after another, with pads, and where each text begins."""
     _SLOTS.trim()
-    gap = [0] * (max(WIDTHS) - 1)
+    gap = [0] * max(WIDTHS)
     out, starts = [], []
     for t in texts:
         starts.append(len(out))
         out += map(_SLOTS.__getitem__, (t or "").encode().translate(FOLD).split())
         out += gap
-    return _SLOTS.table[np.array(out + gap, np.int64)], np.array(starts)
+    return _SLOTS.table[np.array(out, np.int64)], np.array(starts)
 
 
 class Classifier:
@@ -86,15 +87,33 @@ class Classifier:
         n = len(x) - max(WIDTHS) + 1
         return [sum(x[k : k + n] @ K[k] for k in range(len(K))) + b for K, b in zip(self.K, self.b, strict=True)]
 
-    def pooled(self, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return np.maximum(np.concatenate([np.maximum.reduceat(m, starts) for m in self.maps(x)], 1), 0)
+    def pooled(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The largest response of each filter in each text and its place, (n, filters) each; ``STRETCH`` words at a time.
+
+        A filter's place begins at a word of the text, or at the first of its pads, so no text sees its neighbour.
+        """
+        n, lap = len(ids), max(WIDTHS) - 1
+        won, places = np.full((len(starts), len(self.o)), -np.inf, np.float32), np.zeros((len(starts), len(self.o)), np.int64)
+        ends = np.append(starts[1:], n) - lap
+        for a in range(0, n - lap, STRETCH):
+            maps = np.concatenate(self.maps(self.vectors(ids[a : a + STRETCH + lap])), 1)
+            first = np.searchsorted(starts, a, "right") - 1  # the text that the stretch begins in
+            last = np.searchsorted(starts, a + len(maps))
+            for k, (s, e) in enumerate(zip(np.maximum(starts[first:last] - a, 0), np.minimum(ends[first:last] - a, len(maps)), strict=True)):
+                if s >= e:
+                    continue
+                at = maps[s:e].argmax(0)
+                top = maps[s + at, np.arange(maps.shape[1])]
+                more = top > won[first + k]
+                won[first + k, more], places[first + k, more] = top[more], (a + s + at)[more]
+        return won, places
 
     def logits(self, texts: list[str | None]) -> np.ndarray:
-        """One number per text; long batches are taken in runs of texts, a text always whole."""
+        """One number per text, each text as a whole."""
         if not texts:
             return np.zeros(0)
         ids, starts = word_numbers(texts)
-        return self.pooled(self.vectors(ids), starts) @ self.o + self.c[0] - self.shift
+        return np.maximum(self.pooled(ids, starts)[0], 0) @ self.o + self.c[0] - self.shift
 
     def train(self, texts: list[str], y: np.ndarray, epochs: int = 5, batch: int = 64, rate: float = 0.1, seed: int = 7) -> Classifier:
         """Adagrad on the log loss; only the places that won the pooling get gradients."""
@@ -106,11 +125,8 @@ class Classifier:
             for at in range(0, len(texts), batch):
                 own = order[at : at + batch]
                 ids, starts = word_numbers([texts[i] for i in own])
-                x = self.vectors(ids)
-                maps = self.maps(x)
-                ends = [*starts[1:], len(maps[0])]
-                places = [np.stack([s + m[s:e].argmax(0) for s, e in zip(starts, ends, strict=True)]) for m in maps]
-                won = np.concatenate([m[p, np.arange(FILTERS)] for m, p in zip(maps, places, strict=True)], 1)
+                won, where = self.pooled(ids, starts)
+                places = [where[:, w * FILTERS : (w + 1) * FILTERS] for w in range(len(WIDTHS))]
                 hidden = np.maximum(won, 0)
                 drop = (rng.random(hidden.shape) > 0.2) / np.float32(0.8)
                 logit = (hidden * drop) @ self.o + self.c[0]
@@ -123,7 +139,7 @@ class Classifier:
                     gb.append(g.sum(0))
                     one = np.zeros_like(K)
                     for k in range(len(K)):
-                        one[k] = np.einsum("bfd,bf->df", x[p + k], g)
+                        one[k] = np.einsum("bfd,bf->df", self.vectors(ids[(p + k).ravel()]).reshape(*p.shape, -1), g)
                         rows.append((p + k).ravel())
                         grads.append((g[:, :, None] * K[k].T[None]).reshape(-1, 3 * DIM))
                     gK.append(one)
@@ -146,24 +162,24 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 20_000, **settings) -> Classifier | None:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 2500, **settings) -> Classifier | None:
     """A classifier from ``docs(doc_id, text, lang)`` and ``labels(doc_id, toxic)``.
 
     The network learns from at most ``per_class`` rows of each label, those that a hash of the id puts first among
-    labelled texts of up to ``max_chars`` characters; the share of positives is counted over all labelled rows. The
+    labelled texts, each text whole; the share of positives is counted over all labelled rows. The
     thresholds come from a second network that learns without an eighth of these ids: all labelled rows it has not
     seen, of any length, are scored and counted. Null labels and labels without a document don't count. None if one
     of the two labels is missing.
     """
     named = labels.filter("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     texts = docs.select("doc_id", "text", "lang")
-    brief = texts.filter(F.length("text").between(1, max_chars))
-    short = brief.select("doc_id").join(named, "doc_id")
+    some = texts.filter(F.length("text") > 0)
+    known = some.select("doc_id").join(named, "doc_id").withColumn("h", F.xxhash64("doc_id", F.lit("toxic")))
     counts = {r["toxic"]: r["count"] for r in named.join(docs.select("doc_id"), "doc_id").groupBy("toxic").count().collect()}
-    # Each label's first rows, kept by every task on its own before they meet.
-    first = lambda label: short.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id", F.lit("toxic")), "doc_id").limit(per_class)
+    # Each label's first rows; later ones are dropped before they meet.
+    first = lambda label: known.filter((F.col("toxic") == label) & likely_first(F.col("h"), per_class, counts.get(label, 1))).orderBy("h", "doc_id").limit(per_class).drop("h")
     chosen = first(0).unionByName(first(1))
-    rows = sorted(brief.join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.coalesce("lang", F.lit("")).alias("lang"), (fold(8) == 1).alias("calibrate"), "doc_id").collect())
+    rows = sorted(some.join(F.broadcast(chosen), "doc_id").select("text", "toxic", F.coalesce("lang", F.lit("")).alias("lang"), (fold(8) == 1).alias("calibrate"), "doc_id").collect())
 
     def fit(rows: list) -> Classifier | None:
         if {r["toxic"] for r in rows} != {0, 1}:
