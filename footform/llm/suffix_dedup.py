@@ -5,6 +5,9 @@ smallest fingerprint of ``gram`` bytes), so two equal runs pick the same anchor
 its anchors sorted by fingerprint, as a sparse suffix array. A new batch is merge-scanned against the levels that exist;
 levels of equal size merge, so n batches keep log n levels. Matching anchors are refined: an anchor whose whole
 surroundings repeat needs no more; for others each run of ``length`` bytes is compared.
+
+Bytes are compared by 64-bit fingerprints, always two of them: of the anchor's own bytes and of the whole stretch. Texts
+that differ inside the anchor would need both to collide; of those that share it, only as many pairs as really do.
 """
 
 from __future__ import annotations
@@ -16,9 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, materialise, open_fs, small, small_batches
+from .common import ROW, fresh_dir, keyed, materialise, remove, small, small_batches
 
 LENGTH, GRAM = 400, 160
+PASSAGE = 256  # bytes: any shared run of so many shows in ``n_shared``
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 20  # bytes of text that are fingerprinted at once, or one longer text
 BLOCK = 8  # starts that are refined together
@@ -118,9 +122,9 @@ def entries(docs: DataFrame, length: int, gram: int) -> DataFrame:
 class IndexFamily:
     """Levels of a growing index in the shared folder: add batches, then ask for what is repeated."""
 
-    def __init__(self, spark: SparkSession, length: int = LENGTH, gram: int = GRAM):
+    def __init__(self, spark: SparkSession, length: int = LENGTH, gram: int = GRAM, folder: str | None = None):
         self.spark, self.length, self.gram = spark, length, gram
-        self.folder, self.made = fresh_dir(spark, "suffix-index"), 0
+        self.folder, self.made = folder or fresh_dir(spark, "suffix-index"), 0
         self.levels: list[tuple[int, str]] = []  # (batches, path), large ones first
         self.matches: list[str] = []
 
@@ -138,17 +142,17 @@ class IndexFamily:
         path = self._write(entries(docs.select("doc", "text"), self.length, self.gram))
         new = self._read(path)
         found = new.groupBy("fp").count().filter("count > 1").select("fp")
+        once = new.select("fp").distinct()  # so that a fingerprint of many texts is one row of the scan
         for _, level in self.levels:
-            found = found.unionByName(new.select("fp").join(self._read(level).select("fp"), "fp", "left_semi"))
+            found = found.unionByName(once.join(self._read(level).select("fp").distinct(), "fp", "left_semi"))
         self.matches.append(f"{self.folder}/match-{self.made}")
         found.distinct().write.parquet(self.matches[-1])
         size = 1
         while self.levels and self.levels[-1][0] == size:
             _, other = self.levels.pop()
             merged = self._write(self._read(other).unionByName(self._read(path)))
-            for old in (other, path):
-                fs, place = open_fs(old)
-                fs.delete_dir(place)
+            remove(other)
+            remove(path)
             path, size = merged, 2 * size
         self.levels.append((size, path))
 
@@ -157,23 +161,24 @@ class IndexFamily:
         seen = self._read(self.matches[0], "fp long")
         for path in self.matches[1:]:
             seen = seen.unionByName(self._read(path, "fp long"))
-        seen = materialise(seen.distinct(), "suffix-seen")
+        keep = lambda df, name: materialise(df, name, self.folder)
+        seen = keep(seen.distinct(), "seen")
         held = None
         for _, path in self.levels:
             held = self._read(path) if held is None else held.unionByName(self._read(path))
-        shared = materialise(held.join(seen, "fp", "left_semi"), "suffix-shared")
-        kinds = materialise(shared.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "suffix-kinds")
+        shared = keep(held.join(small(seen), "fp", "left_semi"), "shared")
+        kinds = keep(shared.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "kinds")
         whole = shared.join(kinds.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
         # Where an anchor's surroundings differ, one anchor of each kind shows its runs, first in blocks of starts.
         unsure = kinds.filter("n = 1").select("fp").distinct()
         asked = kinds.join(unsure, "fp", "left_semi").select("fp", "one.doc", "one.pos", "one.lo", "one.hi")
-        blocks = materialise(self._refined(docs, asked, BLOCK), "suffix-blocks")
-        sorts = materialise(blocks.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "suffix-kinds")
+        blocks = keep(self._refined(docs, asked, BLOCK), "blocks")
+        sorts = keep(blocks.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "kinds")
         some = blocks.join(sorts.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
         # A block's core lies in all of its runs: only where the core repeats may a single run do.
         open_cores = sorts.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1").select("fp")
         asked = sorts.join(open_cores, "fp", "left_semi").select("fp", "one.doc", "one.pos", "one.lo", "one.hi")
-        runs = materialise(self._refined(docs, asked, 1), "suffix-runs")
+        runs = keep(self._refined(docs, asked, 1), "runs")
         twice = runs.groupBy("fp", "ext").count().filter("count > 1").select("fp", "ext")
         single = runs.join(twice, ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
         return whole.unionByName(some).unionByName(single)
@@ -207,32 +212,61 @@ class IndexFamily:
         return docs.select("doc", "text").join(by_doc, "doc").mapInArrow(run, ENTRY)
 
 
-def without_repeats(docs: DataFrame, batches: int = 3, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) for ``docs(doc_id, text)`` with unique ids.
+def seeds(docs: DataFrame, passage: int, gram: int) -> DataFrame:
+    """``fp, doc``: fingerprints of the ``gram`` bytes that each run of ``passage`` bytes picks, once for each doc."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), [t.encode() for t in batch.column(1).to_pylist()]
+            for a, b in chunks([len(t) for t in texts]):
+                text, fp, *_ = anchors(texts[a:b], passage, gram)
+                one = np.unique(np.stack([text, fp]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(one[1], pa.int64()), pa.array(ids[a + one[0]] if one.size else [], pa.int64())], ["fp", "doc"])
+
+    return docs.mapInArrow(run, "fp long, doc long")
+
+
+def shared_passages(docs: DataFrame, passage: int, gram: int, folder: str) -> DataFrame:
+    """``doc, n_shared``: how many of the seeds of a doc another doc of ``docs(doc, text)`` holds too; docs with any."""
+    own = materialise(seeds(docs.filter(F.octet_length("text") >= passage).select("doc", "text"), passage, gram), "seeds", folder)
+    several = materialise(own.groupBy("fp").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).filter("a < b").select("fp"), "several", folder)
+    return materialise(own.join(small(several), "fp", "left_semi").groupBy("doc").agg(F.count(F.lit(1)).alias("n_shared")), "passages", folder)
+
+
+def without_repeats(docs: DataFrame, batches: int = 3, length: int = LENGTH, gram: int = GRAM, passage: int = PASSAGE) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary)``, n_shared`` for each row of ``docs(doc_id, text)``.
 
     A byte is removed if a run of ``length`` bytes that covers it starts anywhere else too, in the same text or in
-    another; matches never cross texts. A null text is empty. Equal texts are indexed once and removed whole. An empty
-    table gives no rows; extra columns are ignored.
+    another; matches never cross texts. A null text is empty. Equal texts are indexed once and removed whole. Rows are
+    told apart by their place, so null and repeated ids are rows as others. An empty table gives no rows; extra columns
+    are ignored.
+
+    ``n_shared`` removes nothing: it counts the strings of ``gram`` bytes, of those that any ``passage`` bytes pick by
+    content, that another row holds too. It is above 0 for each row that shares a run of ``passage`` bytes.
     """
     spark = docs.sparkSession
-    small_batches(spark, 128)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
+    small_batches(spark)
+    work = fresh_dir(spark, "suffix")
+    docs = keyed(docs.select("doc_id", "text")).select(F.col(ROW).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    shared = shared_passages(docs, passage, min(gram, passage), work)
     long = docs.filter(F.octet_length("text") >= length)
     key = [F.sha2("text", 256).alias("sha")]
-    classes = long.select("doc", *key).groupBy("sha").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = materialise(long.select("doc", *key).join(classes, "sha").select("doc", (F.col("doc") == F.col("first")).alias("stays")), "suffix-copies")
+    hashes = materialise(long.select("doc", *key), "hashes", work)
+    classes = hashes.groupBy("sha").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = materialise(hashes.join(small(materialise(classes, "classes", work)), "sha").select("doc", (F.col("doc") == F.col("first")).alias("stays")), "copies", work)
     unlike = long.join(small(copies.filter("not stays").select("doc")), "doc", "left_anti")
-    family = IndexFamily(spark, length, gram)
+    family = IndexFamily(spark, length, gram, work)
     for k in range(batches):
         family.add(unlike.filter(F.pmod(F.xxhash64("doc"), F.lit(batches)) == k))
     spans = family.repeated(unlike)
     spans = spans.unionByName(copies.select("doc", F.lit(-1).alias("lo"), F.lit(-1).alias("hi")))  # -1: all of the text
-    by_doc = spans.groupBy("doc").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+    by_doc = materialise(spans.groupBy("doc").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi")).join(shared, "doc", "full_outer"), "suffix-result")
+    remove(work)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, lo, hi in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, text, lo, hi, n_shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
                 removed = spans_n = 0
                 kept = raw
@@ -245,13 +279,13 @@ def without_repeats(docs: DataFrame, batches: int = 3, length: int = LENGTH, gra
                     cover = np.cumsum(mark[:-1]) > 0
                     removed, spans_n = int(cover.sum()), int(cover[0]) + int((cover[1:] & ~cover[:-1]).sum())
                     kept = np.frombuffer(raw, np.uint8)[~cover].tobytes()
-                rows.append((doc, len(raw), removed, spans_n, kept))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+                rows.append((doc, len(raw), removed, spans_n, kept, n_shared or 0))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "n_shared"])
 
-    return docs.join(by_doc, "doc", "left").select("doc", "text", "lo", "hi").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return docs.join(by_doc, "doc", "left").select("doc_id", "text", "lo", "hi", "n_shared").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, n_shared long")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = without_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_shared", (F.col("n_shared") > 0).alias("shares_passage"))
