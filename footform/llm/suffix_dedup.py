@@ -25,6 +25,7 @@ LENGTH, GRAM = 400, 160
 PASSAGE = 256  # bytes: any shared run of so many shows in ``n_shared``
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 20  # bytes of text that are fingerprinted at once, or one longer text
+SALTS = 16  # files of a level that the anchors of one fingerprint are dealt to
 BLOCK = 8  # starts that are refined together
 ASKED = 1_000_000  # anchors or blocks of some 20 bytes that a join may broadcast to the texts; more are shuffled
 ENTRY = "fp long, ext long, doc long, pos int, lo int, hi int"
@@ -131,7 +132,7 @@ class IndexFamily:
     def _write(self, df: DataFrame) -> str:
         self.made += 1
         path = f"{self.folder}/{self.made}"
-        df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "fp").sortWithinPartitions("fp").write.parquet(path)
+        df.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "fp", F.pmod("doc", F.lit(SALTS))).sortWithinPartitions("fp").write.parquet(path)
         return path
 
     def _read(self, path: str, schema: str = ENTRY) -> DataFrame:
