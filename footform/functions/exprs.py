@@ -28,6 +28,13 @@ def first_true(*columns: Column) -> Column:
     return F.coalesce(*(F.when(~t.isin("", "0", "0.0", "false", "{}", "[]"), t) for t in texts))
 
 
+def json_true(text: Column, field: str) -> Column:
+    """A field of a JSON object as text, null where it is null, an empty text, a bare zero or false; a quoted "0" counts."""
+    value = F.get_json_object(text, f"$.{field}")
+    quoted = F.regexp_like(text, F.lit(rf'"{field}"\s*:\s*"'))
+    return F.when(quoted, F.nullif(value, F.lit(""))).otherwise(first_true(value))
+
+
 def parse_dt(c: Column) -> Column:
     return F.try_to_timestamp(F.regexp_replace(F.regexp_replace(c, "Z", ""), "T", " "))
 
@@ -88,20 +95,26 @@ def parse_float(c: Column) -> Column:
     return F.coalesce(c.try_cast("double"), F.regexp_replace(c, "%", "").try_cast("double"))
 
 
-def parse_line(row: Column, fields: tuple[str, ...] = ("label", "handicap", "line")) -> Column:
-    """The first field of a JSON object that gives a line: a number as it is, a text's first unsigned number."""
+def parse_line(row: Column, parsed: Column | None = None, fields: tuple[str, ...] = ("label", "handicap", "line")) -> Column:
+    """The first field of a JSON object that gives a line: a number as it is, a text's first unsigned number.
+
+    ``parsed`` has the fields as texts already; the object is then only looked at where a sign makes a difference.
+    """
 
     def one(name: str) -> Column:
-        raw = F.get_json_object(row, f"$.{name}")
+        raw = F.get_json_object(row, f"$.{name}") if parsed is None else parsed[name]
+        unsigned = F.nullif(F.regexp_extract(raw, r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double")
+        number = raw.try_cast("double")
         quoted = F.regexp_like(row, F.lit(rf'"{name}"\s*:\s*"'))
-        return F.when(~quoted, raw.try_cast("double")).otherwise(F.nullif(F.regexp_extract(raw, r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double"))
+        return F.when(number.isNull() | number.eqNullSafe(unsigned) | quoted, unsigned).otherwise(number)
 
     return F.coalesce(*(one(f) for f in fields))
 
 
-def market_key(row: Column) -> Column:
-    known = F.try_element_at(F.create_map(*(F.lit(x) for kv in MARKETS.items() for x in kv)), safe_int(F.get_json_object(row, "$.market_id")))
-    text = F.coalesce(first_true(F.get_json_object(row, "$.market_description"), F.get_json_object(row, "$.market")), F.lit("market"))
+def market_key(row: Column, parsed: Column | None = None) -> Column:
+    get = lambda name: F.get_json_object(row, f"$.{name}") if parsed is None else parsed[name]
+    known = F.try_element_at(F.create_map(*(F.lit(x) for kv in MARKETS.items() for x in kv)), safe_int(get("market_id")))
+    text = F.coalesce(first_true(get("market_description"), get("market")), F.lit("market"))
     return F.coalesce(known, slug(text))
 
 

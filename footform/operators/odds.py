@@ -22,21 +22,27 @@ def odds_target_fixtures(t: Tables, *, leagues: list[int], as_of: str, days: int
 
 def payload_rows(snapshots: DataFrame) -> DataFrame:
     """One row per entry of ``data`` in ``snapshots(fixture_id, bookmaker_id, pulled_at, raw)``: its JSON text as ``row``."""
-    rows = F.posexplode(F.from_json(F.get_json_object("raw", "$.data"), "array<string>")).alias("place", "row")
+    rows = F.posexplode(F.from_json("raw", "data array<string>")["data"]).alias("place", "row")
     return snapshots.select("fixture_id", "bookmaker_id", "pulled_at", rows)
 
 
+#: Fields of an offer, each as its text.
+OFFER = ", ".join(f"{c} string" for c in "market_id market_description market name label total handicap line value dp3 american latest_bookmaker_update updated_at".split())
+
+
 def parsed_rows(snapshots: DataFrame) -> DataFrame:
     """Outcome columns of every payload row with a price; participants are not resolved yet."""
-    get = lambda name: F.get_json_object("row", f"$.{name}")
-    key = market_key(F.col("row"))
+    row, x = F.col("row"), F.col("x")
+    get = lambda name: x[name]
+    key = market_key(row, x)
     name = F.coalesce(first_true(get("name"), get("total"), get("label")), F.lit(""))
     label = F.coalesce(first_true(get("label"), get("total")), F.lit(""))
     return (
         payload_rows(snapshots)
+        .withColumn("x", F.from_json("row", OFFER))
         .select(
             "fixture_id", "bookmaker_id", "pulled_at", "place", key.alias("market_key"), slug(F.trim(F.concat(name, F.lit(" "), label))).alias("selection_key"), name.alias("name"),
-            participant_type(get("market_description"), key).alias("declared_type"), parse_line(F.col("row")).cast("decimal(10,2)").alias("line"),
+            participant_type(get("market_description"), key).alias("declared_type"), parse_line(row, x).cast("decimal(10,2)").alias("line"),
             parse_float(first_true(get("value"), get("dp3"))).cast("decimal(10,4)").alias("price_decimal"), safe_int(get("american")).alias("price_american"), parse_dt(first_true(get("latest_bookmaker_update"), get("updated_at"))).alias("last_updated_at"),
         )
         .filter("price_decimal is not null")

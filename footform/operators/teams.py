@@ -226,8 +226,13 @@ def likely_players(t: Tables, *, league, recent_days: int | None = 30, last: int
     return one.select("team_id", "player_id", "x.confidence", F.col("x.starting_at").alias("last_seen_at"), F.col("x.fixture_id").cast("long").alias("source_fixture_id"), stamp.alias("updated_at"))
 
 
+def refreshed_count(t: Tables, **params) -> DataFrame:
+    """``upserted``: how many rows a refresh writes, new or in place of known ones."""
+    return likely_players(t, **params).agg(F.count(F.lit(1)).alias("upserted"))
+
+
 def refresh_team_likely_players(t: Tables, **params) -> DataFrame:
-    """The table after a refresh: fresh rows replace those of their key, stale rows stay."""
+    """The table after a refresh: fresh rows replace those of their key, stale rows stay. See :func:`refreshed_count`."""
     from ..sources.merge import merge_by_key
 
     fresh = likely_players(t, **params)

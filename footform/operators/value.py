@@ -44,13 +44,19 @@ def team_shot_form(t: Tables, last: bool = True) -> DataFrame:
 
 
 def shot_over_odds(odds: DataFrame, bookmaker: int = 2) -> DataFrame:
-    """``fixture_id, market, side, line, odds``: overs of match shots (292) and team shots (285); the last row of a line wins."""
+    """``fixture_id, side, line, odds``: overs of match shots (292) and team shots (285).
+
+    Of several prices for one line the last row wins: the newest ``pulled_at``, then the largest ``place`` (of those
+    columns that ``odds`` has), then the price, so that the result doesn't hang on the order of reading.
+    """
     total = F.coalesce(F.nullif(F.get_json_object("raw", "$.total"), F.lit("")), F.nullif(F.col("selection"), F.lit("")), F.col("line").cast("string"))
     label = F.lower(F.get_json_object("raw", "$.label"))
     side = F.when(F.col("market_id") == 292, "match").when(label == "1", "home").when(label == "2", "away")
     under = F.coalesce(F.lower("selection").contains("under"), F.lit(False)) | F.lower(total).contains("under")
-    rows = odds.filter((F.col("bookmaker_id") == bookmaker) & F.col("market_id").isin(292, 285) & ~under).select("fixture_id", side.alias("side"), over_line(total).alias("line"), F.col("decimal_odds").cast("double").alias("odds"))
-    return rows.filter("side is not null and line is not null").groupBy("fixture_id", "side", "line").agg(F.max("odds").alias("odds"))
+    rows = odds.filter((F.col("bookmaker_id") == bookmaker) & F.col("market_id").isin(292, 285) & ~under)
+    order = F.struct(*(F.col(c) for c in ("pulled_at", "place") if c in odds.columns), F.col("decimal_odds").cast("double").alias("odds")).alias("order")
+    rows = rows.select("fixture_id", side.alias("side"), over_line(total).alias("line"), order)
+    return rows.filter("side is not null and line is not null").groupBy("fixture_id", "side", "line").agg(F.max("order")["odds"].alias("odds"))
 
 
 def rate_over(games: DataFrame, by: list[str], value: str, line: str, least: int) -> DataFrame:
@@ -67,16 +73,27 @@ def best_rate(asked: DataFrame, form: DataFrame, value: str, sizes: tuple[int, .
 
     Samples are cut before unknown values are dropped.
     """
-    newest = last_n(form, "team_id", max(sizes)).select("team_id", "rn", value)
-    sampled = newest.withColumn("size", F.explode(F.array(*(F.lit(s) for s in sizes)))).filter("rn <= size")
-    rates = rate_over(asked.select("team_id", "line").distinct().join(sampled, "team_id"), ["team_id", "line", "size"], value, "line", least)
-    best = Window.partitionBy("team_id", "line").orderBy(F.desc("pct"), "size")
-    return rates.withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")
+    return best_rates(asked.withColumn("metric", F.lit(value)), form, [value], sizes, least).drop("metric")
+
+
+def best_rates(asked: DataFrame, form: DataFrame, values: list[str], sizes: tuple[int, ...], least: int) -> DataFrame:
+    """As :func:`best_rate` for each asked ``team_id, line, metric``, a metric being one of the columns ``values``.
+
+    Only the asked teams' games are ranked, once for all metrics.
+    """
+    asked = asked.select("team_id", "line", "metric").distinct()
+    own = form.join(asked.select("team_id").distinct(), "team_id", "left_semi")
+    newest = last_n(own, "team_id", max(sizes)).select("team_id", "rn", F.explode(F.array(*(F.struct(F.lit(v).alias("metric"), F.col(v).alias("value")) for v in values))).alias("m"))
+    sampled = newest.select("team_id", "rn", "m.metric", "m.value", F.explode(F.array(*(F.lit(s) for s in sizes))).alias("size")).filter("rn <= size and value is not null")
+    rates = rate_over(asked.join(sampled, ["team_id", "metric"]), ["team_id", "line", "metric", "size"], "value", "line", least)
+    best = rates.groupBy("team_id", "line", "metric").agg(F.max_by(F.struct("pct", "total", "avg", "seq", "size"), F.struct("pct", (-F.col("size")).alias("less"))).alias("best"))
+    return best.select("team_id", "line", "metric", "best.*")
 
 
-def _joined(rows: DataFrame, rates: DataFrame, team: str, prefix: str) -> DataFrame:
+def _joined(rows: DataFrame, rates: DataFrame, team: str, prefix: str, metric: str | None = None) -> DataFrame:
     names = {"pct": f"{prefix}_pct", "avg": f"{prefix}_avg", "total": f"{prefix}_samples", "size": f"{prefix}_sample_size", "seq": f"{prefix}_seq"}
-    return rows.join(rates.select(F.col("team_id").alias(team), "line", *(F.col(a).alias(b) for a, b in names.items())), [team, "line"])
+    keys = [F.col("team_id").alias(team), "line"] + ([F.col("metric").alias(metric)] if metric else [])
+    return rows.join(rates.select(*keys, *(F.col(a).alias(b) for a, b in names.items())), [team, "line"] + ([metric] if metric else []))
 
 
 def team_shot_value_bets(
@@ -94,12 +111,12 @@ def team_shot_value_bets(
     own = F.when(F.col("side") == "away", F.col("away_team_id")).otherwise(F.col("home_team_id"))
     other = F.when(F.col("side") == "away", F.col("home_team_id")).otherwise(F.col("away_team_id"))
     lines = lines.select("fixture_id", "starting_at", "side", "line", "odds", own.alias("team_id"), other.alias("opponent_id"))
-    team, match = lines.filter("side <> 'match'"), lines.filter("side = 'match'")
-    asks = lambda df, c: df.select(F.col(c).alias("team_id"), "line")
-    rated = lambda df, c, value: best_rate(asks(df, c), form, value, sizes, min_samples)
-    team = _joined(_joined(team, rated(team, "team_id", "shots_for"), "team_id", "team"), rated(team, "opponent_id", "shots_against"), "opponent_id", "opp")
-    match = _joined(_joined(match, rated(match, "team_id", "match_shots"), "team_id", "team"), rated(match, "opponent_id", "match_shots"), "opponent_id", "opp")
-    rows = team.withColumn("market", F.lit("team shots")).unionByName(match.withColumn("market", F.lit("match shots")))
+    match = F.col("side") == "match"
+    lines = lines.withColumn("market", F.when(match, "match shots").otherwise("team shots"))
+    lines = lines.withColumn("own_metric", F.when(match, "match_shots").otherwise("shots_for")).withColumn("opp_metric", F.when(match, "match_shots").otherwise("shots_against"))
+    asks = lambda team, metric: lines.select(F.col(team).alias("team_id"), "line", F.col(metric).alias("metric"))
+    rates = best_rates(asks("team_id", "own_metric").union(asks("opponent_id", "opp_metric")), form, ["shots_for", "shots_against", "match_shots"], sizes, min_samples)
+    rows = _joined(_joined(lines, rates, "team_id", "team", "own_metric"), rates, "opponent_id", "opp", "opp_metric").drop("own_metric", "opp_metric")
     rows = rows.withColumn("least_pct", F.least("team_pct", "opp_pct")).filter(F.col("least_pct") >= min_pct)
     names = t.teams.select(F.col("id"), F.col("name"))
     rows = rows.join(names.toDF("team_id", "team"), "team_id", "left").join(names.toDF("opponent_id", "opp"), "opponent_id", "left")

@@ -10,7 +10,7 @@ fixtures AS (
          CASE WHEN o_orderstatus <> 'O' THEN floor(o_totalprice / 10)::BIGINT % 3 END AS away_score
   FROM orders JOIN customer ON o_custkey = c_custkey
 ), teams AS (SELECT n_nationkey AS id, n_name AS name, 'N' || n_nationkey AS short_code, NULL::VARCHAR AS image_path FROM nation
-), players AS (SELECT p_partkey AS id, p_name || ' ' || p_brand AS name, p_name AS common_name, p_brand AS short_name FROM part
+), players AS (SELECT p_partkey AS id, p_name || ' ' || p_brand AS name, p_name AS common_name, p_brand AS short_name, p_partkey % 25 AS team_id FROM part
 ), fixture_players AS (
   SELECT fixture_id, player_id, CASE WHEN ln % 2 = 1 THEN home_team_id ELSE away_team_id END AS team_id, ln <= 4 AS is_starter, q::INT AS minutes_played
   FROM (SELECT l_orderkey AS fixture_id, l_partkey AS player_id, min(l_linenumber) AS ln, max(l_quantity) AS q FROM lineitem GROUP BY 1, 2) JOIN fixtures ON fixture_id = id
@@ -36,7 +36,7 @@ fixtures AS (
   SELECT * FROM (VALUES (42, 'Shots Total', 'shots-total'), (52, 'Goals', 'goals'), (83, 'Redcards', 'redcards'), (84, 'Yellowcards', 'yellowcards'), (85, 'Yellowred Cards', 'yellowred-cards'), (5304, 'Expected Goals (xG)', 'expected-goals')) v(id, name, code)
 ), odds_latest AS (
   SELECT l_orderkey AS fixture_id, CASE WHEN l_linenumber % 2 = 1 THEN CASE WHEN l_linenumber % 4 = 1 THEN 'home' ELSE 'away' END ELSE 'match' END AS side,
-         CASE WHEN l_linenumber % 2 = 1 THEN 1.5 + l_partkey % 4 ELSE 3.5 + l_partkey % 6 END::DOUBLE AS line, max(((100 + 20 * round(l_discount * 100) + 10 * round(l_tax * 100)) / 100)::DOUBLE) AS odds FROM lineitem GROUP BY ALL
+         CASE WHEN l_linenumber % 2 = 1 THEN 1.5 + l_partkey % 4 ELSE 3.5 + l_partkey % 6 END::DOUBLE AS line, last(((100 + 20 * round(l_discount * 100) + 10 * round(l_tax * 100)) / 100)::DOUBLE ORDER BY l_shipdate, ((100 + 20 * round(l_discount * 100) + 10 * round(l_tax * 100)) / 100)::DOUBLE) AS odds FROM lineitem GROUP BY ALL
 ), player_odds AS (
   SELECT DISTINCT l_orderkey AS fixture_id, l_partkey AS player_id, (0.5 + l_linenumber % 3)::DOUBLE AS line, ((100 + 20 * round(l_discount * 100) + 10 * round(l_tax * 100)) / 100)::DOUBLE AS odds FROM lineitem WHERE l_linestatus = 'F'
 ), form AS (

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from ..operators import catalog, odds, players, quality, teams, value
 from ..sources import ingest, merge, sinks
 from ..sources.proxy import tables
-from .oracle import ORACLES, sql
+from . import landing
+from .oracle import DOMAIN, ORACLES, sql
 
 AS_OF = "2001-08-02 00:00:00"
 ON = "2001-07-31"
@@ -160,8 +161,6 @@ QUERIES |= {
     "filter_players_by_odds": _derived(lambda t: odds.filter_players_by_odds(t, t.players.filter("short_name < 'Brand#3'").select(F.col("id").alias("player_id")), on="2001-05-01", league=0, market="player_shots", least=1.2, most=2.5, days=90)),
     "odds_coverage": _on(odds.odds_coverage, as_of="2001-07-01 00:00:00", league=0),
     "odds_latest": _derived(lambda t: _pulled(t).select("fixture_id", "market_key", "selection_key", "line", "price_decimal")),
-    "parse_outcomes": _derived(lambda t: odds.parse_outcomes(t, t.odds_snapshots, t.fixtures).select("fixture_id", "market_key", "selection_key", "participant_type", "participant_id", "line", "price_decimal")),
-    "unmatched_player_odds": _derived(lambda t: odds.unmatched_player_odds(odds.parse_outcomes(replace(t, players=t.players.filter("id % 4 <> 0")), t.odds_snapshots, t.fixtures))),
     "upsert_outcomes": _derived(_upsert),
     "team_shot_form": _on(value.team_shot_form),
     "shot_over_odds": _derived(lambda t: value.shot_over_odds(t.odds_latest)),
@@ -193,4 +192,6 @@ QUERIES |= {
     "merge_by_key": _derived(_merged),
 }
 
-ORACLE_SQL = {name: sql(body) for name, body in ORACLES.items()}
+QUERIES |= {name: (lambda spark, sf_dir, run=run: flat(run(spark, sf_dir))) for name, run in landing.QUERIES.items()}
+
+ORACLE_SQL = {name: sql(body) for name, body in ORACLES.items()} | {name: landing.landing_sql(DOMAIN, body) for name, body in landing.ORACLES.items()}

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.exprs import first_true, is_starter, minutes, parse_dt, position_abbr, safe_int, stat_value
+from ..functions.exprs import first_true, is_starter, json_true, minutes, parse_dt, position_abbr, safe_int, stat_value
 from ..operators.core import instant
 from ..schemas import Tables
 from .merge import fill_by_key, latest_wins
@@ -34,14 +35,19 @@ SCORE = "struct<type_id:int,score:struct<participant:string,goals:string>,partic
 def read_raw_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per item of the responses below ``path`` (a JSON object a line): ``source, position, item`` as JSON text.
 
-    ``data`` may be a list or one object; a line without it, or that is no JSON, gives nothing.
+    ``data`` may be a list or one object; a line without it, or that is no JSON, gives nothing. ``line`` orders the lines
+    of a file: by the block that a line is in, then by its turn, however the blocks of a file are dealt to tasks.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), F.monotonically_increasing_id().alias("line"), F.get_json_object("value", "$.data").alias("data"))
+    order = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("turn"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source"), order.alias("line"), F.get_json_object("value", "$.data").alias("data"))
     items = F.from_json(F.when(F.col("data").startswith("["), F.col("data")).otherwise(F.concat(F.lit("["), F.col("data"), F.lit("]"))), "array<string>")
     return lines.filter("data is not null").select("source", "line", F.posexplode(items).alias("position", "item"))
 
 
 def parsed(raw: DataFrame, schema: str) -> DataFrame:
+    """Items with an id, as ``x``; items that are parsed already stay as they are."""
+    if "x" in raw.columns:
+        return raw
     return raw.select("*", F.from_json("item", schema).alias("x")).filter("x.id is not null")
 
 
@@ -70,7 +76,7 @@ def extract_scores(scores: Column) -> tuple[Column, Column]:
     def side(name: str, *fields: str) -> Column:
         own = F.filter(entries, lambda s: (s["side"] == name) & s["goals"].isNotNull())
         current = F.filter(own, lambda s: s["type_id"] == 1525)
-        flat = F.when(text.startswith("{"), safe_int(first_true(*(F.get_json_object(text, f"$.{f}") for f in fields))))
+        flat = F.when(text.startswith("{"), safe_int(F.coalesce(*(json_true(text, f) for f in fields))))
         # A zero in the first field of an object reads as missing; the last field's zero stays.
         last = F.when(text.startswith("{"), safe_int(F.get_json_object(text, f"$.{fields[-1]}")))
         return F.coalesce(F.try_element_at(current, F.lit(-1))["goals"], F.try_element_at(own, F.lit(1))["goals"], flat, last)
@@ -169,7 +175,8 @@ def _last_named(rows: DataFrame) -> DataFrame:
 
 def flatten_player_statistics(raw: DataFrame) -> DataFrame:
     """Details of every appearance; the value comes from ``data`` or ``value``, so one given as ``stat`` alone is null."""
-    rows = _lineups(raw).select("fixture_id", "player_id", "team_id", "source", "line", "position", F.posexplode("e.details").alias("place", "d"))
+    rows = _lineups(raw).select("fixture_id", "player_id", "team_id", "source", "line", "position", F.col("place").alias("entry"), F.posexplode("e.details").alias("detail", "d"))
+    rows = rows.withColumn("place", F.struct("entry", "detail"))
     d = F.col("d")
     type_id = F.coalesce(first_true(d["type_id"]), d["type"]["id"].cast("string")).try_cast("int")
     rows = rows.select("fixture_id", "player_id", type_id.alias("type_id"), F.coalesce(first_true(d["type"]["code"]), type_id.cast("string")).alias("code"), "team_id", d["type"]["name"].alias("name"), stat_value(first_true(d["data"], d["value"])).alias("value"), "source", "line", "position", "place")
@@ -185,7 +192,9 @@ def derive_fixture_sides(fixtures: DataFrame, participants: DataFrame) -> DataFr
 
 
 def build_tables(raw: DataFrame, current: Tables | None = None) -> Tables:
-    """All tables of a landing folder of fixtures; the parsed text is read once per table, pruned to what it needs."""
+    """All tables of a landing folder of fixtures. The text is parsed once and kept for the tables, on disk where memory
+    is short; a lost part is parsed again."""
+    raw = parsed(raw, FIXTURE).persist(StorageLevel.MEMORY_AND_DISK)
     participants = flatten_participants(raw)
     teams = teams_from_participants(raw)
     return Tables(

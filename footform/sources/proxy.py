@@ -68,14 +68,14 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     over = F.when(odd("l_linenumber"), 1.5 + F.col("l_partkey") % 4).otherwise(3.5 + F.col("l_partkey") % 6)
     market = F.when(odd("l_linenumber"), 285).otherwise(292)
     payload = F.to_json(F.struct(F.concat(F.lit("Over "), over.cast("string")).alias("total"), F.when(F.col("l_linenumber") % 4 == 1, "1").otherwise("2").alias("label")))
-    latest = line.select(F.col("l_orderkey").alias("fixture_id"), F.lit(2).alias("bookmaker_id"), market.alias("market_id"), F.lit("Over").alias("selection"), F.lit(None).cast("string").alias("line"), dec.alias("decimal_odds"), payload.alias("raw"))
+    latest = line.select(F.col("l_orderkey").alias("fixture_id"), F.lit(2).alias("bookmaker_id"), market.alias("market_id"), F.lit("Over").alias("selection"), F.lit(None).cast("string").alias("line"), dec.alias("decimal_odds"), payload.alias("raw"), F.col("l_shipdate").cast("timestamp").alias("pulled_at"))
     shots_json = F.to_json(F.array(F.struct(F.struct(F.lit("SHOTS_TOTAL").alias("developer_name")).alias("type"), F.struct(F.col("value").alias("value")).alias("data"))))
     details = F.to_json(F.array(F.struct(F.col("type_id"), F.struct(F.col("value").alias("value")).alias("data"))))
     names = [(42, "Shots Total", "shots-total"), (52, "Goals", "goals"), (83, "Redcards", "redcards"), (84, "Yellowcards", "yellowcards"), (85, "Yellowred Cards", "yellowred-cards"), (5304, "Expected Goals (xG)", "expected-goals")]
     return Tables(
         fixtures=fx,
         teams=nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("short_code"), F.lit(None).cast("string").alias("image_path")),
-        players=part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_name").alias("common_name"), F.col("p_brand").alias("short_name")),
+        players=part.select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.col("p_name").alias("common_name"), F.col("p_brand").alias("short_name"), (F.col("p_partkey") % 25).cast("int").alias("team_id")),
         fixture_players=lineups,
         fixture_player_statistics=player_facts,
         fixture_statistics=team_facts,
@@ -101,3 +101,85 @@ def snapshots(line: DataFrame, part: DataFrame) -> DataFrame:
     return rows.select(
         F.xxhash64("l_orderkey", "l_shipdate").alias("id"), F.col("l_orderkey").alias("fixture_id"), F.lit(2).alias("bookmaker_id"), F.col("l_shipdate").cast("timestamp").alias("pulled_at"), F.to_json(F.struct("data")).alias("raw")
     )
+
+
+def _landing(df: DataFrame, turn: str, item) -> DataFrame:
+    """Payload rows as :func:`ingest.read_raw_payloads` gives them: ``source, line, position, item``."""
+    return df.select(F.lit("derived").alias("source"), F.col(turn).alias("line"), F.lit(0).alias("position"), F.to_json(item).alias("item"))
+
+
+def season_payloads(seasons: DataFrame) -> DataFrame:
+    """A season's league is a number or an object, its dates have either name."""
+    odd, text = F.col("id") % 2 == 1, lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    item = F.struct(
+        "id", F.when(odd, F.col("league_id")).alias("league_id"), F.when(~odd, F.struct(F.col("league_id").alias("id"))).alias("league"), F.concat(F.lit("S"), F.col("id").cast("string")).alias("name"),
+        F.when(odd, text("start_date")).alias("start_date"), F.when(~odd, text("start_date")).alias("starting_at"), text("end_date").alias("end_date"), F.when(odd, F.col("is_current")).alias("is_current"), F.when(~odd, F.col("is_current")).alias("current"),
+    )
+    return _landing(seasons, "id", item)
+
+
+def team_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams as customers name them: each of a nation's customers gives the nation another name."""
+    names = _read(spark, sf_dir, "customer").join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    item = F.struct(F.col("n_nationkey").alias("id"), F.concat_ws(" ", "n_name", F.col("c_custkey").cast("string")).alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("short_code"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("logo"), F.col("c_custkey").cast("string"))).alias("logo_path"))
+    return _landing(names, "c_custkey", item)
+
+
+def type_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    item = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("code"), F.upper("p_name").alias("developer_name"), F.col("p_type").alias("stat_group"))
+    return _landing(_read(spark, sf_dir, "part"), "p_partkey", item)
+
+
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_discount", "l_tax")
+
+
+def fixture_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload an order: its teams as participants, its line items as line-ups with details, their sums as statistics.
+
+    Fields come and go by number, so that every way of finding a value is used; repeated parts of an order are line-ups
+    of one player given twice.
+    """
+    fx, nation = fixtures(spark, sf_dir), _read(spark, sf_dir, "nation")
+    named = lambda side: nation.select(F.col("n_nationkey").alias(f"{side}_team_id"), F.col("n_name").alias(f"{side}_name"))
+    line = _read(spark, sf_dir, "lineitem").join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    n, q, odd = F.col("l_linenumber"), F.col("l_quantity").cast("int"), F.col("l_linenumber") % 2 == 1
+    code = lambda c: F.struct(F.lit(c).alias("code"))
+    detail = lambda type_id, type_, data, value: F.struct(F.lit(type_id).cast("int").alias("type_id"), type_.alias("type"), data.alias("data"), value.alias("value"))
+    a_type = lambda i, c, name: F.struct(F.lit(i).cast("int").alias("id"), F.lit(c).cast("string").alias("code"), F.lit(name).cast("string").alias("name"))
+    data = lambda v: F.struct(v.alias("value"))
+    no_value = F.lit(None).cast("int")
+    details = F.array(
+        detail(42, a_type(42, "shots-total", "Shots Total"), data(F.when(F.col("l_returnflag") != "R", q % 5)), no_value), detail(119, a_type(119, None, "Minutes Played"), data(q), no_value),
+        detail(None, a_type(52, None, "Goals"), data(no_value), q % 3),
+    )
+    spot = F.when(n % 4 == 1, F.struct(F.lit(24).alias("id"), F.lit("Centre Back").alias("name"), F.lit("centre-back").alias("code")))
+    entry = F.struct(
+        *LINE_ORDER, odd.alias("odd"),
+        F.struct(
+            F.when(n % 3 != 0, F.col("l_partkey")).alias("player_id"), F.struct(F.col("l_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("fullname"), F.col("p_name").alias("common_name"), F.col("p_brand").alias("short_name")).alias("player"),
+            F.when(odd, F.col("p_name")).alias("player_name"), F.when(n <= 4, 11).otherwise(12).alias("type_id"), F.when(n % 4 == 0, "Goalkeeper").when(n % 4 == 3, "Striker").alias("position"), n.alias("jersey_number"), n.cast("string").alias("formation_position"),
+            F.when(odd, q).alias("minutes_played"), spot.alias("detailedposition"), details.alias("details"),
+        ).alias("e"),
+    )
+    lines = line.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(entry)).alias("lines"))
+    both = fx.join(named("home"), "home_team_id").join(named("away"), "away_team_id").join(lines, "id")
+    goals = lambda side, kind: F.struct(F.lit(kind).alias("type_id"), F.struct(F.lit(side).alias("participant"), F.when(F.lit(kind) == 1525, F.col(f"{side}_score")).otherwise(9).alias("goals")).alias("score"))
+    listed = F.to_json(F.array(goals("home", 1), goals("home", 1525), goals("away", 1525), goals("away", 2)))
+    flat = F.to_json(F.struct(F.col("home_score").cast("string").alias("localteam_score"), F.lit(7).alias("home"), F.col("away_score").alias("visitorteam_score"), F.col("away_score").alias("away")))
+    third = F.col("id") % 3
+    side = lambda s: F.struct(
+        F.when(third != 1, F.col(f"{s}_team_id")).alias("id"), F.when(third == 1, F.col(f"{s}_team_id")).alias("team_id"), F.when(third != 0, F.concat_ws(" ", f"{s}_name", F.col("id").cast("string"))).alias("name"),
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("C"), F.col("id").cast("string"))).alias("short_code"), F.struct(F.lit(s).alias("location"), F.col(f"{s}_score").cast("string").alias("score")).alias("meta"),
+    )
+    team = lambda x: F.when(x["odd"], F.col("home_team_id")).otherwise(F.col("away_team_id"))
+    sums = F.transform("lines", lambda x: F.struct(F.lit(42).alias("type_id"), a_type(42, "shots-total", "Shots Total").alias("type"), team(x).alias("participant_id"), F.when(x["odd"], "Home").otherwise("Away").alias("location"), data((x["l_quantity"] % 5).cast("int")).alias("data")))
+    lineups = F.transform("lines", lambda x: x["e"].withField("team_id", team(x)))
+    even = F.col("id") % 2 == 0
+    head = F.to_json(F.struct(
+        "id", "league_id", "season_id", F.date_format("starting_at", "yyyy-MM-dd HH:mm:ss").alias("starting_at"), F.when(even, F.col("home_team_id")).alias("home_team_id"), F.when(even, F.col("away_team_id")).alias("away_team_id"),
+        F.struct(F.lit("FT").alias("state")).alias("state"), F.array(side("home"), side("away")).alias("participants"), sums.alias("statistics"), lineups.alias("lineups"),
+    ))
+    # Scores are a list or an object, so they are put in as text.
+    scores = F.when(third == 0, flat).otherwise(listed)
+    item = F.concat(F.lit('{"scores":'), scores, F.lit(","), F.substring(head, 2, 1 << 30))
+    return both.select(F.lit("derived").alias("source"), F.col("id").alias("line"), F.lit(0).alias("position"), item.alias("item"))

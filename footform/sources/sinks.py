@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from dataclasses import replace
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.core import instant
@@ -95,8 +97,45 @@ def export_counts(t: Tables) -> DataFrame:
 
 
 def append_snapshots(snapshots: DataFrame, path: str) -> None:
-    snapshots.withColumn("pulled_on", F.to_date("pulled_at")).write.mode("append").partitionBy("pulled_on").parquet(path)
+    """Adds snapshots below ``path``, by month of the pull; a month's rows go to as few files as their size asks for."""
+    snapshots.withColumn("pulled_month", F.date_format("pulled_at", "yyyy-MM")).hint("rebalance", "pulled_month").write.mode("append").partitionBy("pulled_month").parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, batch: int = 500) -> None:
     df.write.mode("append").option("batchsize", batch).jdbc(url, table, properties=properties or {})
+
+
+def upsert_jdbc(df: DataFrame, url: str, table: str, keys: list[str], properties: dict[str, str] | None = None, batch: int = 500) -> None:
+    """Rows of ``df`` (a key once) into a database table: known keys are overwritten, others added.
+
+    Executors load a staging table in batches; the database then merges it in one statement, so readers see all or
+    nothing, and a run that is repeated changes nothing more.
+    """
+    staging, quoted = f"{table}_staging", lambda c: f'"{c}"'
+    df.write.mode("overwrite").option("batchsize", batch).jdbc(url, staging, properties=properties or {})
+    rest = [c for c in df.columns if c not in keys]
+    same = " AND ".join(f"a.{quoted(k)} = b.{quoted(k)}" for k in keys)
+    update = f" WHEN MATCHED THEN UPDATE SET {', '.join(f'{quoted(c)} = b.{quoted(c)}' for c in rest)}" if rest else ""
+    insert = f" WHEN NOT MATCHED THEN INSERT ({', '.join(map(quoted, df.columns))}) VALUES ({', '.join(f'b.{quoted(c)}' for c in df.columns)})"
+    jvm = df.sparkSession._jvm
+    given = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        given.setProperty(k, v)
+    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        statement = connection.createStatement()
+        statement.executeUpdate(f"MERGE INTO {table} AS a USING {staging} AS b ON {same}{update}{insert}")
+        statement.executeUpdate(f"DROP TABLE {staging}")
+    finally:
+        connection.close()
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name in the folder that driver and executors share; a local session that names none gets its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="footform-shared-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

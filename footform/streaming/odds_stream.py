@@ -1,69 +1,52 @@
-"""The odds feed as a stream: snapshot files in, an outcomes table kept current."""
+"""The odds feed as a stream: snapshot files in, parsed and resolved outcomes out, one partition of Parquet a micro-batch.
 
-from __future__ import annotations
+Nothing is rewritten: a micro-batch adds its own partition, and the newest price of a key is found when the outcomes are
+read. A micro-batch that runs again after a failure overwrites its partition with the same rows.
+"""
 
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.odds import latest_in_batch, parsed_rows, upsert_outcomes
-from ..schemas import SCHEMAS
+from ..operators.odds import OUTCOME_KEY, latest_in_batch, parse_outcomes
+from ..schemas import SCHEMAS, Tables
 
-OUTCOMES = SCHEMAS["odds_outcomes"] + ", pulled_at timestamp"
+OUTCOMES = SCHEMAS["odds_outcomes"] + ", pulled_at timestamp, place int"
 
 
 def read_snapshots(spark: SparkSession, path: str, late: str = "1 hour", files: int | None = None) -> DataFrame:
-    """Snapshot rows of JSON files in ``path``, each id once within the watermark."""
+    """Snapshot rows of JSON files in ``path``; an id that comes again within ``late`` is dropped, late ids are not."""
     reader = spark.readStream.schema(SCHEMAS["odds_snapshots"])
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
-    return reader.json(path).withWatermark("pulled_at", late).dropDuplicatesWithinWatermark(["id"])
-
-
-def newer_only(current: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of ``new`` that are not older than what ``current`` holds under their key: late pulls change nothing."""
-    key = ["fixture_id", "bookmaker_id", "market_key", "selection_key", "line"]
-    held = current.filter("line is not null").groupBy(*key).agg(F.max("pulled_at").alias("held_at"))
-    return new.join(held, key, "left").filter("held_at is null or pulled_at >= held_at").drop("held_at")
-
+    seen = reader.json(path).withColumn("read_at", F.current_timestamp()).withWatermark("read_at", late)
+    return seen.dropDuplicatesWithinWatermark(["id"]).drop("read_at")
 
-class OutcomeTable:
-    """Versions of the outcomes below a folder; a version is whole once its marker is written."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+def write_epoch(snapshots: DataFrame, epoch: int, target: str, t: Tables) -> None:
+    """The outcomes of a micro-batch, players and teams resolved by ``t``, as partition ``epoch`` of ``target``."""
+    fixtures = t.fixtures.join(snapshots.select(F.col("fixture_id").alias("id")).distinct(), "id", "left_semi")
+    columns = [x.strip().split(" ")[0] for x in OUTCOMES.replace("decimal(10,2)", "d").replace("decimal(10,4)", "d").split(",")]
+    latest_in_batch(parse_outcomes(t, snapshots, fixtures)).select(*columns).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
 
-    def _pointer(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/current")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def read(self) -> DataFrame:
-        fs, path = self._pointer()
-        if not fs.exists(path):
-            return self.spark.createDataFrame([], OUTCOMES)
-        newest = max((s.getPath().getName() for s in fs.listStatus(path)), default=None)
-        if newest is None:
-            return self.spark.createDataFrame([], OUTCOMES)
-        version = newest.split("~", 1)[1]
-        return self.spark.read.schema(OUTCOMES).parquet(f"{self.folder}/{version}")
+def current_outcomes(spark: SparkSession, target: str) -> DataFrame:
+    """The outcomes that all epochs leave: of a key the newest pull, then the later epoch and place.
 
-    def apply(self, snapshots: DataFrame, epoch: int) -> None:
-        """Merges a micro-batch into a new version; a repeated epoch gives the same rows again."""
-        new = latest_in_batch(parsed_rows(snapshots)).select(
-            F.col("fixture_id").cast("long").alias("fixture_id"), "bookmaker_id", "market_key", "selection_key", F.col("declared_type").alias("participant_type"), F.lit(None).cast("long").alias("participant_id"),
-            "line", "price_decimal", "price_american", "last_updated_at", "pulled_at",
-        )
-        current = self.read()
-        version = f"v-{uuid.uuid4().hex}"
-        upsert_outcomes(current, newer_only(current, new)).write.parquet(f"{self.folder}/{version}")
-        fs, path = self._pointer()
-        fs.mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/current/{epoch:012d}~{version}"))
+    A participant once known stays known where a newer row lacks it. Rows without a line equal nothing and all stay.
+    """
+    rows = spark.read.schema(OUTCOMES + ", epoch int").parquet(target)
+    order = F.struct("pulled_at", "epoch", "place")
+    values = [c for c in rows.columns if c not in OUTCOME_KEY and c not in ("epoch", "place")]
+    kept = {"participant_type", "participant_id"}
+    newest = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) if c in kept else F.max_by(c, order).alias(c) for c in values]
+    lined = rows.filter("line is not null").groupBy(*OUTCOME_KEY).agg(*newest)
+    return lined.unionByName(rows.filter("line is null").select(lined.columns))
 
 
-def odds_stream(spark: SparkSession, source: str, target: str, checkpoint: str, late: str = "1 hour", files: int | None = None, once: bool = False) -> StreamingQuery:
-    """Starts the feed: each micro-batch of snapshots is parsed, reduced to its newest rows and merged into ``target``."""
-    table = OutcomeTable(spark, target)
-    writer = read_snapshots(spark, source, late, files).writeStream.foreachBatch(table.apply).option("checkpointLocation", checkpoint)
+def odds_stream(spark: SparkSession, source: str, target: str, checkpoint: str, t: Tables, late: str = "1 hour", files: int | None = None, once: bool = False) -> StreamingQuery:
+    """Starts the feed: each micro-batch of snapshots is parsed, resolved, reduced to its newest rows and added to ``target``."""
+    writer = read_snapshots(spark, source, late, files).writeStream.foreachBatch(lambda df, epoch: write_epoch(df, epoch, target, t)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

@@ -164,17 +164,52 @@ def test_parse_outcomes(spark, t):
 
 
 def test_stream_keeps_newest(spark, tmp_path):
-    from footform.streaming.odds_stream import OutcomeTable, odds_stream
+    from footform.streaming.odds_stream import current_outcomes, odds_stream, write_epoch
 
-    source, target = tmp_path / "in", tmp_path / "out"
+    source, target = tmp_path / "in", f"file://{tmp_path}/out"
     source.mkdir()
-    price = lambda i, when, p: {"id": i, "fixture_id": 1, "bookmaker_id": 2, "pulled_at": when, "raw": json.dumps({"data": [{"market_id": 268, "name": "A", "label": "1.5", "value": p}]})}
+    price = lambda i, when, p, **more: {"id": i, "fixture_id": 1, "bookmaker_id": 2, "pulled_at": when, "raw": json.dumps({"data": [{"market_id": 268, "name": "A", "label": "1.5", "value": p, **more}]})}
+    t = Tables(
+        fixtures=spark.createDataFrame([(1, 5, 6)], "id long, home_team_id int, away_team_id int"), teams=spark.createDataFrame([], "id int, name string, short_code string"),
+        players=spark.createDataFrame([(9, "Á", None, None, 5)], "id int, name string, common_name string, short_name string, team_id int"), fixture_players=spark.createDataFrame([], "fixture_id long, player_id int"),
+    )
+    run = lambda: odds_stream(spark, f"file://{source}", target, f"file://{tmp_path}/ck", t, once=True).awaitTermination()
     (source / "1.json").write_text(json.dumps(price(1, "2024-01-01T10:30:00Z", "2.0")) + "\n" + json.dumps(price(1, "2024-01-01T10:30:00Z", "2.0")))
-    odds_stream(spark, f"file://{source}", f"file://{target}", f"file://{tmp_path}/ck", once=True).awaitTermination()
+    run()
     (source / "2.json").write_text(json.dumps(price(2, "2024-01-01T10:00:00Z", "9.0")))
-    odds_stream(spark, f"file://{source}", f"file://{target}", f"file://{tmp_path}/ck", once=True).awaitTermination()
-    rows = OutcomeTable(spark, f"file://{target}").read().collect()
-    assert [(r.market_key, float(r.price_decimal)) for r in rows] == [("player_shots", 2.0)]
+    run()
+    read = lambda: sorted(((r.market_key, r.participant_id, r.line and float(r.line), float(r.price_decimal)) for r in current_outcomes(spark, target).collect()), key=str)
+    assert read() == [("player_shots", 9, 1.5, 2.0)]
+    # An epoch that is applied twice leaves the same rows, also those without a line.
+    more = spark.createDataFrame([tuple(price(3, "2024-01-01T11:00:00Z", "3.0", label="Yes").values())], "id long, fixture_id long, bookmaker_id int, pulled_at string, raw string").withColumn("pulled_at", F.to_timestamp("pulled_at"))
+    for _ in range(2):
+        write_epoch(more, 7, target, t)
+        assert read() == [("player_shots", 9, 1.5, 2.0), ("player_shots", 9, None, 3.0)]
+
+
+def test_last_price_of_a_line_wins(spark):
+    rows = [(1, 2, 292, "Over 8.5", None, 2.5, "{}", "2024-01-01", 0), (1, 2, 292, "Over 8.5", None, 1.5, "{}", "2024-01-02", 0), (1, 2, 292, "Over 8.5", None, 1.25, "{}", "2024-01-02", 1), (1, 2, 292, "Under 8.5", None, 9.0, "{}", "2024-01-03", 0)]
+    odds = spark.createDataFrame(rows, "fixture_id long, bookmaker_id int, market_id int, selection string, line string, decimal_odds double, raw string, pulled_at string, place int")
+    assert [tuple(r) for r in value.shot_over_odds(odds).collect()] == [(1, "match", 8.5, 1.25)]
+
+
+def test_quoted_zero_is_a_score(spark):
+    df = spark.createDataFrame([('{"localteam_score": "0", "home": 5}',), ('{"localteam_score": 0, "home": 5}',), ('{"localteam_score": 0, "home": 0}',), ('{"home": ""}',)], "s string")
+    home, _ = ingest.extract_scores(F.col("s"))
+    assert [r[0] for r in df.select(home).collect()] == [0, 5, 0, None]
+
+
+def test_upsert_into_a_database(spark):
+    from pyspark.errors import PySparkException
+
+    url, props = "jdbc:derby:memory:footform;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    frame = lambda *rows: spark.createDataFrame(rows, "id int, name string")
+    sinks.write_jdbc(frame((1, "a"), (2, "b")), url, "teams", props)
+    for _ in range(2):  # a repeated run changes nothing more
+        sinks.upsert_jdbc(frame((2, "B"), (3, "c")), url, "teams", ["id"], props)
+        assert sorted(map(tuple, spark.read.jdbc(url, "teams", properties=props).collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    with pytest.raises(PySparkException):
+        spark.read.jdbc(url, "teams_staging", properties=props).collect()
 
 
 def test_exports(spark, t, tmp_path):
