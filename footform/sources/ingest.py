@@ -151,7 +151,7 @@ def flatten_fixture_players(raw: DataFrame) -> DataFrame:
     held = lambda f: F.get_json_object(F.when(e["position"].startswith("{"), e["position"]), f"$.{f}")
     position_name = first_true(held("name"), e["position_name"], p["position_name"], p["position"], e["position"])
     detailed_name = first_true(e["detailed_position_name"], p["detailed_position_name"], held("detailed_position_name"), held("name"))
-    details = F.transform(e["details"], lambda d: F.struct(F.coalesce(d["type_id"], d["type"]["id"]).alias("type_id"), first_true(d["type"]["name"], d["type"]["code"]).alias("type_name"), stat_value(first_true(d["data"], d["value"])).alias("value")))
+    details = F.transform(e["details"], lambda d: F.struct(F.coalesce(d["type_id"], d["type"]["id"]).alias("type_id"), first_true(d["type"]["name"], d["type"]["code"]).alias("type_name"), stat_value(F.coalesce(first_true(d["data"]), d["value"])).alias("value")))
     rows = _lineups(raw).select(
         "fixture_id", "player_id", "team_id", first_true(e["player_name"], p["fullname"], p["name"]).alias("name"), first_true(e["position"], p["position"], p["position_name"]).alias("position"),
         first_true(e["type"], e["type_id"]).alias("lineup_type"), first_true(e["jersey_number"], e["number"]).alias("jersey_number"), position_name.alias("position_name"), e["formation_field"].alias("formation_field"),
@@ -179,7 +179,7 @@ def flatten_player_statistics(raw: DataFrame) -> DataFrame:
     rows = rows.withColumn("place", F.struct("entry", "detail"))
     d = F.col("d")
     type_id = F.coalesce(first_true(d["type_id"]), d["type"]["id"].cast("string")).try_cast("int")
-    rows = rows.select("fixture_id", "player_id", type_id.alias("type_id"), F.coalesce(first_true(d["type"]["code"]), type_id.cast("string")).alias("code"), "team_id", d["type"]["name"].alias("name"), stat_value(first_true(d["data"], d["value"])).alias("value"), "source", "line", "position", "place")
+    rows = rows.select("fixture_id", "player_id", type_id.alias("type_id"), F.coalesce(first_true(d["type"]["code"]), type_id.cast("string")).alias("code"), "team_id", d["type"]["name"].alias("name"), stat_value(F.coalesce(first_true(d["data"]), d["value"])).alias("value"), "source", "line", "position", "place")
     return _last(rows, ["fixture_id", "player_id", "type_id", "code"])
 
 

@@ -200,7 +200,7 @@ def test_quoted_zero_is_a_score(spark):
 
 
 def test_upsert_into_a_database(spark):
-    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
 
     url, props = "jdbc:derby:memory:footform;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     frame = lambda *rows: spark.createDataFrame(rows, "id int, name string")
@@ -208,7 +208,7 @@ def test_upsert_into_a_database(spark):
     for _ in range(2):  # a repeated run changes nothing more
         sinks.upsert_jdbc(frame((2, "B"), (3, "c")), url, "teams", ["id"], props)
         assert sorted(map(tuple, spark.read.jdbc(url, "teams", properties=props).collect())) == [(1, "a"), (2, "B"), (3, "c")]
-    with pytest.raises(PySparkException):
+    with pytest.raises(Py4JJavaError):
         spark.read.jdbc(url, "teams_staging", properties=props).collect()
 
 
