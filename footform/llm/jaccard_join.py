@@ -24,9 +24,9 @@ from .common import ROW, fresh_dir, keyed, materialise, remove, small, small_bat
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-MAX_BITS = 1 << 16
+MAX_BITS = 1 << 14
 MOST_WORDS = 200_000  # that a Python worker remembers the hashes of
-GROUP_ROWS = 4000  # members of regions that are joined in one group
+GROUP_ROWS = 2000  # members of regions that are joined in one group
 
 
 class _Words(dict):
@@ -236,7 +236,7 @@ def outside(regions: DataFrame, sets: DataFrame, labels: DataFrame, percent: int
     return left.groupBy("group_").cogroup(right.groupBy("group")).applyInPandas(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, frequent_from: int = 4, most_frequent: int = 200_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, frequent_from: int = 16, most_frequent: int = 200_000) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: ``ROW, doc_id, n_shingles, class_id, component_id, kept``.
 
     Documents link when ``100 * |x & y| >= percent * |x | y|``. class_id is the smallest doc_id with an equal set,
