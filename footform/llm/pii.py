@@ -45,12 +45,18 @@ _NUMBER = rf"(?:{'|'.join(sorted(SPELLED, key=len, reverse=True))})"
 _SEP = r"[\x20,.-]{1,2}"
 _OPEN, _CLOSE = r"\x20{0,3}[(\[{<]\x20{0,3}", r"\x20{0,3}[)\]}>]\x20{0,3}"
 _DOT = r"(?:dot|punkt|punto|point)"
-#: Top-level domains that end an address whose at and dots are plain words.
+#: Top-level domains that end an address whose last dot is a mere ".".
 _TLD = r"(?:com|org|net|edu|gov|info|biz|io|co|ai|app|dev|eu|uk|us|de|fr|es|it|nl|ch|at|test|example|invalid)"
+_SPELT_DOT = rf"(?:\x20dot\x20|{_OPEN}{_DOT}{_CLOSE})"
+_LABEL = r"[\w-]{1,63}"
+#: A host whose last dot is spelled may end in any letters; "the dot", "a dot" and their like are prose.
+_HOST = rf"(?!(?:an?|the|this|that|each|every|any|some|no|which)\x20dot\x20)(?:(?:{_LABEL}(?:{_SPELT_DOT}|\.)){{1,8}}{_TLD}\b|(?:{_LABEL}(?:{_SPELT_DOT}|\.)){{0,7}}{_LABEL}{_SPELT_DOT}[a-z]{{2,24}}\b)"
+#: Between blanks a dot may end a sentence, so that endings which are words as well don't count.
+_SPACED = rf"(?:{_LABEL}(?:{_SPELT_DOT}|\x20?\.\x20?)){{0,8}}(?!(?:info|app|us|de|es|it|at|test|example|invalid)\b){_TLD}\b"
 RULES = re.compile(
     rf"(?P<glyph>[{re.escape(''.join(HOMOGLYPHS))}])"
-    rf"|(?P<at>{_OPEN}(?:at|arroba|@){_CLOSE}|\x20at\x20(?=(?:[\w-]{{1,63}}(?:\x20dot\x20|{_OPEN}{_DOT}{_CLOSE}|\.)){{1,8}}{_TLD}\b)(?=[\w.-]{{1,200}}(?:\x20dot\x20|{_OPEN})))"
-    rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE}|\x20dot\x20(?=\w))"
+    rf"|(?P<at>{_OPEN}(?:at|arroba|@){_CLOSE}|\x20@\x20(?={_SPACED})|\x20at\x20(?={_HOST})(?=[\w.-]{{1,200}}(?:\x20dot\x20|{_OPEN})))"
+    rf"|(?P<dot>{_OPEN}(?:{_DOT}|\.){_CLOSE}|\x20dot\x20(?=\w)|(?<=\w)\x20\.\x20(?={_SPACED}))"
     rf"|(?P<plus>\bplus\x20(?=[0-9]|{_NUMBER}\b))"
     rf"|(?P<digits>\b{_NUMBER}(?:{_SEP}(?:{_NUMBER}|[0-9]+))*+(?!\w))",
     re.IGNORECASE,
@@ -68,7 +74,7 @@ def disguised(text: str) -> bool:
     """Whether the transducer could rewrite anything: false for nearly every text, at the cost of one split."""
     if not text.isascii() and not _GLYPHS.isdisjoint(text):
         return True
-    if any(c in text for c in "([{<") and _BRACKETED.search(text):
+    if " @ " in text or any(c in text for c in "([{<") and _BRACKETED.search(text):
         return True
     words = text.encode().translate(_FOLD).split()
     seen = _WORDS.union(_BESIDE).intersection(words)

@@ -214,7 +214,7 @@ def test_detectors_equal_the_patterns():
     [
         ("mail bob (at) example (dot) com now", "email:bob (at) example (dot) com"), ("write bob.x at mail dot example dot com please", "email:bob.x at mail dot example dot com"), ("ｂｏｂ＠ｅｘａｍｐｌｅ．ｃｏｍ hi", "email:ｂｏｂ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
         ("call +1 four one five five five five two one eight six", "phone:+1 four one five five five five two one eight six"), ("ip 10 dot 0 dot 0 dot 1 ok", "ip:10 dot 0 dot 0 dot 1"), ("ip one nine two dot one six eight dot zero dot one.", "ip:one nine two dot one six eight dot zero dot one"), ("Ьоb@exаmple.com end", "email:Ьоb@exаmple.com"),
-        ("four zero four one eight nine four nine seven four six zero eight seven nine five", "card:four zero four one eight nine four nine seven four six zero eight seven nine five"), ("look at the dot on it", ""), ("bob at example.com", ""), ("one of two at three", ""),
+        ("four zero four one eight nine four nine seven four six zero eight seven nine five", "card:four zero four one eight nine four nine seven four six zero eight seven nine five"), ("bob at example dot xyz", "email:bob at example dot xyz"), ("ask bob @ mail . example . com today", "email:bob @ mail . example . com"), ("three @ once . it is", ""), ("met at shop.store (closed)", ""), ("look at the dot on it", ""), ("bob at example.com", ""), ("one of two at three", ""),
     ],
 )
 def test_disguises(text, found):
