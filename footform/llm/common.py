@@ -48,6 +48,22 @@ def remove(uri: str) -> None:
         fs.delete_dir(path)
 
 
+_HOLDER: list[Callable[[], None] | None] = []
+
+
+def take_over(forget: Callable[[], None] | None = None) -> None:
+    """Let go of what another operator's tasks remembered in this Python worker, which Spark uses for one operator after
+    the other; ``forget`` does so for the caller's own memory when its turn is over. Call it from importable functions:
+    Spark sends a nested function with the memory it names."""
+    if _HOLDER != [forget]:
+        for other in _HOLDER:
+            if other:
+                other()
+        _HOLDER[:] = [forget]
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # the second one's also trims the C heap
+            pool.release_unused()
+
+
 BATCH_ROWS = 128
 
 

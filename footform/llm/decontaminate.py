@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_where, materialise, small_batches
+from .common import keep_where, materialise, small_batches, take_over
 
 #: Every byte that is neither a digit, a letter nor part of a non-ASCII character splits words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -81,6 +81,7 @@ _BUILT: dict[str, Automaton] = {}
 
 def built(token: str, items: list[tuple[int, str | None]], width: int) -> Automaton:
     """The automaton of a part of the items, made once in a Python worker's life; only the newest is held."""
+    take_over(_BUILT.clear)
     if token not in _BUILT:
         _BUILT.clear()
         _BUILT[token] = Automaton(items, width)

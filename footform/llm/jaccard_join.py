@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW, fresh_dir, keyed, materialise, remove, small, small_batches, without_rows
+from .common import ROW, fresh_dir, keyed, materialise, remove, small, small_batches, take_over, without_rows
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -48,6 +48,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, width: int) -> np.ndarray:
     """The distinct shingles of ``width`` words as sorted 64-bit numbers; of fewer words, the whole sequence as one."""
+    take_over(_WORDS.clear)
     words = (text or "").encode().translate(LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)

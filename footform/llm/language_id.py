@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keep_where, likely_first, small, small_batches
+from .common import keep_where, likely_first, small, small_batches, take_over
 
 UNKNOWN = "und"
 WINDOW = 128  # bytes that one run of the network covers; each text is cut into whole such windows
@@ -156,6 +156,7 @@ def train(docs: DataFrame, per_language: int = 500, chars: int = 250, **settings
 
 def predicted(network: Network | None, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Label and probability of each text; ``und`` and 0 for a null text, one without a letter, or without a network."""
+    take_over()
     texts = [t if network and t and any(map(str.isalpha, t)) else "" for t in texts]
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if any(texts):

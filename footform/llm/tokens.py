@@ -13,6 +13,8 @@ from array import array
 import regex
 from tokenizers import Tokenizer
 
+from .common import take_over
+
 #: Fixed value: the word pattern this fast path stands for; another one in the file turns the fast path off.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 UNUSUAL = regex.compile(r"[^\t\n\x0b\x0c\r\x20-\x7e\xa0-ɏ]")
@@ -73,6 +75,7 @@ class WordTokenizer:
     @classmethod
     def load(cls, path: str) -> WordTokenizer:
         """One tokenizer for a Python worker's life, so that later tasks find the words of earlier ones."""
+        take_over(_LOADED.clear)
         if path not in _LOADED:
             _LOADED[path] = cls(path)
         return _LOADED[path]
