@@ -12,6 +12,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 ROW = "__footform_row"  # the column that tells rows apart where ids don't
@@ -139,3 +140,25 @@ def read_range(uri: str, offset: int, length: int) -> bytes:
     fs, path = open_fs(uri)
     with fs.open_input_file(path) as f:
         return f.read_at(length, offset)
+
+
+def numbered(rows: DataFrame, group: str, order: list[Column], name: str, within: str | None = None, about: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``rows`` with ``place``, from 0 in the order of ``order`` within ``group`` (never null), and the group's ``members``.
+
+    Rows are dealt by ranges of group and order, ties by where they were read, so that a group of any size spreads over
+    tasks, and are written down in their order; only counts by group and range meet in a window. ``about`` gets a table
+    ``group, members`` with a row a group and returns it with more columns, which the group's rows then carry.
+    """
+    dealt = rows.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(F.col(group), *order, "__tie").sortWithinPartitions(group, *order, "__tie")
+    dealt = materialise(dealt.drop("__tie").withColumn("__at", F.monotonically_increasing_id()), name, within)
+    part = F.shiftright("__at", 33).alias("__part")  # the range that a row was written with
+    ranges = dealt.groupBy(group, part).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__first"))
+    whole = Window.partitionBy(group)
+    before = F.sum("__rows").over(whole.orderBy("__part")) - F.col("__rows")
+    ranges = ranges.select(group, "__part", "__first", before.alias("__before"), F.sum("__rows").over(whole).alias("members"))
+    ranges = materialise(ranges, f"{name}-ranges", within)
+    if about:
+        more = about(ranges.filter("__before = 0").select(group, "members"))
+        ranges = ranges.join(more.drop("members"), group)
+    out = dealt.withColumn("__part", part).join(small(ranges), [group, "__part"])
+    return out.withColumn("place", F.col("__before") + F.col("__at") - F.col("__first")).drop("__part", "__first", "__before", "__at")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, packing, pii, rans, suffix_dedup, toxicity, warc
+from . import decontaminate, exact_dedup, jaccard_join, language_id, merkle, packing, pii, rans, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_rans_tokens": rans.op1,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.op8,
     "op9_pii": pii.op9,
     "op10_exact_dedup": exact_dedup.op10,
+    "op11_merkle_manifest": merkle.op11,
 }
 
 ORACLE_SQL = {
     "op2_decontamination": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
