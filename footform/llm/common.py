@@ -160,5 +160,5 @@ def numbered(rows: DataFrame, group: str, order: list[Column], name: str, within
     if about:
         more = about(ranges.filter("__before = 0").select(group, "members"))
         ranges = ranges.join(more.drop("members"), group)
-    out = dealt.withColumn("__part", part).join(small(ranges), [group, "__part"])
+    out = dealt.withColumn("__part", part).join(small(ranges, BROADCAST_IDS // 5), [group, "__part"])
     return out.withColumn("place", F.col("__before") + F.col("__at") - F.col("__first")).drop("__part", "__first", "__before", "__at")

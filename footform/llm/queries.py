@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, decontaminate, exact_dedup, jaccard_join, language_id, merkle, packing, pii, rans, suffix_dedup, toxicity, warc
+from . import byte_bpe, decontaminate, exact_dedup, jaccard_join, language_id, merkle, packing, pii, prefix_trie, rans, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_rans_tokens": rans.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_pii": pii.op9,
     "op10_exact_dedup": exact_dedup.op10,
     "op11_merkle_manifest": merkle.op11,
+    "op12_prefix_trie": prefix_trie.op12,
     "op13_byte_bpe": byte_bpe.op13,
 }
 
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op6_warc": warc.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_prefix_trie": prefix_trie.ORACLE,
 }
