@@ -1,14 +1,13 @@
-"""Scalar functions as column expressions; only name folding needs Python, as an Arrow UDF."""
+"""Scalar functions as column expressions."""
 
 from __future__ import annotations
 
-import re
+import json
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Position codes and their abbreviations.
 POSITIONS = {
@@ -78,17 +77,30 @@ def slug(c: Column) -> Column:
     return F.when(text == "", "unknown").otherwise(text)
 
 
-@F.pandas_udf(StringType())
-def fold_name(names: pd.Series) -> pd.Series:
-    """Names without accents, in lower-case letters and digits only; null stays null."""
+@cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Characters that stand for one plain letter or digit, those letters and digits, and what others stand for.
 
-    def fold(name: str | None) -> str | None:
-        if name is None:
-            return None
-        plain = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
-        return re.sub("[^a-z0-9]+", "", plain.lower())
-
-    return names.map(fold)
+    By the compatibility decomposition without its combining marks; a character that has none stands for nothing.
+    """
+    one, several = {}, {}
+    for c in filter(unicodedata.decomposition, map(chr, range(0x80, 0x110000))):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()
+        plain = "".join(x for x in plain if x.isascii() and x.isalnum())
+        if plain:
+            (one if len(plain) == 1 else several)[c] = plain
+    return "".join(one), "".join(one.values()), several
+
+
+def fold_name(name: Column | str) -> Column:
+    """A name without accents, in lower-case letters and digits only; null stays null."""
+    name = F.col(name) if isinstance(name, str) else name
+    accented, letters, several = _folds()
+    plain = F.translate(name, accented, letters)
+    stands_for = F.from_json(F.lit(json.dumps(several)), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(stands_for, c), c)), "")
+    known = F.when(F.octet_length(name) == F.char_length(name), name).when(F.regexp_like(plain, F.lit(f"[{''.join(several)}]")), spelled).otherwise(plain)
+    return F.regexp_replace(F.lower(known), "[^a-z0-9]+", "")
 
 
 def parse_float(c: Column) -> Column:
@@ -103,10 +115,11 @@ def parse_line(row: Column, parsed: Column | None = None, fields: tuple[str, ...
 
     def one(name: str) -> Column:
         raw = F.get_json_object(row, f"$.{name}") if parsed is None else parsed[name]
-        unsigned = F.nullif(F.regexp_extract(raw, r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double")
         number = raw.try_cast("double")
+        plain = number.isNotNull() & (F.translate(raw, "0123456789.", "") == "") & ~raw.startswith(".")
+        unsigned = F.nullif(F.regexp_extract(raw, r"([0-9]+(?:\.[0-9]+)?)", 1), F.lit("")).try_cast("double")
         quoted = F.regexp_like(row, F.lit(rf'"{name}"\s*:\s*"'))
-        return F.when(number.isNull() | number.eqNullSafe(unsigned) | quoted, unsigned).otherwise(number)
+        return F.when(plain, number).when(number.isNull() | quoted, unsigned).otherwise(number)  # branches are only read in turn
 
     return F.coalesce(*(one(f) for f in fields))
 

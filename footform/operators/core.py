@@ -48,9 +48,14 @@ def team_appearances(fixtures: DataFrame) -> DataFrame:
     return fixtures.select(F.col("id").alias("fixture_id"), "starting_at", both).select("fixture_id", "starting_at", "s.*")
 
 
+def of_league(facts: DataFrame, league: int) -> DataFrame:
+    """Facts that are stored by league: only that league's; others stay as they are."""
+    return facts.filter(F.col("league_id") == league).drop("league_id", "starting_month") if "league_id" in facts.columns else facts
+
+
 def player_appearances(t: Tables, league: int, season: int | None = None, started_only: bool = False, min_minutes: int | None = None) -> DataFrame:
     """Line-ups of finished fixtures: ``fixture_id, starting_at, player_id, team_id``; unknown minutes fail a minimum."""
-    rows = t.fixture_players
+    rows = of_league(t.fixture_players, league)
     if started_only:
         rows = rows.filter("is_starter")
     if min_minutes is not None:
@@ -75,9 +80,13 @@ def last_n(df: DataFrame, key: str, n: int | None) -> DataFrame:
 
 
 def stat_value(df: DataFrame, stats: DataFrame, type_id: int, keys: list[str]) -> DataFrame:
-    """``df`` with ``value``: repeated rows of a statistic collapse to their maximum before the join."""
-    best = stats.filter(F.col("type_id") == type_id).groupBy(*keys).agg(F.max("value").alias("value"))
-    return df.join(best, keys, "left")
+    """``df`` with ``value``: repeated rows of a statistic collapse to their maximum.
+
+    Facts meet the rows that ask for them before they are aggregated: those of other games never reach the aggregate,
+    which needs no shuffle of its own, for the join has dealt rows by ``keys``.
+    """
+    facts = stats.filter(F.col("type_id") == type_id).select(*keys, "value")
+    return df.join(facts, keys, "left").groupBy(*df.columns).agg(F.max("value").alias("value"))
 
 
 def sequence(value: str | Column) -> Column:

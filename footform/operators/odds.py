@@ -34,61 +34,81 @@ def parsed_rows(snapshots: DataFrame) -> DataFrame:
     """Outcome columns of every payload row with a price; participants are not resolved yet."""
     row, x = F.col("row"), F.col("x")
     get = lambda name: x[name]
-    key = market_key(row, x)
-    name = F.coalesce(first_true(get("name"), get("total"), get("label")), F.lit(""))
-    label = F.coalesce(first_true(get("label"), get("total")), F.lit(""))
-    return (
-        payload_rows(snapshots)
-        .withColumn("x", F.from_json("row", OFFER))
-        .select(
-            "fixture_id", "bookmaker_id", "pulled_at", "place", key.alias("market_key"), slug(F.trim(F.concat(name, F.lit(" "), label))).alias("selection_key"), name.alias("name"),
-            participant_type(get("market_description"), key).alias("declared_type"), parse_line(row, x).cast("decimal(10,2)").alias("line"),
-            parse_float(first_true(get("value"), get("dp3"))).cast("decimal(10,4)").alias("price_decimal"), safe_int(get("american")).alias("price_american"), parse_dt(first_true(get("latest_bookmaker_update"), get("updated_at"))).alias("last_updated_at"),
-        )
-        .filter("price_decimal is not null")
-        .withColumn("folded", fold_name("name"))
-    )
-
-
-def _aliases(df: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    one = df.select(*keys, F.explode(F.array(*names)).alias("alias")).filter("alias is not null and alias <> ''")
-    return one.withColumn("folded", fold_name("alias")).filter("folded <> ''").drop("alias")
+    price = parse_float(first_true(get("value"), get("dp3"))).cast("decimal(10,4)")
+    offers = payload_rows(snapshots).withColumn("x", F.from_json("row", OFFER)).withColumn("price_decimal", price).filter("price_decimal is not null")
+    # Texts that several columns read are made once, in a projection of their own.
+    texts = offers.select(
+        "fixture_id", "bookmaker_id", "pulled_at", "place", "row", "x", "price_decimal", market_key(row, x).alias("market_key"),
+        F.coalesce(first_true(get("name"), get("total"), get("label")), F.lit("")).alias("name"), F.coalesce(first_true(get("label"), get("total")), F.lit("")).alias("label"),
+    )
+    return texts.select(
+        "fixture_id", "bookmaker_id", "pulled_at", "place", "market_key", slug(F.trim(F.concat("name", F.lit(" "), "label"))).alias("selection_key"), "name",
+        participant_type(get("market_description"), F.col("market_key")).alias("declared_type"), parse_line(row, x).cast("decimal(10,2)").alias("line"),
+        "price_decimal", safe_int(get("american")).alias("price_american"), parse_dt(first_true(get("latest_bookmaker_update"), get("updated_at"))).alias("last_updated_at"),
+    )
+
+
+def _aliases(*names: str) -> Column:
+    """What a row's names fold to, each once."""
+    return F.array_distinct(F.filter(F.array(*map(fold_name, names)), lambda x: x != "")).alias("aliases")
+
+
+def _alias_rows(df: DataFrame, *keys: str) -> DataFrame:
+    return df.select(*keys, F.explode("aliases").alias("folded"))
+
+
+def team_aliases(t: Tables) -> DataFrame:
+    """``team_id, folded`` by names and short codes."""
+    return _alias_rows(t.teams.select(F.col("id").alias("team_id"), _aliases("name", "short_code")), "team_id")
 
 
 def team_name_map(t: Tables, fixtures: DataFrame) -> DataFrame:
     """``fixture_id, folded, team_id`` of the two teams of each fixture; the larger id where names clash."""
-    sides = fixtures.select(F.col("id").alias("fixture_id"), F.explode(F.array("home_team_id", "away_team_id")).alias("id"))
-    named = sides.join(t.teams.select("id", "name", "short_code"), "id").withColumnRenamed("id", "team_id")
-    return _aliases(named, ["fixture_id", "team_id"], ["name", "short_code"]).groupBy("fixture_id", "folded").agg(F.max("team_id").alias("team_id"))
+    sides = fixtures.select(F.col("id").alias("fixture_id"), F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    return sides.join(team_aliases(t), "team_id").groupBy("fixture_id", "folded").agg(F.max("team_id").alias("team_id"))
 
 
 def fixture_player_name_map(t: Tables, fixtures: DataFrame) -> DataFrame:
     """``fixture_id, folded, player_id`` by the names of a fixture's line-ups; the smallest id where names clash."""
     ids = fixtures.select(F.col("id").alias("fixture_id"))
-    own = "name" if "name" in t.fixture_players.columns else None
-    rows = t.fixture_players.join(ids, "fixture_id", "left_semi").select("fixture_id", "player_id", (F.col(own) if own else F.lit(None).cast("string")).alias("fixture_name"))
-    named = rows.join(t.players.select(F.col("id").alias("player_id"), "name", "common_name", "short_name"), "player_id", "left")
-    return _aliases(named, ["fixture_id", "player_id"], ["name", "common_name", "short_name", "fixture_name"]).groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
+    own = F.col("name") if "name" in t.fixture_players.columns else F.lit(None).cast("string")
+    rows = t.fixture_players.join(ids, "fixture_id", "left_semi").select("fixture_id", "player_id", own.alias("own"))
+    players = t.players.select(F.col("id").alias("player_id"), _aliases("name", "common_name", "short_name").alias("known"))
+    named = rows.join(players, "player_id", "left").withColumn("aliases", F.concat(F.coalesce("known", F.array().cast("array<string>")), _aliases("own")))
+    return _alias_rows(named, "fixture_id", "player_id").groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
 
 
-def squad_name_map(t: Tables, fixtures: DataFrame) -> DataFrame:
-    """As ``fixture_player_name_map``, by players whose team is one of the two."""
-    sides = fixtures.select(F.col("id").alias("fixture_id"), F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+def squad_name_map(t: Tables) -> DataFrame:
+    """``team_id, folded, player_id`` by the names of each team's players; the smallest id where names clash."""
     if "team_id" not in t.players.columns:
-        return fixture_player_name_map(t, fixtures.limit(0))
-    named = sides.join(t.players.select(F.col("id").alias("player_id"), "team_id", "name", "common_name", "short_name"), "team_id")
-    return _aliases(named, ["fixture_id", "player_id"], ["name", "common_name", "short_name"]).groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
+        return t.players.select(F.lit(None).cast("int").alias("team_id"), F.lit("").alias("folded"), F.col("id").alias("player_id")).filter("false")
+    named = t.players.filter("team_id is not null").select(F.col("id").alias("player_id"), "team_id", _aliases("name", "common_name", "short_name"))
+    return _alias_rows(named, "team_id", "player_id").groupBy("team_id", "folded").agg(F.min("player_id").alias("player_id"))
+
+
+def named_participants(t: Tables, names: DataFrame, fixtures: DataFrame) -> DataFrame:
+    """``names(fixture_id, name, ...)`` with ``team_id`` and ``player_id`` of those that a fixture knows by that name.
+
+    A player is looked for in the fixture's line-ups, then among its teams' players; the smallest id where several have
+    the name, the larger of two teams. Names are folded once for each player and team, and looked up by (team, name):
+    no fixture is ever joined with its whole squads.
+    """
+    sides = fixtures.select(F.col("id").alias("fixture_id"), "home_team_id", "away_team_id")
+    out = names.withColumn("folded", fold_name("name")).join(sides, "fixture_id", "left")
+    teams, squads = team_aliases(t).withColumn("found", F.col("team_id")), squad_name_map(t).withColumnRenamed("player_id", "found")
+    for side in ("home", "away"):
+        for of, known in (("team", teams), ("squad", squads)):
+            out = out.join(known.select(F.col("team_id").alias(f"{side}_team_id"), "folded", F.col("found").alias(f"{side}_{of}")), [f"{side}_team_id", "folded"], "left")
+    lineup = fixture_player_name_map(t, fixtures).withColumnRenamed("player_id", "lineup_id")
+    out = out.join(lineup, ["fixture_id", "folded"], "left")
+    return out.select(*names.columns, F.greatest("home_team", "away_team").alias("team_id"), F.coalesce("lineup_id", F.least("home_squad", "away_squad")).alias("player_id"))
 
 
 def parse_outcomes(t: Tables, snapshots: DataFrame, fixtures: DataFrame) -> DataFrame:
     """Outcomes of all snapshots with participants: players by line-up, then by squad; teams by the fixture's two names."""
-    rows = parsed_rows(snapshots)
-    lineup = fixture_player_name_map(t, fixtures).withColumnRenamed("player_id", "lineup_id")
-    squad = squad_name_map(t, fixtures).withColumnRenamed("player_id", "squad_id")
-    both = ["fixture_id", "folded"]
-    named = rows.join(team_name_map(t, fixtures), both, "left").join(lineup, both, "left").join(squad, both, "left")
+    named = named_participants(t, parsed_rows(snapshots), fixtures)
     kind = F.coalesce("declared_type", F.when(F.col("team_id").isNotNull(), "team"))
-    who = F.when(F.col("participant_type") == "player", F.coalesce("lineup_id", "squad_id")).when(F.col("participant_type") == "team", F.col("team_id"))
+    who = F.when(F.col("participant_type") == "player", F.col("player_id")).when(F.col("participant_type") == "team", F.col("team_id"))
     named = named.withColumn("participant_type", kind).withColumn("participant_id", who.cast("long"))
     return named.select("fixture_id", "bookmaker_id", "market_key", "selection_key", "participant_type", "participant_id", "line", "price_decimal", "price_american", "last_updated_at", "pulled_at", "place", "name")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import Tables
 from .core import (
-    complete, counts, day, falling, finished_fixtures, last_n, latest_team, london_date, player_appearances, recent_calendar, recent_rolling,
+    complete, counts, day, falling, finished_fixtures, last_n, latest_team, london_date, of_league, player_appearances, recent_calendar, recent_rolling,
     stat_value, top, window_agg, with_player, with_team,
 )
 
@@ -21,7 +21,7 @@ def _windows(t: Tables, league, type_id, n, season=None, started_only=False, min
         apps = apps.filter(F.col("player_id") == player)
     if only is not None:
         apps = apps.join(only, "player_id", "left_semi")
-    games = stat_value(last_n(apps, "player_id", n), t.fixture_player_statistics, type_id, ["fixture_id", "player_id"])
+    games = stat_value(last_n(apps, "player_id", n), of_league(t.fixture_player_statistics, league), type_id, ["fixture_id", "player_id"])
     return window_agg(games, "player_id", threshold=threshold)
 
 
@@ -75,7 +75,7 @@ def _candidates(t: Tables, on, league, season, team, source: str) -> DataFrame:
 
 def _on_date(t: Tables, on, league, type_id, n, threshold, season, started_only, min_minutes, team, source) -> DataFrame:
     apps = player_appearances(t, league, season, started_only, min_minutes).join(_candidates(t, on, league, season, team, source), "player_id", "left_semi")
-    games = stat_value(last_n(apps, "player_id", n), t.fixture_player_statistics, type_id, ["fixture_id", "player_id"])
+    games = stat_value(last_n(apps, "player_id", n), of_league(t.fixture_player_statistics, league), type_id, ["fixture_id", "player_id"])
     newest = games.filter("rn = 1").select("player_id", "team_id")
     # A missing value would count as 0 against the threshold; complete windows have none.
     return window_agg(games, "player_id", threshold=threshold).join(newest, "player_id")

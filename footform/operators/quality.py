@@ -70,8 +70,8 @@ def player_stat_sequence(t: Tables, *, player: int, type_id: int = 42, n: int =
 
 
 def find_player(t: Tables, *, name: str, team: int | None = None) -> DataFrame:
-    """The player of the newest fixture id among line-ups whose name holds ``name``."""
-    rows = t.fixture_players.join(t.players.select(F.col("id").alias("player_id"), F.col("name").alias("player_name")), "player_id").filter(F.lower("player_name").contains(name.lower()))
+    """The player of the newest fixture id among line-ups whose own name of a player holds ``name``, in any case."""
+    rows = t.fixture_players.withColumnRenamed("name", "player_name").filter(F.lower("player_name").contains(name.lower()))
     rows = rows if team is None else rows.filter(F.col("team_id") == team)
     return rows.orderBy(F.desc("fixture_id"), "player_id").limit(1).select("player_id", "player_name", "team_id", "fixture_id")
 

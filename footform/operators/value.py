@@ -28,11 +28,22 @@ def parse_shot_stats(stats: Column, last: bool = True) -> tuple[Column, Column]:
     return pick("shots_total", "shots total"), pick("shots_on_target", "shots on target")
 
 
-def team_shot_form(t: Tables, last: bool = True) -> DataFrame:
-    """``fixture_id, starting_at, team_id, opponent_id, shots_for, shots_against, match_shots`` of fixtures with two teams."""
+def newest_games(t: Tables, asked: DataFrame, n: int) -> DataFrame:
+    """``fixture_id`` of the newest ``n`` fixtures with statistics of two teams of each of ``asked(team_id)``; no statistic is read."""
+    sides = t.team_stats.groupBy("fixture_id").agg(F.collect_list("team_id").alias("teams")).filter("size(teams) >= 2").select("fixture_id", F.explode("teams").alias("team_id"))
+    dated = sides.join(asked.select("team_id").distinct(), "team_id", "left_semi").join(t.fixtures.filter("starting_at is not null").select(F.col("id").alias("fixture_id"), "starting_at"), "fixture_id")
+    return last_n(dated, "team_id", n).select("fixture_id").distinct()
+
+
+def team_shot_form(t: Tables, last: bool = True, asked: DataFrame | None = None, n: int | None = None) -> DataFrame:
+    """``fixture_id, starting_at, team_id, opponent_id, shots_for, shots_against, match_shots`` of fixtures with two teams.
+
+    With ``asked(team_id)`` only those of their newest ``n`` games; only their statistics are parsed.
+    """
     shots, _ = parse_shot_stats(F.col("stats"), last)
     fx = t.fixtures.filter("starting_at is not null").select(F.col("id").alias("fixture_id"), "starting_at", "home_team_id", "away_team_id")
-    rows = t.team_stats.select("fixture_id", "team_id", shots.alias("shots"))
+    stats = t.team_stats if asked is None else t.team_stats.join(newest_games(t, asked, n), "fixture_id", "left_semi")
+    rows = stats.select("fixture_id", "team_id", shots.alias("shots"))
     both = rows.groupBy("fixture_id").agg(F.collect_list(F.struct("team_id", "shots")).alias("sides")).filter("size(sides) >= 2").join(fx, "fixture_id")
     one = both.select("fixture_id", "starting_at", "home_team_id", "away_team_id", "sides", F.explode("sides").alias("s")).select("*", "s.team_id", F.col("s.shots").alias("shots_for"))
     other = F.try_element_at(F.filter("sides", lambda x: x["team_id"] != F.col("team_id")), F.lit(1))["team_id"]
@@ -100,7 +111,6 @@ def team_shot_value_bets(
     t: Tables, *, as_of, require_odds: bool = True, min_pct: float = 0.8, min_samples: int = 8, lookback: int = 2, lookahead: int = 14, sizes: tuple[int, ...] = (10, 20), limit: int | None = 80
 ) -> DataFrame:
     """Team and match shot overs of near fixtures where both sides' recent shares reach ``min_pct``."""
-    form = team_shot_form(t)
     near = F.col("starting_at").between(instant(as_of) - F.make_dt_interval(F.lit(lookback)), instant(as_of) + F.make_dt_interval(F.lit(lookahead)))
     fx = t.fixtures.filter(near).select(F.col("id").alias("fixture_id"), "starting_at", "home_team_id", "away_team_id")
     sides = fx.select("*", F.explode(F.array(F.lit("home"), F.lit("away"), F.lit("match"))).alias("side"))
@@ -115,7 +125,9 @@ def team_shot_value_bets(
     lines = lines.withColumn("market", F.when(match, "match shots").otherwise("team shots"))
     lines = lines.withColumn("own_metric", F.when(match, "match_shots").otherwise("shots_for")).withColumn("opp_metric", F.when(match, "match_shots").otherwise("shots_against"))
     asks = lambda team, metric: lines.select(F.col(team).alias("team_id"), "line", F.col(metric).alias("metric"))
-    rates = best_rates(asks("team_id", "own_metric").union(asks("opponent_id", "opp_metric")), form, ["shots_for", "shots_against", "match_shots"], sizes, min_samples)
+    asked = asks("team_id", "own_metric").union(asks("opponent_id", "opp_metric"))
+    form = team_shot_form(t, asked=fx.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")), n=max(sizes))
+    rates = best_rates(asked, form, ["shots_for", "shots_against", "match_shots"], sizes, min_samples)
     rows = _joined(_joined(lines, rates, "team_id", "team", "own_metric"), rates, "opponent_id", "opp", "opp_metric").drop("own_metric", "opp_metric")
     rows = rows.withColumn("least_pct", F.least("team_pct", "opp_pct")).filter(F.col("least_pct") >= min_pct)
     names = t.teams.select(F.col("id"), F.col("name"))
@@ -167,7 +179,8 @@ def player_shot_value_bets(
     best = Window.partitionBy("player_id").orderBy(F.desc("player_pct"), "player_sample")
     forms = forms.withColumn("rank", F.row_number().over(best)).filter("rank = 1").select("player_id", "player_sample", "player_pct", "player_avg", F.transform("known", lambda v: v.cast("int")).alias("player_seq"))
     rows = rows.join(forms.filter(F.col("player_pct") >= player_min_pct), "player_id")
-    rates = best_rate(rows.select(F.col("opponent_id").alias("team_id"), "line"), team_shot_form(t, last=False), "shots_against", sizes, 1)
+    form = team_shot_form(t, last=False, asked=fx.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")), n=max(sizes))
+    rates = best_rate(rows.select(F.col("opponent_id").alias("team_id"), "line"), form, "shots_against", sizes, 1)
     rows = _joined(rows, rates.filter(F.col("pct") >= opp_min_pct), "opponent_id", "opp").withColumn("least_pct", F.least("player_pct", "opp_pct"))
     order = [F.desc("least_pct"), F.desc("odds"), "fixture_id", "player_id", "line"]
     return rows.orderBy(*order) if limit is None else rows.orderBy(*order).limit(limit)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs
 from ..operators import odds, quality, teams
 from ..sources import ingest, proxy, sinks
+from ..sources.folders import scratch_dir, written
 from ..streaming import odds_stream
 
 AS_OF = "2001-08-02 00:00:00"
@@ -28,7 +30,7 @@ def read_raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = listed.select(F.concat(F.lit('{"data":['), F.array_join("items", ","), F.lit("]}")).alias("value")).unionByName(
         seasons.filter("line % 10 = 1").select(F.concat(F.lit('{"data":'), "item", F.lit("}")).alias("value"))
     )
-    path = sinks.scratch_dir(spark, "landing")
+    path = f"{scratch_dir(spark, 'landing')}/in"
     lines.write.text(path)
     raw = ingest.read_raw_payloads(spark, path)
     return raw.select(F.get_json_object("item", "$.id").cast("int").alias("id"), "position")
@@ -119,9 +121,16 @@ def _unmatched(t) -> DataFrame:
     return odds.unmatched_player_odds(odds.parse_outcomes(lacking, t.odds_snapshots, t.fixtures))
 
 
+def _named(t) -> DataFrame:
+    """Each name that a fixture's offers and teams go by, with whom it is."""
+    offered = odds.parsed_rows(t.odds_snapshots).select("fixture_id", "name").distinct()
+    sides = t.fixtures.select(F.col("id").alias("fixture_id"), F.explode(F.array("home_team_id", "away_team_id")).alias("id"))
+    return odds.named_participants(t, offered.union(sides.join(t.teams, "id").select("fixture_id", F.upper("name"))), t.fixtures)
+
+
 def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends, by halves of the fixtures; counts by day of what is then there."""
-    rows, path = proxy.tables(spark, sf_dir).odds_snapshots, sinks.scratch_dir(spark, "snapshots")
+    rows, path = proxy.tables(spark, sf_dir).odds_snapshots, scratch_dir(spark, "snapshots")
     for half in (0, 1):
         sinks.append_snapshots(rows.filter(f"fixture_id % 2 = {half}"), path)
     return spark.read.parquet(path).groupBy(F.date_format("pulled_at", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("snapshots"))
@@ -129,12 +138,28 @@ def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed over the snapshots as files, two a micro-batch; the outcomes it leaves."""
-    t, folder = _some(proxy.tables(spark, sf_dir)), sinks.scratch_dir(spark, "stream")
+    t, folder = _some(proxy.tables(spark, sf_dir)), scratch_dir(spark, "stream")
     t.odds_snapshots.repartition(4, "id").write.json(f"{folder}/in")
-    odds_stream.odds_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", t, files=2, once=True).awaitTermination()
+    odds_stream.odds_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", t, files=2, once=True, every=2).awaitTermination()
     return odds_stream.current_outcomes(spark, f"{folder}/out").select("fixture_id", "market_key", "selection_key", "participant_type", "participant_id", "line", "price_decimal")
 
 
+def upsert_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players loaded into a database, then upserted, as it has them then.
+
+    The database is the one that ``spark.footform.jdbc.url`` names, else one in the memory of a local session's JVM.
+    """
+    players, url = proxy.tables(spark, sf_dir).players.select("id", "name", "short_name"), spark.conf.get("spark.footform.jdbc.url", None)
+    table, properties = f"players_{uuid.uuid4().hex[:8]}", {} if url else {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    url = url or "jdbc:derby:memory:footform;create=true"
+    sinks.write_jdbc(players.filter("id % 3 <> 0"), url, table, properties)
+    try:
+        sinks.upsert_jdbc(players.filter("id % 2 = 0").withColumn("name", F.upper("name")), url, table, ["id"], properties)
+        return written(spark.read.jdbc(url, table, properties=properties), scratch_dir(spark, "jdbc"))
+    finally:
+        sinks.run_sql(spark, url, properties, f"DROP TABLE {table}")
+
+
 def _golden(t) -> DataFrame:
     cards = t.fixture_statistics.groupBy("team_id", "type_id").agg(F.sum("value").alias("v")).select(F.concat_ws(" ", "type_id", "team_id").alias("check"), "team_id", text(F.col("v")).alias("values"))
     wanted = cards.select("check", F.when(F.col("team_id") % 3 == 0, F.concat("values", F.lit("x"))).otherwise(F.col("values")).alias("values"))
@@ -187,9 +212,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unmatched_player_odds": _over_tables(_unmatched),
     "team_name_map": _over_tables(lambda t: odds.team_name_map(t, t.fixtures)),
     "fixture_player_name_map": _over_tables(lambda t: odds.fixture_player_name_map(t, t.fixtures)),
-    "squad_name_map": _over_tables(lambda t: odds.squad_name_map(t, t.fixtures.filter("id % 10 = 0"))),
+    "squad_name_map": _over_tables(odds.squad_name_map),
+    "named_participants": _over_tables(_named),
     "odds_stream": stream,
     "append_snapshots": append_snapshots,
+    "upsert_jdbc": upsert_jdbc,
     "golden_compare": lambda spark, sf_dir: _golden(proxy.tables(spark, sf_dir)),
     "refresh_known_likely_players": refreshed,
     "refreshed_likely_players_count": refreshed_count,
@@ -260,9 +287,11 @@ ORACLES = {
         AND NOT EXISTS (SELECT 1 FROM fixtures f JOIN aliases a ON a.team_id IN (home_team_id, away_team_id) WHERE f.id = o.fixture_id AND a.id % 4 <> 0 AND a.folded = o.folded)""",
     "team_name_map": """SELECT fixture_id, folded, max(team_id) AS team_id FROM (SELECT fixture_id, team_id, regexp_replace(lower(unnest([name, short_code])), '[^a-z0-9]+', '', 'g') AS folded FROM fixture_participants JOIN teams t ON t.id = team_id) GROUP BY 1, 2""",
     "fixture_player_name_map": "SELECT fixture_id, folded, player_id FROM lineup_names",
-    "squad_name_map": "SELECT fixture_id, folded, player_id FROM squad_names WHERE fixture_id % 10 = 0",
+    "squad_name_map": "SELECT team_id, folded, min(id) AS player_id FROM aliases WHERE folded <> '' GROUP BY 1, 2",
+    "named_participants": """SELECT DISTINCT fixture_id, name, NULL::INT AS team_id, participant_id AS player_id FROM resolved UNION ALL SELECT fixture_id, upper(name), team_id, NULL FROM fixture_participants JOIN teams t ON t.id = team_id""",
     "odds_stream": f"SELECT {_PRICED} FROM {_LAST('fixture_id, market_key, selection_key, line', 'resolved', 'l_shipdate DESC, price_decimal DESC')}",
     "append_snapshots": "SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, count(*) AS snapshots FROM (SELECT DISTINCT l_orderkey, l_shipdate FROM lines) GROUP BY 1",
+    "upsert_jdbc": "SELECT id, CASE WHEN id % 2 = 0 THEN upper(name) ELSE name END AS name, short_name FROM players WHERE id % 3 <> 0 OR id % 2 = 0",
     "golden_compare": "SELECT type_id || ' ' || team_id AS \"check\", team_id % 5 <> 0 AND team_id % 3 <> 0 AS ok FROM (SELECT DISTINCT type_id, team_id FROM fixture_statistics)",
     "refresh_known_likely_players": f"""SELECT team_id, player_id, coalesce(a.confidence, b.confidence)::DOUBLE AS confidence, {_TS('coalesce(a.starting_at, b.starting_at)')} AS last_seen_at, coalesce(a.fixture_id, b.fixture_id) AS source_fixture_id,
         CASE WHEN a.fixture_id IS NULL THEN '2001-05-01 00:00:00' ELSE '{AS_OF}' END AS updated_at FROM {_FRESH} a FULL JOIN {_OLD} b USING (team_id, player_id)""",

@@ -266,10 +266,10 @@ ORACLES |= {
         JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY pct DESC, size) AS best FROM (SELECT player_id, size, len(list_filter(known, lambda v: v >= 1)) / len(known) AS pct, array_to_string(known, ',') AS seq FROM (
           SELECT player_id, size, list_filter(shots[1:size], lambda v: v IS NOT NULL) AS known FROM {FORMS} CROSS JOIN (SELECT unnest([5, 10]) AS size) WHERE n >= size) WHERE len(known) > 0)) WHERE best = 1 AND pct >= 0.8) p ON p.player_id = o.player_id
         JOIN (SELECT team_id AS opponent_id, * EXCLUDE (team_id) FROM {RATE('shots_against', (5, 10), 1)}) r ON r.opponent_id = CASE WHEN l.latest_team_id = home_team_id THEN away_team_id ELSE home_team_id END AND r.line = o.line WHERE o.odds >= 1.25 AND r.pct >= 0.7""",
-    "outside_box_sot": f"""SELECT player_id, p.name AS player, team_id, t.name AS team, hit_games, samples, seq FROM (
+    "outside_box_sot": f"""SELECT player_id, p.name AS player, a.team_id, t.name AS team, hit_games, samples, seq FROM (
         SELECT player_id, team_id, count(*) FILTER (WHERE value >= 1) AS hit_games, count(*) AS samples, string_agg(value::INT::VARCHAR, '-' ORDER BY rn) AS seq FROM (
           SELECT s.*, fp.team_id, row_number() OVER (PARTITION BY s.player_id ORDER BY f.starting_at DESC NULLS LAST, s.fixture_id DESC, value DESC) AS rn FROM fixture_player_statistics s JOIN fixture_players fp ON fp.fixture_id = s.fixture_id AND fp.player_id = s.player_id JOIN fixtures f ON f.id = s.fixture_id WHERE type_id = 42)
-        WHERE rn <= 10 GROUP BY 1, 2) a JOIN players p ON p.id = player_id JOIN teams t ON t.id = team_id ORDER BY hit_games DESC, samples DESC, player_id, team_id LIMIT 50""",
+        WHERE rn <= 10 GROUP BY 1, 2) a JOIN players p ON p.id = player_id JOIN teams t ON t.id = a.team_id ORDER BY hit_games DESC, samples DESC, player_id, a.team_id LIMIT 50""",
     "team_forms": f"SELECT team_id, count(*) AS games, round(avg(shots_for), 6) AS shots_for, round(avg(shots_against), 6) AS shots_against, string_agg(match_shots::INT::VARCHAR, ',' ORDER BY rn) AS match_shots FROM {last('form', 'team_id', 10)} GROUP BY 1",
     "player_availability": f"""SELECT l.player_id, latest_team_id AS team_id, team_games, coalesce(n, 0) AS appearances, round(coalesce(n, 0) / team_games, 6) AS availability FROM {latest(0)} l JOIN (SELECT team_id, count(*) AS team_games FROM {last('sides', 'team_id', 5, L0)} GROUP BY 1) g ON g.team_id = latest_team_id
         LEFT JOIN (SELECT fp.player_id, fp.team_id, count(*) AS n FROM fixture_players fp JOIN {last('sides', 'team_id', 5, L0)} w ON w.fixture_id = fp.fixture_id AND w.team_id = fp.team_id GROUP BY 1, 2) s ON s.player_id = l.player_id AND s.team_id = latest_team_id""",
@@ -282,7 +282,8 @@ ORACLES |= {
     "team_stat_sequence": f"SELECT 5 AS team_id, string_agg(coalesce(v::VARCHAR, 'n/a'), ',' ORDER BY rn) AS values FROM {OF_TEAM} w LEFT JOIN (SELECT fixture_id, max(value) AS v FROM fixture_statistics WHERE team_id = 5 AND type_id = 84 GROUP BY 1) s ON s.fixture_id = w.fixture_id WHERE rn <= 5",
     "player_stat_sequence": """SELECT 7 AS player_id, string_agg(coalesce(v::VARCHAR, 'n/a'), ',' ORDER BY rn) AS values, string_agg(is_starter::VARCHAR, ',' ORDER BY rn) AS started FROM (SELECT fp.*, row_number() OVER (ORDER BY starting_at DESC, fixture_id DESC) AS rn FROM fixture_players fp JOIN fixtures f ON f.id = fixture_id WHERE player_id = 7) w
         LEFT JOIN (SELECT fixture_id, max(value) AS v FROM fixture_player_statistics WHERE player_id = 7 AND type_id = 42 GROUP BY 1) s ON s.fixture_id = w.fixture_id WHERE rn <= 10""",
-    "find_player": "SELECT player_id, p.name AS player_name, team_id, fixture_id FROM fixture_players JOIN players p ON p.id = player_id WHERE lower(p.name) LIKE '%brand#1%' ORDER BY fixture_id DESC, player_id LIMIT 1",
+    "find_player": """SELECT player_id, shirt AS player_name, fixture_players.team_id, fixture_id FROM fixture_players JOIN (SELECT id, CASE WHEN id % 3 = 0 THEN 'No. ' || short_name ELSE name END AS shirt FROM players) ON id = player_id
+        WHERE lower(shirt) LIKE '%no. brand#1%' ORDER BY fixture_id DESC, player_id LIMIT 1""",
     "current_season": f"SELECT id, league_id, is_current, {_ts('start_date')} AS start_date, {_ts('end_date')} AS end_date FROM seasons WHERE {L0} ORDER BY is_current DESC, end_date DESC LIMIT 1",
     "reconcile_scores": """SELECT id, home_score, away_score, stored_home, stored_away, CASE WHEN found THEN 'mismatch' ELSE 'missing' END AS problem FROM (SELECT * FROM finished ORDER BY starting_at DESC, id DESC LIMIT 500) a
         LEFT JOIN (SELECT id, home_score + (id % 3 = 0)::INT AS stored_home, away_score AS stored_away, TRUE AS found FROM fixtures WHERE id % 5 <> 0) b USING (id) WHERE home_score IS DISTINCT FROM stored_home OR away_score IS DISTINCT FROM stored_away""",
@@ -302,3 +303,25 @@ ORACLES |= {
     "merge_by_key": "SELECT id, CASE WHEN id % 2 = 0 THEN upper(name) ELSE name END AS name, short_code FROM teams",
     "upsert_outcomes": """SELECT fixture_id, selection_key, bookmaker_id, market_key, round(line::DOUBLE, 6) AS line, participant_id, round((price_decimal + CASE WHEN fixture_id % 3 = 0 THEN 1 ELSE 0 END)::DOUBLE, 6) AS price_decimal FROM (SELECT fixture_id, bookmaker_id, market_key, selection_key, line, max(participant_id) AS participant_id, max(price_decimal) AS price_decimal FROM odds_outcomes GROUP BY ALL)""",
 }
+
+_IDS = f"SELECT id FROM {EXPORTED}"
+_OFFERS = "SELECT l_orderkey AS fixture_id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS pulled_at, count(*) AS offers FROM lineitem"
+ORACLES |= {
+    "export_seasons": f"SELECT id, league_id FROM {KEPT}",
+    "export_fixtures": f"SELECT id, season_id, {_ts('starting_at')} AS starting_at, home_team_id, away_team_id, home_score, away_score FROM {EXPORTED}",
+    "export_teams": f"SELECT id, name, short_code FROM teams WHERE id IN (SELECT home_team_id FROM {EXPORTED} UNION SELECT away_team_id FROM {EXPORTED})",
+    "export_players": f"SELECT id, name, team_id FROM players WHERE id IN (SELECT l_partkey FROM lineitem WHERE l_orderkey IN ({_IDS}))",
+    "export_fixture_players": f"SELECT fixture_id, player_id, team_id, is_starter, minutes_played FROM fixture_players WHERE fixture_id IN ({_IDS})",
+    "export_fixture_player_statistics": f"SELECT fixture_id, player_id, type_id, value FROM fixture_player_statistics WHERE fixture_id IN ({_IDS})",
+    "export_fixture_statistics": f"SELECT fixture_id, team_id, type_id, max(value) AS value FROM fixture_statistics WHERE fixture_id IN ({_IDS}) GROUP BY 1, 2, 3",
+    "export_odds_outcomes": f"SELECT fixture_id, bookmaker_id, market_key, selection_key, round(line::DOUBLE, 6) AS line, participant_id, round(price_decimal::DOUBLE, 6) AS price_decimal FROM odds_outcomes WHERE fixture_id IN ({_IDS})",
+    "export_odds_snapshots": f"{_OFFERS} WHERE l_orderkey IN ({_IDS}) GROUP BY ALL",
+    "export_odds_window_snapshots": f"{_OFFERS} WHERE l_orderkey IN (SELECT id FROM {WINDOW}) GROUP BY ALL",
+    "write_export": ORACLES["export_subset"],
+    "stored_fixtures_in_window": ORACLES["fixtures_in_window"],
+    "stored_odds_target_fixtures": ORACLES["odds_target_fixtures"],
+    "stored_player_streak_base": ORACLES["player_streak_base"],
+    "merge_partitions": f"""SELECT id, league_id, {_ts("CASE WHEN league_id = 1 AND strftime(starting_at, '%Y%m') = '199703' AND id % 7 = 0 THEN starting_at + INTERVAL 1 MONTH ELSE starting_at END")} AS starting_at,
+        CASE WHEN league_id = 0 AND strftime(starting_at, '%Y%m') IN ('200105', '200106') THEN 9 ELSE home_score END AS home_score FROM fixtures
+        UNION ALL SELECT -id, 77, {_ts('starting_at')}, home_score FROM fixtures WHERE league_id = 2 AND strftime(starting_at, '%Y%m') = '199801'""",
+}

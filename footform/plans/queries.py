@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import catalog, odds, players, quality, teams, value
-from ..sources import ingest, merge, sinks
+from ..schemas import Tables
+from ..sources import ingest, merge, sinks, store
+from ..sources.folders import scratch_dir
 from ..sources.proxy import tables
 from . import landing
 from .oracle import DOMAIN, ORACLES, sql
@@ -131,11 +133,61 @@ def _export(t) -> DataFrame:
     return sinks.export_counts(replace(out, fixture_participants=None, types=None, odds_latest=None, player_odds=None, team_stats=None, player_stats=None, odds_snapshots=None))
 
 
+def _offers(snapshots: DataFrame) -> DataFrame:
+    return snapshots.select("fixture_id", "pulled_at", F.size(F.from_json("raw", "data array<string>")["data"]).alias("offers"))
+
+
+def _exported(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    """What an export has of one table."""
+
+    def build(t) -> DataFrame:
+        df = getattr(sinks.export_subset(t, as_of=AS_OF), name)
+        return df.select(*columns) if columns else _offers(df)
+
+    return _derived(build)
+
+
+def _written_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat(sinks.export_counts(replace(sinks.write_export(tables(spark, sf_dir), scratch_dir(spark, "export"), as_of=AS_OF), odds_snapshots=None)))
+
+
+def _stored(operator: Callable[..., DataFrame], *names: str) -> Callable[[SparkSession, str], DataFrame]:
+    """An operator over tables that were stored by league and month."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t, path = tables(spark, sf_dir), scratch_dir(spark, "store")
+        store.write_store(Tables(**{n: getattr(t, n) for n in names}), path)
+        return flat(operator(store.read_store(spark, path)))
+
+    return run
+
+
+def _merged_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored fixtures after two months of a league got other scores, one fixture in seven of another month moved away, and a league was added."""
+    fx, path = tables(spark, sf_dir).fixtures, scratch_dir(spark, "merge-store")
+    store.write_store(Tables(fixtures=fx), path)
+    stored = fx.withColumn("starting_month", store.month())
+    scored = stored.filter("league_id = 0 and starting_month in (200105, 200106)").withColumn("home_score", F.lit(9))
+    moved = stored.filter("league_id = 1 and starting_month = 199703 and id % 7 = 0")
+    later = moved.withColumn("starting_at", F.col("starting_at") + F.expr("interval 1 month")).withColumn("starting_month", store.month())
+    added = stored.filter("league_id = 2 and starting_month = 199801").withColumn("league_id", F.lit(77)).withColumn("id", -F.col("id"))
+    updates = scored.unionByName(later).unionByName(added)
+    store.merge_partitions(spark, f"{path}/fixtures", updates, ["id"], store.BY, gone=moved.select("id", *store.BY))
+    return flat(store.read_store(spark, path).fixtures.select("id", "league_id", "starting_at", "home_score"))
+
+
 def _reconcile(t) -> DataFrame:
     stored = t.fixtures.filter("id % 5 <> 0").withColumn("home_score", F.col("home_score") + (F.col("id") % 3 == 0).cast("int"))
     return quality.reconcile_scores(t.fixtures, stored, n=500)
 
 
+def _shirts(t):
+    """Line-ups with names of their own: every third player plays under another one, every fifth has no row of players."""
+    shirt = F.when(F.col("id") % 3 == 0, F.concat(F.lit("No. "), "short_name")).otherwise(F.col("name"))
+    names = t.players.select(F.col("id").alias("player_id"), shirt.alias("name"))
+    return replace(t, fixture_players=t.fixture_players.join(names, "player_id"), players=t.players.filter("id % 5 <> 0"))
+
+
 def _upsert(t) -> DataFrame:
     current = t.odds_outcomes.groupBy(*OFFER).agg(F.max("participant_type").alias("participant_type"), F.max("participant_id").alias("participant_id"), F.max("price_decimal").alias("price_decimal"))
     new = current.filter("fixture_id % 3 = 0").withColumn("participant_id", F.lit(None).cast("long")).withColumn("price_decimal", (F.col("price_decimal") + 1).cast("decimal(10,4)"))
@@ -176,7 +228,7 @@ QUERIES |= {
     "team_results_sequence": _on(quality.team_results_sequence, team=5),
     "team_stat_sequence": _on(quality.team_stat_sequence, team=5),
     "player_stat_sequence": _on(quality.player_stat_sequence, player=7),
-    "find_player": _on(quality.find_player, name="Brand#1"),
+    "find_player": _derived(lambda t: quality.find_player(_shirts(t), name="no. brand#1")),
     "current_season": _on(quality.current_season, league=0),
     "reconcile_scores": _derived(_reconcile),
     "keep_seasons": _derived(lambda t: ingest.keep_seasons(t.seasons)),
@@ -190,6 +242,21 @@ QUERIES |= {
     "export_odds_window": _derived(lambda t: sinks.export_odds_window(t, as_of="2001-07-01", days=14)["odds_outcomes"].select(*OFFER, "price_decimal")),
     "odds_participant_patch": _on(sinks.odds_participant_patch, as_of="2001-07-01", days=14),
     "merge_by_key": _derived(_merged),
+    "export_seasons": _exported("seasons", "id", "league_id"),
+    "export_fixtures": _exported("fixtures", "id", "season_id", "starting_at", "home_team_id", "away_team_id", "home_score", "away_score"),
+    "export_teams": _exported("teams", "id", "name", "short_code"),
+    "export_players": _exported("players", "id", "name", "team_id"),
+    "export_fixture_players": _exported("fixture_players", "fixture_id", "player_id", "team_id", "is_starter", "minutes_played"),
+    "export_fixture_player_statistics": _exported("fixture_player_statistics", "fixture_id", "player_id", "type_id", "value"),
+    "export_fixture_statistics": _exported("fixture_statistics", "fixture_id", "team_id", "type_id", "value"),
+    "export_odds_outcomes": _exported("odds_outcomes", *OFFER, "participant_id", "price_decimal"),
+    "export_odds_snapshots": _exported("odds_snapshots"),
+    "export_odds_window_snapshots": _derived(lambda t: _offers(sinks.export_odds_window(t, as_of="2001-07-01", days=14)["odds_snapshots"])),
+    "write_export": _written_export,
+    "stored_fixtures_in_window": _stored(lambda t: ingest.recent_window(t, AS_OF, [0, 1]).select("id", "league_id", "starting_at"), "fixtures"),
+    "stored_odds_target_fixtures": _stored(lambda t: odds.odds_target_fixtures(t, leagues=[0, 1], as_of="2001-07-01", days=14), "fixtures"),
+    "stored_player_streak_base": _stored(lambda t: players.player_streak_base(t, **STAT, n=3, threshold=2, required=2, limit=None), "fixtures", "fixture_players", "fixture_player_statistics", "players", "teams"),
+    "merge_partitions": _merged_partitions,
 }
 
 QUERIES |= {name: (lambda spark, sf_dir, run=run: flat(run(spark, sf_dir))) for name, run in landing.QUERIES.items()}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.exprs import first_true, is_starter, json_true, minutes, parse_dt, position_abbr, safe_int, stat_value
 from ..operators.core import instant
 from ..schemas import Tables
+from .folders import scratch_dir, written
 from .merge import fill_by_key, latest_wins
 
 TYPE = "type:struct<id:int,code:string,name:string>"
@@ -191,10 +191,13 @@ def derive_fixture_sides(fixtures: DataFrame, participants: DataFrame) -> DataFr
     return fixtures.join(sides, "id", "left").withColumns(fill).select(*fixtures.columns)
 
 
-def build_tables(raw: DataFrame, current: Tables | None = None) -> Tables:
-    """All tables of a landing folder of fixtures. The text is parsed once and kept for the tables, on disk where memory
-    is short; a lost part is parsed again."""
-    raw = parsed(raw, FIXTURE).persist(StorageLevel.MEMORY_AND_DISK)
+def build_tables(raw: DataFrame, current: Tables | None = None, folder: str | None = None) -> Tables:
+    """All tables of a landing folder of fixtures.
+
+    The text is read and parsed once, into ``folder`` (a scratch folder by default) as Parquet with nested columns; each
+    table then reads the columns it is made of. Nothing is cached, and a lost task reads its part again.
+    """
+    raw = written(parsed(raw, FIXTURE), folder or scratch_dir(raw.sparkSession, "parsed"))
     participants = flatten_participants(raw)
     teams = teams_from_participants(raw)
     return Tables(
@@ -207,10 +210,17 @@ def flatten_types(raw: DataFrame) -> DataFrame:
     return parsed(raw, STAT_TYPE).select("x.*")
 
 
+def in_months(fixtures: DataFrame, first: date, last: date) -> DataFrame:
+    """Fixtures that are stored by month: only the months of those days."""
+    if "starting_month" not in fixtures.columns:
+        return fixtures
+    return fixtures.filter(F.col("starting_month").between(first.year * 100 + first.month, last.year * 100 + last.month))
+
+
 def fixtures_in_window(t: Tables, start: date | str, end: date | str, leagues: list[int] | None = None) -> DataFrame:
     """Fixtures whose UTC day is from ``start`` to ``end``, both included."""
     first, last = date.fromisoformat(str(start)), date.fromisoformat(str(end)) + timedelta(days=1)
-    fx = t.fixtures.filter((F.col("starting_at") >= instant(f"{first} 00:00:00")) & (F.col("starting_at") < instant(f"{last} 00:00:00")))
+    fx = in_months(t.fixtures, first, last).filter((F.col("starting_at") >= instant(f"{first} 00:00:00")) & (F.col("starting_at") < instant(f"{last} 00:00:00")))
     return fx.filter(F.col("league_id").isin(leagues)) if leagues else fx
 
 

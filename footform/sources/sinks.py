@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, timedelta
 
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..operators.core import instant
 from ..schemas import Tables
-from .ingest import keep_seasons
+from .folders import written
+from .ingest import in_months, keep_seasons
 
 
 def exportable_fixtures(t: Tables, as_of: str, upcoming_days: int = 14) -> DataFrame:
@@ -30,8 +31,12 @@ def unknown_team_fixtures(fixtures: DataFrame, teams: DataFrame) -> DataFrame:
     return home.select("id").union(away.select("id")).distinct()
 
 
-def export_subset(t: Tables, *, as_of: str, strict: bool = True, upcoming_days: int = 14) -> Tables:
-    """Only what exported fixtures refer to. ``strict`` raises where a fixture's team is unknown, else it is dropped."""
+def export_subset(t: Tables, *, as_of: str, strict: bool = True, upcoming_days: int = 14, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> Tables:
+    """Only what exported fixtures refer to. ``strict`` raises where a fixture's team is unknown, else it is dropped.
+
+    ``keep`` gets fixtures, line-ups and player statistics by name before other tables are chosen by their ids, and
+    returns them, as from a table that they were written to.
+    """
     fixtures = exportable_fixtures(t, as_of, upcoming_days)
     bad = unknown_team_fixtures(fixtures, t.teams)
     if strict:
@@ -39,9 +44,10 @@ def export_subset(t: Tables, *, as_of: str, strict: bool = True, upcoming_days:
             raise ValueError(f"{n} fixtures have unknown teams")
     else:
         fixtures = fixtures.join(bad, "id", "left_anti")
+    fixtures = keep("fixtures", fixtures)
     ids = fixtures.select(F.col("id").alias("fixture_id"))
     of = lambda df: None if df is None else df.join(ids, "fixture_id", "left_semi")
-    lineups, facts = of(t.fixture_players), of(t.fixture_player_statistics)
+    lineups, facts = keep("fixture_players", of(t.fixture_players)), keep("fixture_player_statistics", of(t.fixture_player_statistics))
     players = lineups.select(F.col("player_id").alias("id")).union(facts.select("player_id")).distinct()
     teams = fixtures.select(F.explode(F.array("home_team_id", "away_team_id")).alias("id")).distinct()
     team_facts = None if t.fixture_statistics is None else dedupe_team_stats(replace(t, fixture_statistics=of(t.fixture_statistics)))
@@ -51,6 +57,28 @@ def export_subset(t: Tables, *, as_of: str, strict: bool = True, upcoming_days:
     )
 
 
+EXPORTED = ("seasons", "fixtures", "teams", "players", "fixture_players", "fixture_player_statistics", "fixture_statistics", "odds_outcomes", "odds_snapshots")
+
+
+def write_export(t: Tables, path: str, **choice) -> Tables:
+    """Write the tables of :func:`export_subset` below ``path`` and read them back.
+
+    Fixtures, line-ups and player statistics are written first, and the ids that choose all other rows are read from
+    there: the choice is made once, however many tables hang on it.
+    """
+    done: dict[str, DataFrame] = {}
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        done[name] = written(df, f"{path}/{name}")
+        return done[name]
+
+    out = export_subset(t, keep=keep, **choice)
+    for name in EXPORTED:
+        if name not in done and getattr(out, name) is not None:
+            done[name] = written(getattr(out, name), f"{path}/{name}")
+    return Tables(**done)
+
+
 def dedupe_team_stats(t: Tables) -> DataFrame:
     return t.fixture_statistics.groupBy("fixture_id", "team_id", "type_id").agg(F.max("value").alias("value"))
 
@@ -64,7 +92,7 @@ def prune_fixtures(t: Tables, keep: DataFrame) -> DataFrame:
 def window_ids(t: Tables, as_of: str, days: int, leagues: list[int] | None = None) -> DataFrame:
     """Fixtures dated from today to today + ``days``, both included."""
     today = date.fromisoformat(str(as_of)[:10])
-    fx = t.fixtures.filter((F.col("starting_at") >= instant(f"{today} 00:00:00")) & (F.col("starting_at") < instant(f"{today + timedelta(days=days + 1)} 00:00:00")))
+    fx = in_months(t.fixtures, today, today + timedelta(days=days)).filter((F.col("starting_at") >= instant(f"{today} 00:00:00")) & (F.col("starting_at") < instant(f"{today + timedelta(days=days + 1)} 00:00:00")))
     return (fx.filter(F.col("league_id").isin(leagues)) if leagues else fx).select(F.col("id").alias("fixture_id"))
 
 
@@ -105,37 +133,34 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
     df.write.mode("append").option("batchsize", batch).jdbc(url, table, properties=properties or {})
 
 
+def run_sql(spark: SparkSession, url: str, properties: dict[str, str] | None, *statements: str) -> None:
+    given = spark._jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        given.setProperty(k, v)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, given)
+    try:
+        for sql in statements:
+            connection.createStatement().executeUpdate(sql)
+    finally:
+        connection.close()
+
+
 def upsert_jdbc(df: DataFrame, url: str, table: str, keys: list[str], properties: dict[str, str] | None = None, batch: int = 500) -> None:
     """Rows of ``df`` (a key once) into a database table: known keys are overwritten, others added.
 
     Executors load a staging table in batches; the database then merges it in one statement, so readers see all or
-    nothing, and a run that is repeated changes nothing more.
+    nothing, and a run that is repeated changes nothing more. Each run has a staging table of its own, which goes whether
+    the merge succeeds or not: runs beside each other don't meet, and a failed one leaves the table as it was.
     """
-    staging, quoted = f"{table}_staging", lambda c: f'"{c}"'
-    df.write.mode("overwrite").option("batchsize", batch).jdbc(url, staging, properties=properties or {})
+    spark, quoted = df.sparkSession, lambda c: f'"{c}"'
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
     rest = [c for c in df.columns if c not in keys]
     same = " AND ".join(f"a.{quoted(k)} = b.{quoted(k)}" for k in keys)
     update = f" WHEN MATCHED THEN UPDATE SET {', '.join(f'{quoted(c)} = b.{quoted(c)}' for c in rest)}" if rest else ""
     insert = f" WHEN NOT MATCHED THEN INSERT ({', '.join(map(quoted, df.columns))}) VALUES ({', '.join(f'b.{quoted(c)}' for c in df.columns)})"
-    jvm = df.sparkSession._jvm
-    given = jvm.java.util.Properties()
-    for k, v in (properties or {}).items():
-        given.setProperty(k, v)
-    connection = jvm.java.sql.DriverManager.getConnection(url, given)
+    df.limit(0).write.option("batchsize", batch).jdbc(url, staging, properties=properties or {})  # made here: from now on it is ours to drop
     try:
-        statement = connection.createStatement()
-        statement.executeUpdate(f"MERGE INTO {table} AS a USING {staging} AS b ON {same}{update}{insert}")
-        statement.executeUpdate(f"DROP TABLE {staging}")
+        df.write.mode("append").option("batchsize", batch).jdbc(url, staging, properties=properties or {})
+        run_sql(spark, url, properties, f"MERGE INTO {table} AS a USING {staging} AS b ON {same}{update}{insert}")
     finally:
-        connection.close()
-
-
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name in the folder that driver and executors share; a local session that names none gets its own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="footform-shared-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        run_sql(spark, url, properties, f"DROP TABLE {staging}")

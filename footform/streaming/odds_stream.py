@@ -1,19 +1,27 @@
-"""The odds feed as a stream: snapshot files in, parsed and resolved outcomes out, one partition of Parquet a micro-batch.
+"""The odds feed as a stream: snapshot files in, parsed and resolved outcomes out.
 
-Nothing is rewritten: a micro-batch adds its own partition, and the newest price of a key is found when the outcomes are
-read. A micro-batch that runs again after a failure overwrites its partition with the same rows.
+A micro-batch adds its own partition of Parquet below ``epochs``. Every so many of them the newest prices of all keys so
+far are written as one table below ``bases``, and older partitions go: a read costs the live keys and few increments,
+whatever the history. A micro-batch that runs again after a failure overwrites its partition with the same rows, or
+changes nothing if a base has them already; a base that was not finished is no base.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.odds import OUTCOME_KEY, latest_in_batch, parse_outcomes
 from ..schemas import SCHEMAS, Tables
+from ..sources.folders import children, remove
 
 OUTCOMES = SCHEMAS["odds_outcomes"] + ", pulled_at timestamp, place int"
+COLUMNS = [x.strip().split(" ")[0] for x in OUTCOMES.replace("decimal(10,2)", "d").replace("decimal(10,4)", "d").split(",")]
+KEPT = ["participant_type", "participant_id"]  # once known they stay known
+ORDER = "struct<pulled_at: timestamp, epoch: int, place: int>"
+STATE = OUTCOMES + ", epoch int" + "".join(f", {c}_order {ORDER}" for c in KEPT)
+COMPACT_EVERY = 16
 
 
 def read_snapshots(spark: SparkSession, path: str, late: str = "1 hour", files: int | None = None) -> DataFrame:
@@ -25,11 +33,68 @@ def read_snapshots(spark: SparkSession, path: str, late: str = "1 hour", files:
     return seen.dropDuplicatesWithinWatermark(["id"]).drop("read_at")
 
 
-def write_epoch(snapshots: DataFrame, epoch: int, target: str, t: Tables) -> None:
+def _numbers(spark: SparkSession, uri: str) -> list[int]:
+    """Numbers of the finished folders below ``uri``, ascending."""
+    return sorted(int(name.split("=")[1]) for name, finished in children(spark, uri).items() if finished and "=" in name)
+
+
+def newest_base(spark: SparkSession, target: str) -> int:
+    """The last epoch that a base holds, -1 if there is none."""
+    return max(_numbers(spark, f"{target}/bases"), default=-1)
+
+
+def write_epoch(snapshots: DataFrame, epoch: int, target: str, t: Tables, every: int = COMPACT_EVERY) -> None:
     """The outcomes of a micro-batch, players and teams resolved by ``t``, as partition ``epoch`` of ``target``."""
+    spark = snapshots.sparkSession
+    base = newest_base(spark, target)
+    if epoch <= base:
+        return  # it runs again, and its rows are in the base
     fixtures = t.fixtures.join(snapshots.select(F.col("fixture_id").alias("id")).distinct(), "id", "left_semi")
-    columns = [x.strip().split(" ")[0] for x in OUTCOMES.replace("decimal(10,2)", "d").replace("decimal(10,4)", "d").split(",")]
-    latest_in_batch(parse_outcomes(t, snapshots, fixtures)).select(*columns).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+    latest_in_batch(parse_outcomes(t, snapshots, fixtures)).select(*COLUMNS).write.mode("overwrite").parquet(f"{target}/epochs/epoch={epoch}")
+    if epoch - base >= every:
+        compact(spark, target)
+
+
+def _rows(spark: SparkSession, target: str) -> DataFrame:
+    """All rows that count: the newest base's and those of later epochs, each with its place in time."""
+    base = newest_base(spark, target)
+    later = [e for e in _numbers(spark, f"{target}/epochs") if e > base]
+    rows = spark.createDataFrame([], STATE)
+    if later:
+        new = spark.read.schema(OUTCOMES + ", epoch int").option("basePath", f"{target}/epochs").parquet(*(f"{target}/epochs/epoch={e}" for e in later))
+        order = F.struct("pulled_at", "epoch", "place")
+        rows = new.select("*", *(F.when(F.col(c).isNotNull(), order).cast(ORDER).alias(f"{c}_order") for c in KEPT))
+    if base >= 0:
+        old = spark.read.schema(STATE).parquet(f"{target}/bases/upto={base}")
+        rows = rows.unionByName(old) if later else old
+    return rows
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row a key; rows without a line equal nothing and all stay."""
+    order = F.struct("pulled_at", "epoch", "place")
+    newest = [c for c in rows.columns if c not in OUTCOME_KEY and c not in KEPT and not c.endswith("_order")]
+    known: list[Column] = []
+    for c in KEPT:
+        known += [F.max_by(c, f"{c}_order").alias(c), F.max(f"{c}_order").alias(f"{c}_order")]
+    one = rows.filter("line is not null").groupBy(*OUTCOME_KEY).agg(F.max_by(F.struct(*newest), order).alias("row"), *known).select(*OUTCOME_KEY, "row.*", *KEPT, *(f"{c}_order" for c in KEPT))
+    return one.unionByName(rows.filter("line is null"))
+
+
+def compact(spark: SparkSession, target: str) -> None:
+    """Write a base of all finished epochs. The epochs that the base before held go, and bases before that one: a reader
+    that began with the last base still finds its files."""
+    base, epochs = newest_base(spark, target), _numbers(spark, f"{target}/epochs")
+    upto = max(epochs, default=-1)
+    if upto <= base:
+        return
+    _newest(_rows(spark, target)).select(*spark.createDataFrame([], STATE).columns).write.mode("overwrite").parquet(f"{target}/bases/upto={upto}")
+    for e in epochs:
+        if e <= base:
+            remove(spark, f"{target}/epochs/epoch={e}")
+    for b in _numbers(spark, f"{target}/bases"):
+        if b < base:
+            remove(spark, f"{target}/bases/upto={b}")
 
 
 def current_outcomes(spark: SparkSession, target: str) -> DataFrame:
@@ -37,16 +102,10 @@ def current_outcomes(spark: SparkSession, target: str) -> DataFrame:
 
     A participant once known stays known where a newer row lacks it. Rows without a line equal nothing and all stay.
     """
-    rows = spark.read.schema(OUTCOMES + ", epoch int").parquet(target)
-    order = F.struct("pulled_at", "epoch", "place")
-    values = [c for c in rows.columns if c not in OUTCOME_KEY and c not in ("epoch", "place")]
-    kept = {"participant_type", "participant_id"}
-    newest = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) if c in kept else F.max_by(c, order).alias(c) for c in values]
-    lined = rows.filter("line is not null").groupBy(*OUTCOME_KEY).agg(*newest)
-    return lined.unionByName(rows.filter("line is null").select(lined.columns))
+    return _newest(_rows(spark, target)).select([c for c in COLUMNS if c != "place"])
 
 
-def odds_stream(spark: SparkSession, source: str, target: str, checkpoint: str, t: Tables, late: str = "1 hour", files: int | None = None, once: bool = False) -> StreamingQuery:
+def odds_stream(spark: SparkSession, source: str, target: str, checkpoint: str, t: Tables, late: str = "1 hour", files: int | None = None, once: bool = False, every: int = COMPACT_EVERY) -> StreamingQuery:
     """Starts the feed: each micro-batch of snapshots is parsed, resolved, reduced to its newest rows and added to ``target``."""
-    writer = read_snapshots(spark, source, late, files).writeStream.foreachBatch(lambda df, epoch: write_epoch(df, epoch, target, t)).option("checkpointLocation", checkpoint)
+    writer = read_snapshots(spark, source, late, files).writeStream.foreachBatch(lambda df, epoch: write_epoch(df, epoch, target, t, every)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

@@ -208,8 +208,19 @@ def test_upsert_into_a_database(spark):
     for _ in range(2):  # a repeated run changes nothing more
         sinks.upsert_jdbc(frame((2, "B"), (3, "c")), url, "teams", ["id"], props)
         assert sorted(map(tuple, spark.read.jdbc(url, "teams", properties=props).collect())) == [(1, "a"), (2, "B"), (3, "c")]
+
+    def stagings():
+        found = spark.read.jdbc(url, "(SELECT CAST(tablename AS VARCHAR(99)) AS n FROM sys.systables) x", properties=props).collect()
+        return [r[0] for r in found if "STAGING" in r[0].upper()]
+
+    assert stagings() == []
+    # A load that fails and a merge that fails leave the table as it was, and no staging table.
+    broken = frame((1, "z")).withColumn("name", F.when(F.rand() < 2, F.raise_error(F.lit("lost")).cast("string")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.upsert_jdbc(broken, url, "teams", ["id"], props)
     with pytest.raises(Py4JJavaError):
-        spark.read.jdbc(url, "teams_staging", properties=props).collect()
+        sinks.upsert_jdbc(frame((1, "z")), url, "no_such_table", ["id"], props)
+    assert stagings() == [] and spark.read.jdbc(url, "teams", properties=props).count() == 3
 
 
 def test_exports(spark, t, tmp_path):
