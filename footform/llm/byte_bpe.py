@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import base64
 import itertools
+import re
+import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,6 +37,42 @@ _LATER = "[" + "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) fo
 _LOADED: dict[tuple[str, str], ByteBpe] = {}
 
 
+#: Texts of characters below this one are split by the standard library's ``re``, which is faster.
+NARROW = 0x250
+_WIDE = re.compile(f"[^\\x00-{chr(NARROW - 1)}]")
+
+
+def _ranges(chars: Iterable[int]) -> str:
+    """A character class's inside for some code points."""
+    out: list[list[int]] = []
+    for c in chars:
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+def narrow_pattern(pattern: str) -> re.Pattern | None:
+    """``pattern`` for texts of narrow characters, its classes spelled out; None if it has a class that isn't known here."""
+    of = lambda kind: _ranges(c for c in range(NARROW) if unicodedata.category(chr(c)).startswith(kind))
+    space = r"\t-\r \x85\xa0"
+    known = {r"\p{L}": of("L"), r"\p{N}": of("N"), r"\s": space}
+    out, inside = [], False
+    for part in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.S):
+        inside = inside or part == "["
+        if part in known:
+            out.append(known[part] if inside else f"[{known[part]}]")
+        elif part == r"\S" and not inside:
+            out.append(f"[^{space}]")
+        elif part[0] == "\\" and part[1:2].isalpha():
+            return None
+        else:
+            out.append(part)
+        inside = inside and part != "]"
+    return re.compile("".join(out))
+
+
 class ByteBpe:
     """Ids of texts by the ranks in ``path`` (lines of base64 and rank), each match of ``pattern`` on its own."""
 
@@ -40,14 +80,22 @@ class ByteBpe:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
-        #: What some token ends with: how far back a search from a byte must go.
-        self.ends = {token[k:] for token in self.ranks for k in range(len(token))}
         self.longest = max(map(len, self.ranks))
-        self.usual, self.later = regex.compile(pattern), regex.compile(_LATER)
+        #: Finds all tokens that end at each byte; bytes are read as the characters of the same numbers.
+        self.ends = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            self.ends.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.ends.make_automaton()
+        joined = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.bytes, self.lengths = np.frombuffer(b"".join(joined), np.uint8), np.array([len(t) for t in joined], np.int64)
+        self.length = self.lengths.tolist()
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.usual, self.later, self.narrow = regex.compile(pattern), regex.compile(_LATER), narrow_pattern(pattern)
         for kind in ("L", "N"):
             pattern = pattern.replace(rf"\p{{{kind}}}", rf"[\p{{{kind}}}--{_LATER}]")
-        self.split = regex.compile(pattern, regex.V1)  # right for any text; slower than the usual one
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.split = regex.compile(pattern, regex.V1)  # right for any text; slower than the others
+        self.beside: dict[int, bool] = {}
+        self.made_of: dict[int, tuple[int, int] | None] = {}
         self.pieces: dict[str, bytes] = {}
 
     @classmethod
@@ -68,56 +116,92 @@ class ByteBpe:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def parts(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for a byte and for a token that merges don't lead to."""
+        if token not in self.made_of:
+            of = self.bytes_of[token]
+            rank = self.ranks.pop(of)  # merges go as far as they do without it
+            parts = self.merged(of) if len(of) > 1 else []
+            self.ranks[of] = rank
+            self.made_of[token] = tuple(parts) if len(parts) == 2 and max(parts) < token else None
+        return self.made_of[token]
+
     def stands(self, left: int, right: int) -> bool:
-        """Whether the two tokens are the encoding of their bytes: no merge crosses between them."""
-        known = self.beside.get((left, right))
-        if known is None:
-            known = self.merged(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
-            if len(self.beside) >= PAIRS:
-                self.beside.clear()
-            self.beside[left, right] = known
+        """Whether the tokens are the encoding of their bytes: no merge crosses between them. -1 stands for no token.
+
+        A merge of the left token's end with the right one's beginning happens if its rank comes before the ranks of the
+        merges that took those two into their tokens. The later one of the two is taken apart next.
+        """
+        if left < 0:
+            known = len(self.bytes_of[right]) == 1 or self.parts(right) is not None
+        else:
+            a, b, known = left, right, self.stands(-1, left) and self.stands(-1, right)
+            until_a = until_b = 1 << 60
+            while known:
+                rank = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], 1 << 60)
+                if rank < until_a and rank <= until_b and rank < 1 << 60:  # of equal ranks the left merge is first
+                    known = False
+                    break
+                in_a, in_b = self.parts(a), self.parts(b)
+                if in_a and (not in_b or a > b):
+                    a, until_a = in_a[1], a
+                elif in_b:
+                    b, until_b = in_b[0], b
+                else:
+                    break
+        if len(self.beside) >= PAIRS:
+            self.beside.clear()
+        self.beside[left << 32 | right] = known
         return known
 
-    def last_token(self, piece: bytes, end: int, last: array) -> int:
-        """The token that ends the encoding of ``piece[:end]``; ``last`` has those of shorter prefixes."""
-        for k in range(end - 1, -1, -1):
-            token = piece[k:end]
-            if token not in self.ends:
-                break
-            rank = self.ranks.get(token)
-            if rank is not None and (self.stands(last[k], rank) if k else end == 1 or self.merged(token) == [rank]):
-                return rank
-        raise ValueError("the ranks lack a byte")
-
-    def prefixes(self, piece: bytes, last: array | None = None) -> array:
-        """Entry i: the last token of the first i bytes (entry 0 is none), carried on from the entries in ``last``."""
-        last = array("i", [-1]) if last is None else last
-        for end in range(len(last), len(piece) + 1):
-            last.append(self.last_token(piece, end, last))
+    def grown(self, piece: bytes, last: list[int]) -> Iterator[int]:
+        """Adds the entries that ``last`` lacks, one at a time: entry i is the token that ends the encoding of ``piece[:i]``.
+
+        Of the tokens that end there it is the one that stands beside the last token of what is before it.
+        """
+        due = len(last)
+        first = max(0, due - self.longest)  # a token that ends later begins here or later
+        get = self.beside.get
+        for end, (rank, length) in self.ends.iter(piece[first:].decode("latin-1")):
+            if first + end + 1 == due:
+                left = last[due - length]
+                known = get(left << 32 | rank)
+                if known or known is None and self.stands(left, rank):
+                    last.append(rank)
+                    yield due
+                    due += 1
+
+    def prefixes(self, piece: bytes, last: list[int] | None = None) -> list[int]:
+        """The entries of all prefixes, carried on from those in ``last``; entry 0 is no token."""
+        last = [-1] if last is None else last
+        for _ in self.grown(piece, last):
+            pass
+        if len(last) <= len(piece):
+            raise ValueError("the ranks lack a byte")
         return last
 
-    def edited(self, old: bytes, last: array, start: int, end: int, new: bytes) -> tuple[bytes, array]:
+    def edited(self, old: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
         """``old`` with ``new`` in place of ``old[start:end]``, and its entries.
 
         Entries before the edit stay. Behind it, once as many entries in a row as the longest token has bytes agree with
         the old ones, all that follow do: each hangs on no more than those and on bytes that were not edited.
         """
         piece, shift, out, agree = old[:start] + new + old[end:], len(new) - (end - start), last[: start + 1], 0
-        for at in range(start + 1, len(piece) + 1):
-            out.append(self.last_token(piece, at, out))
+        for at in self.grown(piece, out):
             behind = at - self.longest >= start + len(new)
             agree = agree + 1 if behind and out[at] == last[at - shift] else 0
             if agree >= self.longest:
                 return piece, out + last[at - shift + 1 :]
         return piece, out
 
-    def ids_of(self, last: array) -> list[int]:
+    def ids_of(self, last: list[int]) -> list[int]:
         """The encoding of the longest prefix, read back from its last token."""
-        at, out = len(last) - 1, []
+        at, out, length = len(last) - 1, [], self.length
         while at:
             out.append(last[at])
-            at -= len(self.bytes_of[last[at]])
-        return out[::-1]
+            at -= length[last[at]]
+        out.reverse()
+        return out
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """A piece that is a token is that token, even where no merges lead to it."""
@@ -125,22 +209,29 @@ class ByteBpe:
         return [whole] if whole is not None else self.ids_of(self.prefixes(piece))
 
     def _ids(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            known = array("i", self.encode_piece(piece.encode())).tobytes()
-            if len(piece) <= PIECE_BYTES:
-                if len(self.pieces) >= PIECES:
-                    self.pieces.clear()
-                self.pieces[piece] = known
+        known = array("i", self.encode_piece(piece.encode())).tobytes()
+        if len(piece) <= PIECE_BYTES:
+            if len(self.pieces) >= PIECES:
+                self.pieces.clear()
+            self.pieces[piece] = known
         return known
 
+    def matches(self, text: str) -> list[str]:
+        if self.narrow and (text.isascii() or not _WIDE.search(text)):
+            return self.narrow.findall(text)
+        return (self.split if self.later.search(text) else self.usual).findall(text)
+
     def encode(self, text: str | None) -> array:
-        text = text or ""
-        split = self.usual if text.isascii() or not self.later.search(text) else self.split
-        return array("i", b"".join(map(self._ids, split.findall(text))))
+        get, ids = self.pieces.get, self._ids
+        return array("i", b"".join([get(p) or ids(p) for p in self.matches(text or "")]))
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: array) -> bytes:
+        """The bytes of all ids, one after the other."""
+        at = np.asarray(ids, np.int64)
+        lengths = self.lengths[at]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + lengths, lengths)
+        return self.bytes[places].tobytes()
 
 
 class Encoded:
@@ -154,7 +245,7 @@ class Encoded:
         found = list(bpe.split.finditer(text))
         self.starts, self.tables = [m.start() for m in found], [self._table(m.group().encode()) for m in found]
 
-    def _table(self, piece: bytes) -> tuple[bytes, array]:
+    def _table(self, piece: bytes) -> tuple[bytes, list[int]]:
         return piece, self.bpe.prefixes(piece)
 
     @property
@@ -195,7 +286,7 @@ class Encoded:
             first = False
         self.starts, self.tables = self.starts[:keep] + starts, self.tables[:keep] + tables
 
-    def _carried(self, old: tuple[bytes, array], piece: bytes) -> tuple[bytes, array] | None:
+    def _carried(self, old: tuple[bytes, list[int]], piece: bytes) -> tuple[bytes, list[int]] | None:
         """The entries of ``piece`` from those of a piece that it shares a beginning, and maybe an end, with."""
         was, last = old
         most = min(len(was), len(piece))

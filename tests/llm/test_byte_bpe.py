@@ -51,6 +51,25 @@ def test_any_text(bpe_text):
         assert bpe.encode_piece(piece.encode()) == bpe.merged(piece.encode())
 
 
+def test_neighbours_stand_where_merging_leaves_them(bpe):
+    rng = random.Random(9)
+    ranks = list(bpe.ranks.values())
+    short = [r for r in ranks if len(bpe.bytes_of[r]) <= 3]
+    pairs = [(rng.choice(pool), rng.choice(pool)) for pool in (ranks, short) for _ in range(6000)] + [(a, b) for a in range(60) for b in range(256, 330)]
+    split = [bpe.merged(bpe.bytes_of[rng.choice(ranks)] + bpe.bytes_of[rng.choice(ranks)]) for _ in range(3000)]
+    pairs += [x for ids in split for x in zip(ids, ids[1:])]
+    got = [bpe.stands(*x) for x in pairs]
+    assert got == [bpe.merged(bpe.bytes_of[a] + bpe.bytes_of[b]) == [a, b] for a, b in pairs] and 500 < sum(got) < len(got) - 500
+
+
+def test_narrow_texts_are_split_alike(bpe):
+    rng = random.Random(8)
+    chars = [chr(c) for c in range(byte_bpe.NARROW)]
+    texts = [a + c + b for c in chars for a in ("a", "1", "!", " ", "'") for b in ("", "z", " ")] + ["".join(rng.choice(chars) for _ in range(30)) for _ in range(2000)]
+    assert all(bpe.narrow.findall(t) == bpe.split.findall(t) == bpe.matches(t) for t in texts)
+    assert byte_bpe.narrow_pattern(r"\p{Lu}+|\s") is None
+
+
 def test_entries_are_the_last_tokens_of_prefixes(bpe):
     piece = " internationalisations".encode() + "ß漢".encode()
     last = bpe.prefixes(piece)
@@ -73,10 +92,11 @@ def test_appended_and_edited_pieces(bpe):
 
 def test_an_edit_reads_only_what_is_near(bpe, monkeypatch):
     piece = ("the" * 4000).encode()
-    last, calls, own = bpe.prefixes(piece), [], bpe.last_token
-    monkeypatch.setattr(bpe, "last_token", lambda *a: calls.append(a[1]) or own(*a))
+    last, calls, own = bpe.prefixes(piece), [], bpe.grown
+    monkeypatch.setattr(bpe, "grown", lambda *a: (calls.append(at) or at for at in own(*a)))
     changed, table = bpe.edited(piece, last, 6000, 6001, b"x")
     assert len(calls) <= 3 * bpe.longest + 50
+    monkeypatch.undo()
     assert table == bpe.prefixes(changed)
 
 
