@@ -35,7 +35,10 @@ def parsed_rows(snapshots: DataFrame) -> DataFrame:
     row, x = F.col("row"), F.col("x")
     get = lambda name: x[name]
     price = parse_float(first_true(get("value"), get("dp3"))).cast("decimal(10,4)")
-    offers = payload_rows(snapshots).withColumn("x", F.from_json("row", OFFER)).withColumn("price_decimal", price).filter("price_decimal is not null")
+    # A generator makes the parsed rows: a filter on them that moved below a projection would parse them again.
+    rows = F.transform(F.from_json("raw", "data array<string>")["data"], lambda r: F.struct(r.alias("row"), F.from_json(r, OFFER).alias("x")))
+    offers = snapshots.select("fixture_id", "bookmaker_id", "pulled_at", F.posexplode(rows).alias("place", "o")).select("fixture_id", "bookmaker_id", "pulled_at", "place", "o.row", "o.x")
+    offers = offers.withColumn("price_decimal", price).filter("price_decimal is not null")
     # Texts that several columns read are made once, in a projection of their own.
     texts = offers.select(
         "fixture_id", "bookmaker_id", "pulled_at", "place", "row", "x", "price_decimal", market_key(row, x).alias("market_key"),

@@ -60,11 +60,13 @@ def shot_over_odds(odds: DataFrame, bookmaker: int = 2) -> DataFrame:
     Of several prices for one line the last row wins: the newest ``pulled_at``, then the largest ``place`` (of those
     columns that ``odds`` has), then the price, so that the result doesn't hang on the order of reading.
     """
-    total = F.coalesce(F.nullif(F.get_json_object("raw", "$.total"), F.lit("")), F.nullif(F.col("selection"), F.lit("")), F.col("line").cast("string"))
-    label = F.lower(F.get_json_object("raw", "$.label"))
+    total = F.coalesce(F.nullif(F.col("x.total"), F.lit("")), F.nullif(F.col("selection"), F.lit("")), F.col("line").cast("string"))
+    label = F.lower("x.label")
     side = F.when(F.col("market_id") == 292, "match").when(label == "1", "home").when(label == "2", "away")
     under = F.coalesce(F.lower("selection").contains("under"), F.lit(False)) | F.lower(total).contains("under")
-    rows = odds.filter((F.col("bookmaker_id") == bookmaker) & F.col("market_id").isin(292, 285) & ~under)
+    priced = odds.filter((F.col("bookmaker_id") == bookmaker) & F.col("market_id").isin(292, 285))
+    # Parsed by a generator, once: filters on what was parsed stay above it.
+    rows = priced.select("*", F.explode(F.array(F.from_json("raw", "total string, label string"))).alias("x")).filter(~under)
     order = F.struct(*(F.col(c) for c in ("pulled_at", "place") if c in odds.columns), F.col("decimal_odds").cast("double").alias("odds")).alias("order")
     rows = rows.select("fixture_id", side.alias("side"), over_line(total).alias("line"), order)
     return rows.filter("side is not null and line is not null").groupBy("fixture_id", "side", "line").agg(F.max("order")["odds"].alias("odds"))

@@ -197,7 +197,9 @@ def build_tables(raw: DataFrame, current: Tables | None = None, folder: str | No
     The text is read and parsed once, into ``folder`` (a scratch folder by default) as Parquet with nested columns; each
     table then reads the columns it is made of. Nothing is cached, and a lost task reads its part again.
     """
-    raw = written(parsed(raw, FIXTURE), folder or scratch_dir(raw.sparkSession, "parsed"))
+    own = ["source", "line", "position", "item"]
+    flat = written(parsed(raw, FIXTURE).select(*own, "x.*"), folder or scratch_dir(raw.sparkSession, "parsed"))
+    raw = flat.select(*own, F.struct(*(c for c in flat.columns if c not in own)).alias("x"))
     participants = flatten_participants(raw)
     teams = teams_from_participants(raw)
     return Tables(
