@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,19 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-CHECKPOINT_KEY = "spark.checkpoint.dir"
-ROW = "__footform_row"  # the column that tells rows apart where ids don't
-
+from ..sources.folders import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as a URI; one is made here only for a local session that names none."""
-    base = spark.conf.get(CHECKPOINT_KEY, None)
-    if not base:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that driver and executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="footform-shared-")
-        spark.conf.set(CHECKPOINT_KEY, base)
-    return base if "://" in base or not base.startswith("/") else f"file://{base}"
+ROW = "__footform_row"  # the column that tells rows apart where ids don't
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

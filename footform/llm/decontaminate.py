@@ -7,6 +7,7 @@ offsets in the original.
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections.abc import Iterator
@@ -16,12 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_where, materialise, small_batches, take_over
+from .common import ROW, keep_where, keyed, materialise, small_batches, take_over, without_rows
 
 #: Every byte that is neither a digit, a letter nor part of a non-ASCII character splits words.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(rb"[^\x20]+")
-SCHEMA = "doc_id long, n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -97,41 +97,55 @@ def parts_of(benchmark: DataFrame, most_bytes: int) -> Iterator[list[tuple[int,
         yield [tuple(r) for r in items.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == p).collect()]
 
 
-def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(intervals):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
+HIT = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("from", pa.int32()), ("to", pa.int32())])  # words, code points
+FOUND = "row long, doc_id long, n_words long, hits array<struct<start:int,end:int,`from`:int,`to`:int>>, items array<long>"
+NAMES = ["row", "doc_id", "n_words", "hits", "items"]
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.list_(HIT), pa.list_(pa.int64())]
+
+
+def merged(hits: list[dict]) -> list[dict]:
+    """Hits of several parts as the intervals that they cover together."""
+    out: list[dict] = []
+    for h in sorted(hits, key=lambda h: (h["start"], h["end"])):
+        if out and h["start"] <= out[-1]["end"]:
+            out[-1] = {**out[-1], "end": max(out[-1]["end"], h["end"]), "to": max(out[-1]["to"], h["to"])}
         else:
-            out.append((a, b))
+            out.append(h)
     return out
 
 
-SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-CARRIED = "doc_id long, text string, hits array<struct<start:int,end:int>>, items array<long>"
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(KINDS), KINDS, strict=True)], NAMES)
 
 
-def _scan(docs: DataFrame, items: list[tuple[int, str]], width: int, last: bool) -> DataFrame:
-    """Adds what one part of the items hits to the rows of ``CARRIED``; the last part turns word intervals into spans."""
+def scanned(docs: DataFrame, items: list[tuple[int, str]], width: int, all_rows: bool = True) -> DataFrame:
+    """``FOUND`` of the rows of ``docs(row, doc_id, text)``, or of those that a window of the items hits."""
     shared, token = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = built(token, shared.value, width)
         for batch in batches:
             rows = []
-            for doc_id, text, before, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
                 hits, ids = automaton.scan(words)
-                hits, ids = merged(hits + [(h["start"], h["end"]) for h in before]), sorted(ids.union(known))
-                if last:
-                    rows.append((doc_id, len(words), sum(b - a for a, b in hits), ids, offsets(text, hits) if hits else []))
-                else:
-                    rows.append((doc_id, text, [{"start": a, "end": b} for a, b in hits], ids))
-            names = ["doc_id", "n_words", "n_hit", "items", "spans"] if last else ["doc_id", "text", "hits", "items"]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), SPANS] if last else [pa.int64(), pa.string(), SPANS, pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * len(kinds), kinds, strict=True)], names)
+                if hits or all_rows:
+                    spans = offsets(text, hits) if hits else []
+                    rows.append((row, doc_id, len(words), [{"start": a, "end": b, "from": x["start"], "to": x["end"]} for (a, b), x in zip(hits, spans, strict=True)], sorted(ids)))
+            yield _batch(rows)
+
+    return docs.select("row", "doc_id", "text").mapInArrow(run, FOUND)
+
+
+def _together(found: DataFrame) -> DataFrame:
+    """What the parts found of each row as one row."""
 
-    return docs.mapInArrow(run, SCHEMA if last else CARRIED)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _batch([(row, doc_id, n, merged(hits), ids) for row, doc_id, n, hits, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True)])
+
+    one = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return one.mapInArrow(run, FOUND)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_item_bytes: int = 4 << 20) -> DataFrame:
@@ -143,17 +157,26 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, max_it
     rows as others. Empty tables give no rows, or rows without hits. Extra columns are ignored.
 
     An automaton holds at most about ``max_item_bytes`` of item text (some 75 bytes of a worker's memory for each byte).
-    A larger benchmark is dealt by item into parts that scan the rows one after another, each adding to what the row
-    carries, so the result is the same.
+    A larger benchmark is dealt by item into parts, each of which scans the texts where they are; only what it hits is
+    written down, and put together by row, so the result is the same and no text is written again.
     """
     small_batches(docs.sparkSession)
-    none = F.array()
-    carried = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", none.cast("array<struct<start:int,end:int>>").alias("hits"), none.cast("array<long>").alias("items"))
+    texts = lambda df, row: df.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = list_ahead(parts_of(benchmark, max_item_bytes))
-    for part, last in parts:
-        carried = _scan(carried, part, width, last)
-        carried = carried if last else materialise(carried, "decontaminate")
-    return carried
+    part, last = next(parts)
+    if last:
+        found = scanned(texts(docs, F.lit(0).cast("long")), part, width)
+    else:
+        rows = texts(keyed(docs.select("doc_id", "text")), F.col(ROW))
+        every = materialise(scanned(rows, part, width), "decontaminate")
+        hits = every.filter("size(hits) > 0")
+        for part, _ in parts:
+            hits = hits.unionByName(materialise(scanned(rows, part, width, all_rows=False), "decontaminate"))
+        both = every.select("row", "doc_id", "n_words").join(_together(hits).select("row", "hits", "items"), "row", "left")
+        found = both.withColumns({c: F.coalesce(c, F.array().cast(every.schema[c].dataType)) for c in ("hits", "items")})
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
+    spans = F.transform("hits", lambda h: F.struct(h["from"].alias("start"), h["to"].alias("end")))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "items", spans.alias("spans"))
 
 
 def list_ahead(parts: Iterator[list]) -> Iterator[tuple[list, bool]]:
@@ -169,14 +192,22 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10, ma
     """``docs`` without rows that share a window with an item; columns as they were.
 
     Null and wordless texts share nothing and stay; repeated rows share one fate; ids, null or not, play no part. An
-    empty table stays empty, an empty benchmark drops nothing.
+    empty table stays empty, an empty benchmark drops nothing. Parts of a large benchmark write down the rows they hit.
     """
     sc = docs.sparkSession.sparkContext
-    for part, last in list_ahead(parts_of(benchmark, max_item_bytes)):
+    parts = list_ahead(parts_of(benchmark, max_item_bytes))
+    part, last = next(parts)
+    if last:
         shared, token = sc.broadcast(part), uuid.uuid4().hex
-        docs = keep_where(docs, "text", lambda texts, shared=shared, token=token: [not built(token, shared.value, width).scan(words_of(t))[0] for t in texts])
-        docs = docs if last else materialise(docs, "decontaminate")
-    return docs
+        return keep_where(docs, "text", lambda texts: [not built(token, shared.value, width).scan(words_of(t))[0] for t in texts])
+    small_batches(docs.sparkSession)
+    rows = keyed(docs)
+    texts = rows.select(F.col(ROW).alias("row"), F.lit(None).cast("long").alias("doc_id"), "text")
+    gone = None
+    for part, _ in itertools.chain([(part, last)], parts):
+        one = materialise(scanned(texts, part, width, all_rows=False).select("row"), "decontaminate")
+        gone = one if gone is None else gone.union(one)
+    return without_rows(rows, gone.distinct())
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
