@@ -188,3 +188,17 @@ def test_an_export_is_read_from_what_was_written(spark, sf_dir, tmp_path):
     for name in ("fixture_players", "fixture_player_statistics", "fixture_statistics", "odds_outcomes", "odds_snapshots"):
         assert {r.fixture_id for r in getattr(out, name).select("fixture_id").distinct().collect()} <= ids
     assert "lineitem" not in plan(out.players)
+
+
+def test_every_query_takes_stored_tables(spark, sf_dir, monkeypatch):
+    """The columns that the layout adds to tables of facts clash with nothing."""
+    from footform.plans import queries as Q
+
+    t = tables(spark, sf_dir)
+    empty = {n: spark.createDataFrame([], df.schema) for n, df in vars(t).items() if df is not None}
+    for n in ("fixtures", *store.OF_FIXTURE):
+        empty[n] = empty[n].withColumns({"league_id": F.lit(1), "starting_month": F.lit(200101)})
+    monkeypatch.setattr(Q, "tables", lambda spark, sf_dir: Tables(**empty))
+    derived = {name: run for name, run in Q.QUERIES.items() if run.__module__ == Q.__name__ and run.__qualname__.startswith(("_on", "_derived"))}
+    assert len(derived) > 60
+    assert all(run(spark, sf_dir).columns for run in derived.values())
