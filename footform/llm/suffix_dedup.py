@@ -6,15 +6,15 @@ its anchors sorted by fingerprint, as a sparse suffix array. A new batch is merg
 levels of equal size merge, so n batches keep log n levels. Matching anchors are refined: an anchor whose whole
 surroundings repeat needs no more; for others each run of ``length`` bytes is compared.
 
-Bytes are compared by 64-bit fingerprints, always two of them: of the anchor's own bytes and of the whole stretch. Both
-are polynomials of one base modulo 2**64 over overlapping bytes, so they are not independent: on texts that are built
-regularly enough (Thue-Morse words) such sums lose most of their bits, and 400 bytes of them are told apart by some 20
-bits only. Prose, code and repeated patterns are not of that kind.
+Bytes are compared by two 64-bit fingerprints. That of the anchor's own bytes rolls over the text: a polynomial modulo
+2**64, which loses most of its bits on texts built like Thue-Morse words. That of the whole stretch is BLAKE2b of its
+bytes and owes nothing to the first, so a run that differs keeps 64 bits of its own even there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,12 @@ class Sums:
         return (self.sums[length:] - self.sums[:-length]) * self.inverse[: len(self.sums) - length]
 
 
+def digests(raw: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """BLAKE2b of each stretch, 64 bits of it."""
+    view = memoryview(raw)
+    return np.array([int.from_bytes(blake2b(view[a:b], digest_size=8).digest(), "little") for a, b in zip(begin.tolist(), end.tolist(), strict=True)], np.uint64)
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Least value of each ``width`` consecutive ones: minima of blocks from the left and from the right."""
     n = len(x) - width + 1
@@ -72,8 +78,11 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Of texts side by side: (text number, fp, ext, pos, lo, hi) of each anchor; lo..hi are the starts of its runs."""
+def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, whole: bool = True) -> tuple[np.ndarray, ...]:
+    """Of texts side by side: (text number, fp, ext, pos, lo, hi) of each anchor; lo..hi are the starts of its runs.
+
+    ``ext`` is of all that its runs cover, at most ``2 * length - gram`` bytes; 0 if ``whole`` is not asked for.
+    """
     raw, sizes = b"".join(texts), np.array([len(t) for t in texts], np.int64)
     if len(raw) < length:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
@@ -91,7 +100,7 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple
     lo, hi = starts[first], starts[np.concatenate([first[1:], [len(starts)]]) - 1]
     pos = chosen[lo]
     shape = ((hi - lo) << 32 | (pos - lo)).astype(np.uint64)
-    ext = mix(mix(sums.of(lo, hi + length)) + mix(shape))
+    ext = mix(digests(raw, lo, hi + length) + mix(shape)) if whole else np.zeros(len(lo), np.uint64)
     text = owner[lo]
     return text, grams[pos].view(np.int64), ext.view(np.int64), pos - begins[text], lo - begins[text], hi - begins[text]
 
@@ -207,9 +216,10 @@ class IndexFamily:
                     number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[of]
                     begin = anchor[of] + number * block
                     a, b = np.maximum(lo[of], begin), np.minimum(hi[of], begin + block - 1)
-                    sums = Sums(text.encode())
+                    raw = text.encode()
+                    sums = Sums(raw)
                     core = mix(sums.of(begin + block - 1, begin + length) + mix(fp[of].view(np.uint64) + number.view(np.uint64)))
-                    whole = mix(sums.of(a, b + length) + mix(((a - begin) << 32 | (b - begin)).astype(np.uint64)))
+                    whole = mix(digests(raw, a, b + length) + mix(((a - begin) << 32 | (b - begin)).astype(np.uint64)))
                     yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(whole.view(np.int64)), pa.array([doc] * len(a), pa.int64()), *(pa.array(x, pa.int32()) for x in (begin, a, b))], ["fp", "ext", "doc", "pos", "lo", "hi"])
 
         return docs.select("doc", "text").join(by_doc, "doc").mapInArrow(run, ENTRY)
@@ -222,7 +232,7 @@ def seeds(docs: DataFrame, passage: int, gram: int) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(zero_copy_only=False), [t.encode() for t in batch.column(1).to_pylist()]
             for a, b in chunks([len(t) for t in texts]):
-                text, fp, *_ = anchors(texts[a:b], passage, gram)
+                text, fp, *_ = anchors(texts[a:b], passage, gram, whole=False)
                 one = np.unique(np.stack([text, fp]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(one[1], pa.int64()), pa.array(ids[a + one[0]] if one.size else [], pa.int64())], ["fp", "doc"])
 

@@ -457,6 +457,22 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
     assert got == plain_repeats(texts, 400)
 
 
+def thue_morse(n, pair):
+    return "".join(pair[bin(k).count("1") % 2] for k in range(n))
+
+
+def test_texts_on_which_rolling_sums_collide(spark):
+    """Words of Thue-Morse and their complements differ by a high power of 2 in any polynomial modulo 2**64."""
+    assert len(set(suffix_dedup.digests(b"ab" * 9, np.arange(8), np.arange(8) + 9).tolist())) == 2
+    a, b = (suffix_dedup.Sums(thue_morse(1024, pair).encode()) for pair in ("ab", "ba"))
+    zero, all_of_it = np.array([0]), np.array([1024])
+    assert a.of(zero, all_of_it)[0] - b.of(zero, all_of_it)[0] == 0  # what the rolling sums can't tell apart
+    texts = {k: thue_morse(900, pair) + str(k) for k, pair in enumerate(("ab", "ba", "ac", "ca", "bc"))} | {9: thue_morse(900, "ab")[::-1]}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.without_repeats(df).collect()}
+    assert got == plain_repeats(texts, 400)
+
+
 def test_levels_merge_geometrically(spark, docs):
     family = suffix_dedup.IndexFamily(spark)
     some = docs.filter("text is not null").select(F.col("doc_id").alias("doc"), "text")
