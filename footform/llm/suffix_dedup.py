@@ -29,6 +29,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 20  # bytes of text that are fingerprinted at once, or one longer text
 SALTS = 16  # files of a level that the anchors of one fingerprint are dealt to
 BLOCK = 8  # starts that are refined together
+HOT = 2000  # a kind with more than one row in so many is broadcast: there are fewer than that of them
 ASKED = 1_000_000  # anchors or blocks of some 20 bytes that a join may broadcast to the texts; more are shuffled
 ENTRY = "fp long, ext long, doc long, pos int, lo int, hi int"
 _POWERS: list[np.ndarray] = []
@@ -131,6 +132,18 @@ def entries(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.mapInArrow(run, ENTRY)
 
 
+def several(rows: DataFrame, kinds: DataFrame) -> DataFrame:
+    """``doc, lo, hi`` of those ``rows(fp, ext, ...)`` whose kind has more than one row by ``kinds(fp, ext, n)``.
+
+    A kind of many rows is never dealt out by its key: those with more than a HOTth of all rows are broadcast, the rest
+    are small beside a partition.
+    """
+    key, most = ["fp", "ext"], max(1, rows.count() // HOT)
+    hot = F.broadcast(kinds.filter(F.col("n") > most).select(*key))
+    others = kinds.filter((F.col("n") > 1) & (F.col("n") <= most)).select(*key)
+    return rows.join(hot, key, "left_semi").unionByName(rows.join(hot, key, "left_anti").join(others, key, "left_semi")).select("doc", "lo", "hi")
+
+
 class IndexFamily:
     """Levels of a growing index in the shared folder: add batches, then ask for what is repeated."""
 
@@ -180,20 +193,19 @@ class IndexFamily:
             held = self._read(path) if held is None else held.unionByName(self._read(path))
         shared = keep(held.join(small(seen), "fp", "left_semi"), "shared")
         kinds = keep(shared.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "kinds")
-        whole = shared.join(kinds.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
+        whole = several(shared, kinds)
         # Where an anchor's surroundings differ, one anchor of each kind shows its runs, first in blocks of starts.
         unsure = kinds.filter("n = 1").select("fp").distinct()
         asked = kinds.join(unsure, "fp", "left_semi").select("fp", "one.doc", "one.pos", "one.lo", "one.hi")
         blocks = keep(self._refined(docs, asked, BLOCK), "blocks")
         sorts = keep(blocks.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos", "lo", "hi")).alias("one")), "kinds")
-        some = blocks.join(sorts.filter("n > 1").select("fp", "ext"), ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
+        some = several(blocks, sorts)
         # A block's core lies in all of its runs: only where the core repeats may a single run do.
         open_cores = sorts.groupBy("fp").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1").select("fp")
         asked = sorts.join(open_cores, "fp", "left_semi").select("fp", "one.doc", "one.pos", "one.lo", "one.hi")
         runs = keep(self._refined(docs, asked, 1), "runs")
-        twice = runs.groupBy("fp", "ext").count().filter("count > 1").select("fp", "ext")
-        single = runs.join(twice, ["fp", "ext"], "left_semi").select("doc", "lo", "hi")
-        return whole.unionByName(some).unionByName(single)
+        twice = keep(runs.groupBy("fp", "ext").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "twice")
+        return whole.unionByName(some).unionByName(several(runs, twice))
 
     def _refined(self, docs: DataFrame, asked: DataFrame, block: int) -> DataFrame:
         """``asked(fp, doc, pos, lo, hi)`` cut into blocks of ``block`` starts, counted from ``pos``.

@@ -457,6 +457,14 @@ def test_texts_longer_than_a_chunk(spark, monkeypatch):
     assert got == plain_repeats(texts, 400)
 
 
+@pytest.mark.parametrize("hot", [1, 20])
+def test_frequent_passages_by_key_or_broadcast(spark, docs, monkeypatch, hot):
+    """With 1 every kind is dealt by its key, with 20 the frequent ones are broadcast."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.without_repeats(docs, 2, 40, 16).collect()}
+    assert got == plain_repeats(dict(corpus()), 40)
+
+
 def thue_morse(n, pair):
     return "".join(pair[bin(k).count("1") % 2] for k in range(n))
 
