@@ -212,7 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unmatched_player_odds": _over_tables(_unmatched),
     "team_name_map": _over_tables(lambda t: odds.team_name_map(t, t.fixtures)),
     "fixture_player_name_map": _over_tables(lambda t: odds.fixture_player_name_map(t, t.fixtures)),
-    "squad_name_map": _over_tables(odds.squad_name_map),
+    "squad_name_map": _over_tables(lambda t: odds.fixture_squad_name_map(t, t.fixtures)),
     "named_participants": _over_tables(_named),
     "odds_stream": stream,
     "append_snapshots": append_snapshots,
@@ -287,7 +287,7 @@ ORACLES = {
         AND NOT EXISTS (SELECT 1 FROM fixtures f JOIN aliases a ON a.team_id IN (home_team_id, away_team_id) WHERE f.id = o.fixture_id AND a.id % 4 <> 0 AND a.folded = o.folded)""",
     "team_name_map": """SELECT fixture_id, folded, max(team_id) AS team_id FROM (SELECT fixture_id, team_id, regexp_replace(lower(unnest([name, short_code])), '[^a-z0-9]+', '', 'g') AS folded FROM fixture_participants JOIN teams t ON t.id = team_id) GROUP BY 1, 2""",
     "fixture_player_name_map": "SELECT fixture_id, folded, player_id FROM lineup_names",
-    "squad_name_map": "SELECT team_id, folded, min(id) AS player_id FROM aliases WHERE folded <> '' GROUP BY 1, 2",
+    "squad_name_map": "SELECT fixture_id, folded, player_id FROM squad_names WHERE folded <> ''",
     "named_participants": """SELECT DISTINCT fixture_id, name, NULL::INT AS team_id, participant_id AS player_id FROM resolved UNION ALL SELECT fixture_id, upper(name), team_id, NULL FROM fixture_participants JOIN teams t ON t.id = team_id""",
     "odds_stream": f"SELECT {_PRICED} FROM {_LAST('fixture_id, market_key, selection_key, line', 'resolved', 'l_shipdate DESC, price_decimal DESC')}",
     "append_snapshots": "SELECT strftime(l_shipdate, '%Y-%m-%d') AS day, count(*) AS snapshots FROM (SELECT DISTINCT l_orderkey, l_shipdate FROM lines) GROUP BY 1",

@@ -4,12 +4,14 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from footform.functions import exprs
 from footform.operators import core, odds, players, quality, teams, value
+from footform.plans.queries import QUERIES
 from footform.schemas import SCHEMAS, Tables
-from footform.sources import ingest, merge, sinks
+from footform.sources import ingest, merge, proxy, sinks
 
 
 def at(text):
@@ -163,6 +165,27 @@ def test_parse_outcomes(spark, t):
     assert [r.name for r in odds.unmatched_player_odds(odds.parse_outcomes(t, shots, t.fixtures)).collect()] == ["Who"]
 
 
+def test_squad_names_of_every_fixture(spark, sf_dir):
+    """A fixture's names are those of both squads, however its row looks: teams that are unknown or the same, ids that repeat or lack."""
+    rows = [(1, 5, 6), (2, 6, 5), (3, 5, None), (4, None, None), (5, 7, 7), (6, 5, 6), (6, 5, 7), (None, 6, 8), (7, 8, 9)]
+    known = [(9, "Á", "A b", "!!", 5), (8, "A", None, None, 6), (7, "Cé", "ab", None, 7), (6, "Free", None, None, None), (5, None, "", None, 6)]
+    t = Tables(fixtures=spark.createDataFrame(rows, "id long, home_team_id int, away_team_id int"), players=spark.createDataFrame(known, "id int, name string, common_name string, short_name string, team_id int"))
+    both = {("a", 8), ("ab", 9)}
+    want = {1: both, 2: both, 3: {("a", 9), ("ab", 9)}, 5: {("ce", 7), ("ab", 7)}, 6: {("a", 8), ("ab", 7), ("ce", 7)}, None: {("a", 8)}}
+    got = odds.fixture_squad_name_map(t, t.fixtures).collect()
+    assert sorted(map(str, got)) == sorted(str(Row(fixture_id=f, folded=name, player_id=p)) for f, names in want.items() for name, p in names)
+    teamless = Tables(**{**vars(t), "players": t.players.drop("team_id")})
+    assert odds.fixture_squad_name_map(teamless, t.fixtures).count() == 0
+    # The registered query leaves out no fixture and no name of its squads.
+    full = proxy.tables(spark, sf_dir)
+    squads = odds.squad_name_map(full)
+    sides = full.fixtures.select(F.col("id").alias("fixture_id"), F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
+    plain = sides.join(squads, "team_id").groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
+    found = QUERIES["squad_name_map"](spark, sf_dir)
+    assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+    assert found.select("fixture_id").distinct().count() == full.fixtures.count()
+
+
 def test_stream_keeps_newest(spark, tmp_path):
     from footform.streaming.odds_stream import current_outcomes, odds_stream, write_epoch
 
