@@ -25,7 +25,14 @@ LINEUP = (
     f"detailed_position_id:string,detailed_position_name:string,detailed_position_code:string,detailedposition:{SPOT},detailed_position:{SPOT},formation_field:string,formation_position:string,jersey_number:string,number:string,"
     f"minutes_played:string,minutes:string,played_minutes:string,details:array<{DETAIL}>>"
 )
-FIXTURE = f"struct<id:int,league_id:int,season_id:int,starting_at:string,status:string,status_code:string,state:struct<state:string>,home_team_id:int,away_team_id:int,scores:string,score:string,participants:array<{PARTICIPANT}>,statistics:array<{STATISTIC}>,lineups:array<{LINEUP}>>"
+FIXTURE_FIELDS = {
+    "id": "int", "league_id": "int", "season_id": "int", "starting_at": "string", "status": "string", "status_code": "string", "state": "struct<state:string>", "home_team_id": "int", "away_team_id": "int", "scores": "string", "score": "string",
+    "participants": f"array<{PARTICIPANT}>", "statistics": f"array<{STATISTIC}>", "lineups": f"array<{LINEUP}>",
+}
+LISTS = ("participants", "statistics", "lineups")
+FIXTURE = f"struct<{','.join(f'{name}:{kind}' for name, kind in FIXTURE_FIELDS.items())}>"
+HEAD = f"struct<{','.join(f'{name}:{kind}' for name, kind in FIXTURE_FIELDS.items() if name not in LISTS)}>"
+FACTS = f"struct<player_id:int,team_id:int,team:struct<id:int>,participant_id:int,player:struct<id:int>,details:array<struct<type_id:int,{TYPE},data:string,value:string>>>"
 SEASON = "struct<id:int,league_id:int,league:struct<id:int>,name:string,start_date:string,starting_at:string,end_date:string,ending_at:string,is_current:boolean,current:boolean>"
 TEAM = "struct<id:int,name:string,short_code:string,image_path:string,logo_path:string>"
 STAT_TYPE = "struct<id:int,name:string,code:string,developer_name:string,model_type:string,stat_group:string>"
@@ -48,7 +55,8 @@ def parsed(raw: DataFrame, schema: str) -> DataFrame:
     """Items with an id, as ``x``; items that are parsed already stay as they are."""
     if "x" in raw.columns:
         return raw
-    return raw.select("*", F.from_json("item", schema).alias("x")).filter("x.id is not null")
+    # A generator parses: a filter that moved below a projection, or into a join, would parse again.
+    return raw.select("*", F.explode(F.array(F.from_json("item", schema))).alias("x")).filter("x.id is not null")
 
 
 def flatten_seasons(raw: DataFrame, league_ids: list[int] | None = None) -> DataFrame:
@@ -86,33 +94,44 @@ def extract_scores(scores: Column) -> tuple[Column, Column]:
 
 def flatten_fixtures(raw: DataFrame) -> DataFrame:
     home, away = extract_scores(F.coalesce("x.scores", "x.score"))
-    return parsed(raw, FIXTURE).select(
+    return parsed(raw, HEAD).select(
         "x.id", "x.league_id", "x.season_id", parse_dt(F.col("x.starting_at")).alias("starting_at"), "x.status", F.coalesce(first_true(F.col("x.status_code")), F.col("x.state.state")).alias("status_code"),
         "x.home_team_id", "x.away_team_id", home.alias("home_score"), away.alias("away_score"), F.col("item").alias("extra"),
     )
 
 
-def _each(raw: DataFrame, field: str) -> DataFrame:
-    return parsed(raw, FIXTURE).select(F.col("x.id").alias("fixture_id"), F.col("source"), F.col("line"), F.col("position"), F.posexplode(f"x.{field}").alias("place", "e"))
+def _each(raw: DataFrame, field: str, entry: str) -> DataFrame:
+    """Entries of a list of fixtures, of which text is parsed as ``entry`` alone."""
+    fixtures = parsed(raw, f"struct<id:int,{field}:array<{entry}>>")
+    # Columns of their own: an entry's row would otherwise carry the fixture with all its entries.
+    lists = fixtures.select(F.col("x.id").alias("fixture_id"), "source", "line", "position", F.col(f"x.{field}").alias("entries"))
+    return lists.select("fixture_id", "source", "line", "position", F.posexplode("entries").alias("place", "e"))
 
 
-def _last(df: DataFrame, keys: list[str]) -> DataFrame:
-    return latest_wins(df, keys, [F.desc(c) for c in ("source", "line", "position", "place")]).drop("source", "line", "position", "place")
+def _last(df: DataFrame, keys: list[str], item: str = "position") -> DataFrame:
+    """The last row of each key."""
+    order = ["source", "line", item, "place"]
+    return latest_wins(df, keys, [F.desc(c) for c in order]).drop(*order)
+
+
+def _together(df: DataFrame) -> DataFrame:
+    """Rows dealt by fixture: they are packed best beside each other, and only sorted where they arrive."""
+    return df.repartition("fixture_id")
 
 
 def flatten_participants(raw: DataFrame) -> DataFrame:
     meta = F.col("e.meta")
-    rows = _each(raw, "participants").select(
+    rows = _each(raw, "participants", PARTICIPANT).select(
         "fixture_id", first_true(F.col("e.id"), F.col("e.team_id")).try_cast("int").alias("team_id"), F.lower(first_true(meta["location"], meta["venue"], meta["side"])).alias("location"),
         F.coalesce(safe_int(first_true(meta["score"], meta["outcome"])), safe_int(meta["outcome"]), F.when(meta["outcome"].isNull(), safe_int(meta["score"]))).alias("score"), "source", "line", "position", "place",
     )
-    return _last(rows.filter("team_id is not null"), ["fixture_id", "team_id"])
+    return _last(_together(rows.filter("team_id is not null")), ["fixture_id", "team_id"])
 
 
 def teams_from_participants(raw: DataFrame) -> DataFrame:
     """Partial team rows; apply them with :func:`merge.fill_by_key`, so that only what is given overwrites."""
     e = F.col("e")
-    rows = _each(raw, "participants").select(
+    rows = _each(raw, "participants", PARTICIPANT).select(
         first_true(e["id"], e["team_id"]).try_cast("int").alias("id"), first_true(e["name"], e["team_name"], e["display_name"]).alias("name"), first_true(e["short_code"], e["code"]).alias("short_code"),
         first_true(e["image_path"], e["logo_path"], e["logo"]).alias("image_path"), "source", "line", "position", "place",
     ).filter("id is not null")
@@ -123,16 +142,16 @@ def teams_from_participants(raw: DataFrame) -> DataFrame:
 def flatten_team_statistics(raw: DataFrame) -> DataFrame:
     e = F.col("e")
     type_id = F.coalesce(first_true(e["type_id"]), e["type"]["id"].cast("string")).try_cast("int")
-    rows = _each(raw, "statistics").select(
+    rows = _each(raw, "statistics", STATISTIC).select(
         "fixture_id", first_true(e["participant_id"], e["team_id"]).try_cast("int").alias("team_id"), type_id.alias("type_id"), F.coalesce(first_true(e["type"]["code"]), type_id.cast("string")).alias("code"),
         F.lower(first_true(e["location"])).alias("location"), e["type"]["name"].alias("name"), stat_value(e["data"]).alias("value"), "source", "line", "position", "place",
     )
-    return _last(rows.filter("team_id is not null"), ["fixture_id", "team_id", "type_id", "code", "location"])
+    return _last(_together(rows.filter("team_id is not null")), ["fixture_id", "team_id", "type_id", "code", "location"])
 
 
-def _lineups(raw: DataFrame) -> DataFrame:
+def _lineups(raw: DataFrame, entry: str = LINEUP) -> DataFrame:
     e = F.col("e")
-    ids = _each(raw, "lineups").withColumn("player_id", first_true(e["player_id"], e["player"]["id"]).try_cast("int"))
+    ids = _each(raw, "lineups", entry).withColumn("player_id", first_true(e["player_id"], e["player"]["id"]).try_cast("int"))
     return ids.filter("player_id is not null").withColumn("team_id", first_true(e["team_id"], e["team"]["id"], e["participant_id"]).try_cast("int"))
 
 
@@ -169,13 +188,14 @@ def _last_named(rows: DataFrame) -> DataFrame:
     names = rows.columns
     item = len(names) - 2
     renamed = rows.toDF(*names[:item], "item_position", names[-1])
-    order = [F.desc(c) for c in ("source", "line", "item_position", "place")]
-    return latest_wins(renamed, ["fixture_id", "player_id"], order).drop("source", "line", "item_position", "place")
+    return _last(_together(renamed), ["fixture_id", "player_id"], "item_position")
 
 
 def flatten_player_statistics(raw: DataFrame) -> DataFrame:
     """Details of every appearance; the value comes from ``data`` or ``value``, so one given as ``stat`` alone is null."""
-    rows = _lineups(raw).select("fixture_id", "player_id", "team_id", "source", "line", "position", F.col("place").alias("entry"), F.posexplode("e.details").alias("detail", "d"))
+    # An appearance goes its way in one row, with the details as they are.
+    own = ["fixture_id", "player_id", "team_id", "source", "line", "position"]
+    rows = _together(_lineups(raw, FACTS).select(*own, F.col("place").alias("entry"), F.col("e.details").alias("details"))).select(*own, "entry", F.posexplode("details").alias("detail", "d"))
     rows = rows.withColumn("place", F.struct("entry", "detail"))
     d = F.col("d")
     type_id = F.coalesce(first_true(d["type_id"]), d["type"]["id"].cast("string")).try_cast("int")

@@ -5,7 +5,7 @@ A fixture is an order, a team a nation, a player a part, an appearance a line it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import Tables
@@ -142,26 +142,13 @@ def fixture_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx, nation = fixtures(spark, sf_dir), _read(spark, sf_dir, "nation")
     named = lambda side: nation.select(F.col("n_nationkey").alias(f"{side}_team_id"), F.col("n_name").alias(f"{side}_name"))
     line = _read(spark, sf_dir, "lineitem").join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    n, q, odd = F.col("l_linenumber"), F.col("l_quantity").cast("int"), F.col("l_linenumber") % 2 == 1
     code = lambda c: F.struct(F.lit(c).alias("code"))
     detail = lambda type_id, type_, data, value: F.struct(F.lit(type_id).cast("int").alias("type_id"), type_.alias("type"), data.alias("data"), value.alias("value"))
     a_type = lambda i, c, name: F.struct(F.lit(i).cast("int").alias("id"), F.lit(c).cast("string").alias("code"), F.lit(name).cast("string").alias("name"))
     data = lambda v: F.struct(v.alias("value"))
     no_value = F.lit(None).cast("int")
-    details = F.array(
-        detail(42, a_type(42, "shots-total", "Shots Total"), data(F.when(F.col("l_returnflag") != "R", q % 5)), no_value), detail(119, a_type(119, None, "Minutes Played"), data(q), no_value),
-        detail(None, a_type(52, None, "Goals"), data(no_value), q % 3),
-    )
-    spot = F.when(n % 4 == 1, F.struct(F.lit(24).alias("id"), F.lit("Centre Back").alias("name"), F.lit("centre-back").alias("code")))
-    entry = F.struct(
-        *LINE_ORDER, odd.alias("odd"),
-        F.struct(
-            F.when(n % 3 != 0, F.col("l_partkey")).alias("player_id"), F.struct(F.col("l_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_brand").alias("fullname"), F.col("p_name").alias("common_name"), F.col("p_brand").alias("short_name")).alias("player"),
-            F.when(odd, F.col("p_name")).alias("player_name"), F.when(n <= 4, 11).otherwise(12).alias("type_id"), F.when(n % 4 == 0, "Goalkeeper").when(n % 4 == 3, "Striker").alias("position"), n.alias("jersey_number"), n.cast("string").alias("formation_position"),
-            F.when(odd, q).alias("minutes_played"), spot.alias("detailedposition"), details.alias("details"),
-        ).alias("e"),
-    )
-    lines = line.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(entry)).alias("lines"))
+    # Line items are gathered as they are; payloads, which are many times as large, are only made where an order's are together.
+    lines = line.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(F.struct(*LINE_ORDER, "p_name", "p_brand"))).alias("lines"))
     both = fx.join(named("home"), "home_team_id").join(named("away"), "away_team_id").join(lines, "id")
     goals = lambda side, kind: F.struct(F.lit(kind).alias("type_id"), F.struct(F.lit(side).alias("participant"), F.when(F.lit(kind) == 1525, F.col(f"{side}_score")).otherwise(9).alias("goals")).alias("score"))
     listed = F.to_json(F.array(goals("home", 1), goals("home", 1525), goals("away", 1525), goals("away", 2)))
@@ -171,9 +158,24 @@ def fixture_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(third != 1, F.col(f"{s}_team_id")).alias("id"), F.when(third == 1, F.col(f"{s}_team_id")).alias("team_id"), F.when(third != 0, F.concat_ws(" ", f"{s}_name", F.col("id").cast("string"))).alias("name"),
         F.when(F.col("id") % 5 == 0, F.concat(F.lit("C"), F.col("id").cast("string"))).alias("short_code"), F.struct(F.lit(s).alias("location"), F.col(f"{s}_score").cast("string").alias("score")).alias("meta"),
     )
-    team = lambda x: F.when(x["odd"], F.col("home_team_id")).otherwise(F.col("away_team_id"))
-    sums = F.transform("lines", lambda x: F.struct(F.lit(42).alias("type_id"), a_type(42, "shots-total", "Shots Total").alias("type"), team(x).alias("participant_id"), F.when(x["odd"], "Home").otherwise("Away").alias("location"), data((x["l_quantity"] % 5).cast("int")).alias("data")))
-    lineups = F.transform("lines", lambda x: x["e"].withField("team_id", team(x)))
+    odd = lambda x: x["l_linenumber"] % 2 == 1
+    team = lambda x: F.when(odd(x), F.col("home_team_id")).otherwise(F.col("away_team_id"))
+    sums = F.transform("lines", lambda x: F.struct(F.lit(42).alias("type_id"), a_type(42, "shots-total", "Shots Total").alias("type"), team(x).alias("participant_id"), F.when(odd(x), "Home").otherwise("Away").alias("location"), data((x["l_quantity"] % 5).cast("int")).alias("data")))
+
+    def entry(x: Column) -> Column:
+        n, q, part = x["l_linenumber"], x["l_quantity"].cast("int"), x["l_partkey"]
+        details = F.array(
+            detail(42, a_type(42, "shots-total", "Shots Total"), data(F.when(x["l_returnflag"] != "R", q % 5)), no_value), detail(119, a_type(119, None, "Minutes Played"), data(q), no_value),
+            detail(None, a_type(52, None, "Goals"), data(no_value), q % 3),
+        )
+        spot = F.when(n % 4 == 1, F.struct(F.lit(24).alias("id"), F.lit("Centre Back").alias("name"), F.lit("centre-back").alias("code")))
+        return F.struct(
+            F.when(n % 3 != 0, part).alias("player_id"), F.struct(part.alias("id"), F.concat_ws(" ", x["p_name"], x["p_brand"]).alias("fullname"), x["p_name"].alias("common_name"), x["p_brand"].alias("short_name")).alias("player"),
+            F.when(odd(x), x["p_name"]).alias("player_name"), F.when(n <= 4, 11).otherwise(12).alias("type_id"), F.when(n % 4 == 0, "Goalkeeper").when(n % 4 == 3, "Striker").alias("position"), n.alias("jersey_number"), n.cast("string").alias("formation_position"),
+            F.when(odd(x), q).alias("minutes_played"), spot.alias("detailedposition"), details.alias("details"), team(x).alias("team_id"),
+        )
+
+    lineups = F.transform("lines", entry)
     even = F.col("id") % 2 == 0
     head = F.to_json(F.struct(
         "id", "league_id", "season_id", F.date_format("starting_at", "yyyy-MM-dd HH:mm:ss").alias("starting_at"), F.when(even, F.col("home_team_id")).alias("home_team_id"), F.when(even, F.col("away_team_id")).alias("away_team_id"),
@@ -181,5 +183,6 @@ def fixture_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     # Scores are a list or an object, so they are put in as text.
     scores = F.when(third == 0, flat).otherwise(listed)
-    item = F.concat(F.lit('{"scores":'), scores, F.lit(","), F.substring(head, 2, 1 << 30))
-    return both.select(F.lit("derived").alias("source"), F.col("id").alias("line"), F.lit(0).alias("position"), item.alias("item"))
+    item = F.concat(F.lit('{"scores":'), scores, F.lit(","), F.ltrim(head, F.lit("{")))
+    # A generator makes the text: what reads several of its fields would otherwise make it for each.
+    return both.select(F.lit("derived").alias("source"), F.col("id").alias("line"), F.lit(0).alias("position"), F.explode(F.array(item)).alias("item"))

@@ -1,5 +1,6 @@
 """What queries read and how much they shuffle, as their plans and files show it."""
 
+import json
 import re
 from datetime import datetime, timedelta
 
@@ -202,3 +203,46 @@ def test_every_query_takes_stored_tables(spark, sf_dir, monkeypatch):
     derived = {name: run for name, run in Q.QUERIES.items() if run.__module__ == Q.__name__ and run.__qualname__.startswith(("_on", "_derived"))}
     assert len(derived) > 60
     assert all(run(spark, sf_dir).columns for run in derived.values())
+
+
+def whole_plan(spark, df):
+    """The optimized plan, no line of it cut."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+
+
+@pytest.mark.parametrize("flatten", [ingest.flatten_fixtures, ingest.flatten_participants, ingest.flatten_team_statistics, ingest.flatten_fixture_players, ingest.flatten_player_statistics])
+def test_a_payload_is_made_and_read_once(spark, sf_dir, flatten):
+    """No join or filter makes or reads the text besides, and nothing is parsed that the table has no use for."""
+    text = whole_plan(spark, flatten(fixture_payloads(spark, sf_dir)))
+    assert text.count("from_json(StructField(id,") == 1 and text.count("participants, array(") == 1
+    parse = re.search(r"from_json\(StructField\(id,.*", text).group()
+    others = {"participants", "statistics", "lineups"} - {{"flatten_team_statistics": "statistics", "flatten_participants": "participants", "flatten_fixtures": ""}.get(flatten.__name__, "lineups")}
+    assert not any(f"StructField({c},ArrayType" in parse for c in others)
+
+
+def test_line_items_are_gathered_before_payloads_are_made(spark, sf_dir):
+    lines = whole_plan(spark, fixture_payloads(spark, sf_dir)).split("\n")
+    gathered = next(i for i, line in enumerate(lines) if "collect_list" in line)
+    assert "shots-total" not in "".join(lines[gathered:]) and "shots-total" in "".join(lines[:gathered])
+
+
+def test_details_of_an_appearance_go_their_way_in_one_row(spark, sf_dir):
+    lines = whole_plan(spark, ingest.flatten_player_statistics(fixture_payloads(spark, sf_dir))).split("\n")
+    details, dealt, entries = (next(i for i, line in enumerate(lines) if x in line) for x in ("posexplode(details", "RepartitionByExpression [fixture_id", "posexplode(entries"))
+    assert details < dealt < entries and sum("RepartitionByExpression" in line for line in lines) == 1
+
+
+def test_the_last_detail_wins_across_items_of_a_fixture(spark):
+    detail = lambda t, v: {"type_id": t, "type": {"code": f"c{t}"}, "data": {"value": v}}
+    who = lambda p, *details: {"player_id": p, "team_id": 5, "details": list(details)}
+    items = [
+        {"id": 1, "statistics": "no list", "lineups": [who(7, detail(42, 1), detail(42, 2)), who(8, detail(42, 3)), who(7, detail(42, 4), detail(52, 5))]}, {"id": 1, "lineups": [who(8, detail(42, 6)), {"player_id": 9}]},
+        {"id": 2, "lineups": [who(7, detail(42, 7))]}, {"lineups": [who(7, detail(42, 8))]}, {"id": 3, "lineups": None},
+    ]
+    raw = spark.createDataFrame([("f", n, 0, json.dumps(x)) for n, x in enumerate(items)], "source string, line long, position int, item string")
+    got = ingest.flatten_player_statistics(raw).collect()
+    assert {(r.fixture_id, r.player_id, r.type_id, r.code, r.team_id, r.value) for r in got} == {(1, 7, 42, "c42", 5, 4), (1, 7, 52, "c52", 5, 5), (1, 8, 42, "c42", 5, 6), (2, 7, 42, "c42", 5, 7)} and len(got) == 4
