@@ -50,7 +50,7 @@ def flatten_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derive_fixture_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = proxy.fixture_payloads(spark, sf_dir)
+    raw = ingest.stored_fixtures(proxy.fixture_payloads(spark, sf_dir), schema=ingest.SIDES, text=False)
     return ingest.derive_fixture_sides(ingest.flatten_fixtures(raw), ingest.flatten_participants(raw)).select("id", "home_team_id", "away_team_id", "home_score", "away_score")
 
 

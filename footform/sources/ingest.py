@@ -32,6 +32,7 @@ FIXTURE_FIELDS = {
 LISTS = ("participants", "statistics", "lineups")
 FIXTURE = f"struct<{','.join(f'{name}:{kind}' for name, kind in FIXTURE_FIELDS.items())}>"
 HEAD = f"struct<{','.join(f'{name}:{kind}' for name, kind in FIXTURE_FIELDS.items() if name not in LISTS)}>"
+SIDES = f"{HEAD[:-1]},participants:array<{PARTICIPANT}>>"
 FACTS = f"struct<player_id:int,team_id:int,team:struct<id:int>,participant_id:int,player:struct<id:int>,details:array<struct<type_id:int,{TYPE},data:string,value:string>>>"
 SEASON = "struct<id:int,league_id:int,league:struct<id:int>,name:string,start_date:string,starting_at:string,end_date:string,ending_at:string,is_current:boolean,current:boolean>"
 TEAM = "struct<id:int,name:string,short_code:string,image_path:string,logo_path:string>"
@@ -96,7 +97,7 @@ def flatten_fixtures(raw: DataFrame) -> DataFrame:
     home, away = extract_scores(F.coalesce("x.scores", "x.score"))
     return parsed(raw, HEAD).select(
         "x.id", "x.league_id", "x.season_id", parse_dt(F.col("x.starting_at")).alias("starting_at"), "x.status", F.coalesce(first_true(F.col("x.status_code")), F.col("x.state.state")).alias("status_code"),
-        "x.home_team_id", "x.away_team_id", home.alias("home_score"), away.alias("away_score"), F.col("item").alias("extra"),
+        "x.home_team_id", "x.away_team_id", home.alias("home_score"), away.alias("away_score"), *(F.col(c).alias("extra") for c in ("item",) if c in raw.columns),
     )
 
 
@@ -211,15 +212,23 @@ def derive_fixture_sides(fixtures: DataFrame, participants: DataFrame) -> DataFr
     return fixtures.join(sides, "id", "left").withColumns(fill).select(*fixtures.columns)
 
 
+def stored_fixtures(raw: DataFrame, folder: str | None = None, schema: str = FIXTURE, text: bool = True) -> DataFrame:
+    """Items with an id, parsed once into ``folder`` (a scratch folder by default) as Parquet: ``x`` is what is there.
+
+    ``text`` keeps the items' text beside it, which is what fixtures have as ``extra``.
+    """
+    own = ["source", "line", "position", *(["item"] if text else [])]
+    flat = written(parsed(raw, schema).select(*own, "x.*"), folder or scratch_dir(raw.sparkSession, "parsed"))
+    return flat.select(*own, F.struct(*(c for c in flat.columns if c not in own)).alias("x"))
+
+
 def build_tables(raw: DataFrame, current: Tables | None = None, folder: str | None = None) -> Tables:
     """All tables of a landing folder of fixtures.
 
     The text is read and parsed once, into ``folder`` (a scratch folder by default) as Parquet with nested columns; each
     table then reads the columns it is made of. Nothing is cached, and a lost task reads its part again.
     """
-    own = ["source", "line", "position", "item"]
-    flat = written(parsed(raw, FIXTURE).select(*own, "x.*"), folder or scratch_dir(raw.sparkSession, "parsed"))
-    raw = flat.select(*own, F.struct(*(c for c in flat.columns if c not in own)).alias("x"))
+    raw = stored_fixtures(raw, folder)
     participants = flatten_participants(raw)
     teams = teams_from_participants(raw)
     return Tables(

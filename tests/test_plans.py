@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from footform.operators import odds, players, value
+from footform.plans.queries import QUERIES
 from footform.schemas import SCHEMAS, Tables
 from footform.sources import ingest, merge, sinks, store
 from footform.sources.folders import children, remove, scratch_dir
@@ -246,3 +247,10 @@ def test_the_last_detail_wins_across_items_of_a_fixture(spark):
     raw = spark.createDataFrame([("f", n, 0, json.dumps(x)) for n, x in enumerate(items)], "source string, line long, position int, item string")
     got = ingest.flatten_player_statistics(raw).collect()
     assert {(r.fixture_id, r.player_id, r.type_id, r.code, r.team_id, r.value) for r in got} == {(1, 7, 42, "c42", 5, 4), (1, 7, 52, "c52", 5, 5), (1, 8, 42, "c42", 5, 6), (2, 7, 42, "c42", 5, 7)} and len(got) == 4
+
+
+def test_sides_are_derived_from_fixtures_parsed_once(spark, sf_dir):
+    """Both the fixtures and their participants come from what was parsed, of which there are neither line-ups nor text."""
+    df = QUERIES["derive_fixture_sides"](spark, sf_dir)
+    text = whole_plan(spark, df)
+    assert "from_json(StructField(id," not in text and "collect_list" not in text and "lineups" not in text and "item" not in text
