@@ -218,7 +218,7 @@ def stored_fixtures(raw: DataFrame, folder: str | None = None, schema: str = FIX
     ``text`` keeps the items' text beside it, which is what fixtures have as ``extra``.
     """
     own = ["source", "line", "position", *(["item"] if text else [])]
-    flat = written(parsed(raw, schema).select(*own, "x.*"), folder or scratch_dir(raw.sparkSession, "parsed"))
+    flat = written(parsed(raw, schema).select(*own, "x.*"), folder or scratch_dir(raw.sparkSession, "parsed"), compression="zstd")
     return flat.select(*own, F.struct(*(c for c in flat.columns if c not in own)).alias("x"))
 
 

@@ -254,3 +254,12 @@ def test_sides_are_derived_from_fixtures_parsed_once(spark, sf_dir):
     df = QUERIES["derive_fixture_sides"](spark, sf_dir)
     text = whole_plan(spark, df)
     assert "from_json(StructField(id," not in text and "collect_list" not in text and "lineups" not in text and "item" not in text
+
+
+def test_parsed_fixtures_take_little_room(spark, sf_dir, tmp_path):
+    """Text and columns together take an eighth of the text at most."""
+    raw = fixture_payloads(spark, sf_dir)
+    ingest.build_tables(raw, folder=f"file://{tmp_path}/parsed")
+    taken = sum(p.stat().st_size for p in (tmp_path / "parsed").glob("*.parquet"))
+    assert 8 * taken < raw.agg(F.sum(F.octet_length("item"))).head()[0]
+    assert [r[0] for r in spark.read.parquet(f"file://{tmp_path}/parsed").agg(F.sum(F.xxhash64("item").cast("decimal(38,0)"))).collect()] == [r[0] for r in raw.agg(F.sum(F.xxhash64("item").cast("decimal(38,0)"))).collect()]
