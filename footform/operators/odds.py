@@ -91,21 +91,28 @@ def squad_name_map(t: Tables) -> DataFrame:
 
 #: Parts that the fixtures of the same teams are dealt into, so that no task gets all of them.
 DEALT = 32
+#: Fixtures of the same teams that each name is listed for at once.
+BLOCK = 128
 
 
 def fixture_squad_name_map(t: Tables, fixtures: DataFrame) -> DataFrame:
     """``fixture_id, folded, player_id`` by the names of both teams' players; the smallest id where names clash.
 
     Names are reduced once for each set of teams that meet; what grows with fixtures times names is the result alone.
+    Its rows come by blocks of fixtures, and in a block by name, so that each column repeats itself: as Parquet they take
+    a fraction of what they take fixture by fixture.
     """
     sides = fixtures.select(F.col("id").alias("fixture_id"), F.explode(F.array("home_team_id", "away_team_id")).alias("team_id"))
     sides = sides.groupBy("fixture_id").agg(F.array_sort(F.collect_set("team_id")).alias("teams"))
     met = sides.select("teams").distinct().select("teams", F.explode("teams").alias("team_id"))
     names = met.join(squad_name_map(t), "team_id").groupBy("teams", "folded").agg(F.min("player_id").alias("player_id"))
     copies = names.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
-    # A merge streams the fixtures; a broadcast would leave the result to the few tasks that so small a table of them has.
-    dealt = sides.withColumn("part", F.pmod(F.hash("fixture_id"), F.lit(DEALT))).join(copies.hint("merge"), ["teams", "part"])
-    return dealt.select("fixture_id", "folded", "player_id")
+    dealt = sides.withColumn("part", F.pmod(F.hash("fixture_id"), F.lit(DEALT)))
+    place = F.row_number().over(Window.partitionBy("teams", "part").orderBy("fixture_id"))
+    blocks = dealt.withColumn("block", F.floor((place - 1) / BLOCK)).groupBy("teams", "part", "block").agg(F.collect_list(F.struct("fixture_id")).alias("block_fixtures"))
+    # A merge streams the blocks; a broadcast would leave the result to the few tasks that so small a table of them has.
+    listed = blocks.join(copies.hint("merge"), ["teams", "part"]).select(F.explode("block_fixtures").alias("f"), "folded", "player_id")
+    return listed.select("f.fixture_id", "folded", "player_id")
 
 
 def named_participants(t: Tables, names: DataFrame, fixtures: DataFrame) -> DataFrame:

@@ -263,3 +263,16 @@ def test_parsed_fixtures_take_little_room(spark, sf_dir, tmp_path):
     taken = sum(p.stat().st_size for p in (tmp_path / "parsed").glob("*.parquet"))
     assert 8 * taken < raw.agg(F.sum(F.octet_length("item"))).head()[0]
     assert [r[0] for r in spark.read.parquet(f"file://{tmp_path}/parsed").agg(F.sum(F.xxhash64("item").cast("decimal(38,0)"))).collect()] == [r[0] for r in raw.agg(F.sum(F.xxhash64("item").cast("decimal(38,0)"))).collect()]
+
+
+def test_names_of_both_squads_for_every_fixture_take_little_room(spark, tmp_path):
+    """Whole whatever blocks the fixtures fall into, and a quarter of a byte a row as Parquet."""
+    fixtures = spark.range(1, 9001).selectExpr("id * 7 as id", "cast(1 as int) home_team_id", "cast(if(id % 3 = 0, 3, 2) as int) away_team_id").unionByName(spark.createDataFrame([(None, 1, 2), (5, 1, None), (6, None, None), (8, 4, 1)], "id long, home_team_id int, away_team_id int"))
+    folk = spark.range(600).selectExpr("cast(id as int) id", "concat('p', id % 590) name", "cast(null as string) common_name", "cast(null as string) short_name", "cast(1 + id % 3 as int) team_id")
+    t = Tables(fixtures=fixtures, players=folk)
+    odds.fixture_squad_name_map(t, fixtures).write.parquet(f"{tmp_path}/out")
+    got = spark.read.parquet(f"{tmp_path}/out")
+    want = fixtures.selectExpr("id fixture_id", "explode(array_distinct(array(home_team_id, away_team_id))) team_id").join(odds.squad_name_map(t), "team_id").groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    taken = sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet"))
+    assert taken < got.count() / 4, (taken, got.count())
