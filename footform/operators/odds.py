@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -78,7 +79,8 @@ def fixture_player_name_map(t: Tables, fixtures: DataFrame) -> DataFrame:
     rows = t.fixture_players.join(ids, "fixture_id", "left_semi").select("fixture_id", "player_id", own.alias("own"))
     players = t.players.select(F.col("id").alias("player_id"), _aliases("name", "common_name", "short_name").alias("known"))
     named = rows.join(players, "player_id", "left").withColumn("aliases", F.concat(F.coalesce("known", F.array().cast("array<string>")), _aliases("own")))
-    return _alias_rows(named, "fixture_id", "player_id").groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
+    # Dealt by fixture: what needs a fixture's names together finds them so.
+    return _alias_rows(named, "fixture_id", "player_id").repartition("fixture_id").groupBy("fixture_id", "folded").agg(F.min("player_id").alias("player_id"))
 
 
 def squad_name_map(t: Tables) -> DataFrame:
@@ -115,27 +117,33 @@ def fixture_squad_name_map(t: Tables, fixtures: DataFrame) -> DataFrame:
     return listed.select("f.fixture_id", "folded", "player_id")
 
 
-def named_participants(t: Tables, names: DataFrame, fixtures: DataFrame) -> DataFrame:
+def as_it_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def named_participants(t: Tables, names: DataFrame, fixtures: DataFrame, lookup: Callable[[str, DataFrame], DataFrame] = as_it_is) -> DataFrame:
     """``names(fixture_id, name, ...)`` with ``team_id`` and ``player_id`` of those that a fixture knows by that name.
 
     A player is looked for in the fixture's line-ups, then among its teams' players; the smallest id where several have
     the name, the larger of two teams. Names are folded once for each player and team, and looked up by (team, name):
-    no fixture is ever joined with its whole squads.
+    no fixture is ever joined with its whole squads. ``lookup`` gets the names of teams and of squads by name and returns
+    them, as to be broadcast.
     """
     sides = fixtures.select(F.col("id").alias("fixture_id"), "home_team_id", "away_team_id")
-    out = names.withColumn("folded", fold_name("name")).join(sides, "fixture_id", "left")
-    teams, squads = team_aliases(t).withColumn("found", F.col("team_id")), squad_name_map(t).withColumnRenamed("player_id", "found")
+    # A fixture's line-ups are few names: they come with its teams, so that names are dealt by fixture once.
+    lineup = fixture_player_name_map(t, fixtures).groupBy("fixture_id").agg(F.map_from_entries(F.collect_list(F.struct("folded", "player_id"))).alias("lineup"))
+    known = sides.join(lineup, "fixture_id", "left")
+    out = names.withColumn("folded", fold_name("name")).join(known, "fixture_id", "left").withColumn("lineup_id", F.try_element_at("lineup", F.col("folded"))).drop("lineup")
+    teams, squads = lookup("teams", team_aliases(t).withColumn("found", F.col("team_id"))), lookup("squads", squad_name_map(t).withColumnRenamed("player_id", "found"))
     for side in ("home", "away"):
         for of, known in (("team", teams), ("squad", squads)):
             out = out.join(known.select(F.col("team_id").alias(f"{side}_team_id"), "folded", F.col("found").alias(f"{side}_{of}")), [f"{side}_team_id", "folded"], "left")
-    lineup = fixture_player_name_map(t, fixtures).withColumnRenamed("player_id", "lineup_id")
-    out = out.join(lineup, ["fixture_id", "folded"], "left")
     return out.select(*names.columns, F.greatest("home_team", "away_team").alias("team_id"), F.coalesce("lineup_id", F.least("home_squad", "away_squad")).alias("player_id"))
 
 
-def parse_outcomes(t: Tables, snapshots: DataFrame, fixtures: DataFrame) -> DataFrame:
+def parse_outcomes(t: Tables, snapshots: DataFrame, fixtures: DataFrame, lookup: Callable[[str, DataFrame], DataFrame] = as_it_is) -> DataFrame:
     """Outcomes of all snapshots with participants: players by line-up, then by squad; teams by the fixture's two names."""
-    named = named_participants(t, parsed_rows(snapshots), fixtures)
+    named = named_participants(t, parsed_rows(snapshots), fixtures, lookup)
     kind = F.coalesce("declared_type", F.when(F.col("team_id").isNotNull(), "team"))
     who = F.when(F.col("participant_type") == "player", F.col("player_id")).when(F.col("participant_type") == "team", F.col("team_id"))
     named = named.withColumn("participant_type", kind).withColumn("participant_id", who.cast("long"))
@@ -151,8 +159,9 @@ OUTCOME_KEY = ["fixture_id", "bookmaker_id", "market_key", "selection_key", "lin
 
 def latest_in_batch(outcomes: DataFrame) -> DataFrame:
     """One row a key within a batch: of the newest pull its last row; rows without a line all stay."""
-    lined = latest_wins(outcomes.filter("line is not null"), OUTCOME_KEY, [F.col("pulled_at").desc_nulls_last(), F.desc("place")])
-    return lined.unionByName(outcomes.filter("line is null"))
+    # Both kinds in one pass: a union of the two would read and parse all payloads for each.
+    newest = Window.partitionBy(*OUTCOME_KEY).orderBy(F.col("pulled_at").desc_nulls_last(), F.desc("place"))
+    return outcomes.withColumn("__rank", F.row_number().over(newest)).filter("__rank = 1 or line is null").drop("__rank")
 
 
 def upsert_outcomes(current: DataFrame, new: DataFrame) -> DataFrame:

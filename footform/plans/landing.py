@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs
 from ..operators import odds, quality, teams
 from ..sources import ingest, proxy, sinks
-from ..sources.folders import scratch_dir, written
+from ..sources.folders import children, cleaned, scratch_dir, written
 from ..streaming import odds_stream
 
 AS_OF = "2001-08-02 00:00:00"
@@ -137,10 +137,14 @@ def append_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed over the snapshots as files, two a micro-batch; the outcomes it leaves."""
+    """The feed over the snapshots as files, half of them a micro-batch; the outcomes it leaves."""
     t, folder = _some(proxy.tables(spark, sf_dir)), scratch_dir(spark, "stream")
-    t.odds_snapshots.repartition(4, "id").write.json(f"{folder}/in")
-    odds_stream.odds_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", t, files=2, once=True, every=2).awaitTermination()
+    t = replace(t, **{name: written(getattr(t, name), f"{folder}/{name}") for name in ("fixtures", "fixture_players")})
+    # Each task writes four files at most: however many write, there are four or more, and no rows are dealt for it.
+    with cleaned(spark):
+        t.odds_snapshots.withColumn("part", F.pmod(F.hash("id"), F.lit(4))).write.partitionBy("part").json(f"{folder}/in", compression="gzip")
+    files = sum(len(children(spark, f"{folder}/in/{part}")) for part in children(spark, f"{folder}/in") if "=" in part)
+    odds_stream.odds_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", t, files=(files + 1) // 2, once=True, every=2).awaitTermination()
     return odds_stream.current_outcomes(spark, f"{folder}/out").select("fixture_id", "market_key", "selection_key", "participant_type", "participant_id", "line", "price_decimal")
 
 

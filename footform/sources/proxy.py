@@ -93,11 +93,14 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 def snapshots(line: DataFrame, part: DataFrame) -> DataFrame:
     """Odds payloads, one for each order and ship date, with every line item as an offer on its player."""
-    offer = F.struct(
-        F.when(F.col("l_linestatus") == "F", 268).otherwise(267).alias("market_id"), F.concat_ws(" ", "p_name", "p_brand").alias("name"), F.concat(F.lit("Over "), (0.5 + F.col("l_linenumber") % 3).cast("string")).alias("label"),
-        F.round(1 + F.col("l_discount"), 2).cast("string").alias("value"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+    offer = lambda x: F.struct(
+        F.when(x["l_linestatus"] == "F", 268).otherwise(267).alias("market_id"), F.concat_ws(" ", x["p_name"], x["p_brand"]).alias("name"), F.concat(F.lit("Over "), (0.5 + x["l_linenumber"] % 3).cast("string")).alias("label"),
+        F.round(1 + x["l_discount"], 2).cast("string").alias("value"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
     )
-    rows = line.join(part, line["l_partkey"] == part["p_partkey"]).groupBy("l_orderkey", "l_shipdate").agg(F.array_sort(F.collect_list(offer)).alias("data"))
+    # Line items are gathered as they are, offers made after that.
+    own = F.struct("l_linestatus", "p_name", "p_brand", "l_linenumber", "l_discount")
+    gathered = line.join(part, line["l_partkey"] == part["p_partkey"]).groupBy("l_orderkey", "l_shipdate").agg(F.collect_list(own).alias("lines"))
+    rows = gathered.select("l_orderkey", "l_shipdate", F.array_sort(F.transform("lines", offer)).alias("data"))
     return rows.select(
         F.xxhash64("l_orderkey", "l_shipdate").alias("id"), F.col("l_orderkey").alias("fixture_id"), F.lit(2).alias("bookmaker_id"), F.col("l_shipdate").cast("timestamp").alias("pulled_at"), F.to_json(F.struct("data")).alias("raw")
     )

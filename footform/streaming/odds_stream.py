@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.odds import OUTCOME_KEY, latest_in_batch, parse_outcomes
 from ..schemas import SCHEMAS, Tables
-from ..sources.folders import children, remove
+from ..sources.folders import children, remove, scratch_dir, written
 
 OUTCOMES = SCHEMAS["odds_outcomes"] + ", pulled_at timestamp, place int"
 COLUMNS = [x.strip().split(" ")[0] for x in OUTCOMES.replace("decimal(10,2)", "d").replace("decimal(10,4)", "d").split(",")]
@@ -22,6 +22,7 @@ KEPT = ["participant_type", "participant_id"]  # once known they stay known
 ORDER = "struct<pulled_at: timestamp, epoch: int, place: int>"
 STATE = OUTCOMES + ", epoch int" + "".join(f", {c}_order {ORDER}" for c in KEPT)
 COMPACT_EVERY = 16
+FEW = 200_000  # names that a broadcast carries at most
 
 
 def read_snapshots(spark: SparkSession, path: str, late: str = "1 hour", files: int | None = None) -> DataFrame:
@@ -43,27 +44,41 @@ def newest_base(spark: SparkSession, target: str) -> int:
     return max(_numbers(spark, f"{target}/bases"), default=-1)
 
 
+def _few(names: DataFrame, folder: str) -> DataFrame:
+    """Names written down once; if they are few they are broadcast, so that offers stay where their fixture is."""
+    stored = written(names, folder)
+    return F.broadcast(stored) if stored.count() <= FEW else stored
+
+
 def write_epoch(snapshots: DataFrame, epoch: int, target: str, t: Tables, every: int = COMPACT_EVERY) -> None:
     """The outcomes of a micro-batch, players and teams resolved by ``t``, as partition ``epoch`` of ``target``."""
     spark = snapshots.sparkSession
     base = newest_base(spark, target)
     if epoch <= base:
         return  # it runs again, and its rows are in the base
-    fixtures = t.fixtures.join(snapshots.select(F.col("fixture_id").alias("id")).distinct(), "id", "left_semi")
-    latest_in_batch(parse_outcomes(t, snapshots, fixtures)).select(*COLUMNS).write.mode("overwrite").parquet(f"{target}/epochs/epoch={epoch}")
+    folder = scratch_dir(spark, "snapshots")
+    try:
+        # Read and deduplicated once: several steps below need them.
+        snapshots = written(snapshots, f"{folder}/rows", compression="zstd")
+        if snapshots.isEmpty():
+            return  # a micro-batch that only moves the watermark
+        fixtures = t.fixtures.join(snapshots.select(F.col("fixture_id").alias("id")).distinct(), "id", "left_semi")
+        outcomes = parse_outcomes(t, snapshots, fixtures, lambda name, df: _few(df, f"{folder}/{name}"))
+        written(latest_in_batch(outcomes).select(*COLUMNS), f"{target}/epochs/epoch={epoch}")
+    finally:
+        remove(spark, folder)
     if epoch - base >= every:
         compact(spark, target)
 
 
 def _rows(spark: SparkSession, target: str) -> DataFrame:
-    """All rows that count: the newest base's and those of later epochs, each with its place in time."""
+    """All rows that count: the newest base's, which say since when they know what is kept, and those of later epochs."""
     base = newest_base(spark, target)
     later = [e for e in _numbers(spark, f"{target}/epochs") if e > base]
     rows = spark.createDataFrame([], STATE)
     if later:
         new = spark.read.schema(OUTCOMES + ", epoch int").option("basePath", f"{target}/epochs").parquet(*(f"{target}/epochs/epoch={e}" for e in later))
-        order = F.struct("pulled_at", "epoch", "place")
-        rows = new.select("*", *(F.when(F.col(c).isNotNull(), order).cast(ORDER).alias(f"{c}_order") for c in KEPT))
+        rows = new.select("*", *(F.lit(None).cast(ORDER).alias(f"{c}_order") for c in KEPT))
     if base >= 0:
         old = spark.read.schema(STATE).parquet(f"{target}/bases/upto={base}")
         rows = rows.unionByName(old) if later else old
@@ -74,11 +89,14 @@ def _newest(rows: DataFrame) -> DataFrame:
     """One row a key; rows without a line equal nothing and all stay."""
     order = F.struct("pulled_at", "epoch", "place")
     newest = [c for c in rows.columns if c not in OUTCOME_KEY and c not in KEPT and not c.endswith("_order")]
+    since = {f"{c}_order": F.coalesce(f"{c}_order", F.when(F.col(c).isNotNull(), order).cast(ORDER)) for c in KEPT}
     known: list[Column] = []
     for c in KEPT:
         known += [F.max_by(c, f"{c}_order").alias(c), F.max(f"{c}_order").alias(f"{c}_order")]
-    one = rows.filter("line is not null").groupBy(*OUTCOME_KEY).agg(F.max_by(F.struct(*newest), order).alias("row"), *known).select(*OUTCOME_KEY, "row.*", *KEPT, *(f"{c}_order" for c in KEPT))
-    return one.unionByName(rows.filter("line is null"))
+    # Rows go their way as they are; the aggregate's partial results are wider, and no smaller in number.
+    lined = rows.filter("line is not null").repartition("fixture_id").withColumns(since)
+    one = lined.groupBy(*OUTCOME_KEY).agg(F.max_by(F.struct(*newest), order).alias("row"), *known).select(*OUTCOME_KEY, "row.*", *KEPT, *since)
+    return one.unionByName(rows.filter("line is null").withColumns(since))
 
 
 def compact(spark: SparkSession, target: str) -> None:
@@ -88,7 +106,7 @@ def compact(spark: SparkSession, target: str) -> None:
     upto = max(epochs, default=-1)
     if upto <= base:
         return
-    _newest(_rows(spark, target)).select(*spark.createDataFrame([], STATE).columns).write.mode("overwrite").parquet(f"{target}/bases/upto={upto}")
+    written(_newest(_rows(spark, target)).select(*spark.createDataFrame([], STATE).columns), f"{target}/bases/upto={upto}")
     for e in epochs:
         if e <= base:
             remove(spark, f"{target}/epochs/epoch={e}")
@@ -102,7 +120,10 @@ def current_outcomes(spark: SparkSession, target: str) -> DataFrame:
 
     A participant once known stays known where a newer row lacks it. Rows without a line equal nothing and all stay.
     """
-    return _newest(_rows(spark, target)).select([c for c in COLUMNS if c != "place"])
+    base = newest_base(spark, target)
+    alone = base >= 0 and not any(e > base for e in _numbers(spark, f"{target}/epochs"))
+    rows = _rows(spark, target)
+    return (rows if alone else _newest(rows)).select([c for c in COLUMNS if c != "place"])  # a base has a key once
 
 
 def odds_stream(spark: SparkSession, source: str, target: str, checkpoint: str, t: Tables, late: str = "1 hour", files: int | None = None, once: bool = False, every: int = COMPACT_EVERY) -> StreamingQuery:

@@ -276,3 +276,44 @@ def test_names_of_both_squads_for_every_fixture_take_little_room(spark, tmp_path
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     taken = sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet"))
     assert taken < got.count() / 4, (taken, got.count())
+
+
+def test_a_batch_of_the_feed_is_parsed_once_and_dealt_by_fixture_once(spark, sf_dir, tmp_path):
+    t = tables(spark, sf_dir)
+    stored = spark.createDataFrame(t.odds_snapshots.limit(50).collect(), t.odds_snapshots.schema)
+    df = odds.latest_in_batch(odds.parse_outcomes(t, stored, t.fixtures, lambda name, names: F.broadcast(names)))
+    assert whole_plan(spark, df).count("from_json(StructField(data,ArrayType") == 1
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    top = next(i for i, line in enumerate(lines) if "SortMergeJoin [fixture_id" in line or "BroadcastHashJoin [fixture_id" in line)
+    assert not any("Exchange hashpartitioning" in line for line in lines[:top] if "folded" not in line) or "BroadcastHashJoin [fixture_id" in lines[top]
+
+
+def test_a_batch_without_snapshots_adds_no_epoch_and_a_base_alone_is_read_as_it_is(spark, tmp_path):
+    """Nor does it leave its copy of the snapshots."""
+    t0, target = datetime(2024, 1, 1), f"file://{tmp_path}/out"
+    folk = spark.createDataFrame([(9, "A", None, None, 5)], "id int, name string, common_name string, short_name string, team_id int")
+    t = Tables(fixtures=spark.createDataFrame([(1, 5, 6)], "id long, home_team_id int, away_team_id int"), teams=spark.createDataFrame([], "id int, name string, short_code string"), players=folk, fixture_players=spark.createDataFrame([], "fixture_id long, player_id int"))
+    offers = '{"data": [{"market_id": 268, "name": "A", "label": "1.5", "value": "2.0"}, {"market_id": 268, "name": "A", "label": "none", "value": "3.0"}, {"market_id": 268, "name": "A", "label": "none", "value": "4.0"}]}'
+    for epoch, rows in enumerate([[(0, 1, 2, t0, offers)], [(1, 1, 2, t0 + timedelta(hours=1), offers.replace("2.0", "5.0"))], []]):
+        odds_stream.write_epoch(spark.createDataFrame(rows, SCHEMAS["odds_snapshots"]), epoch, target, t, every=2)
+    assert set(children(spark, f"{target}/epochs")) == {"epoch=0", "epoch=1"} and set(children(spark, f"{target}/bases")) == {"upto=1"}
+    df = odds_stream.current_outcomes(spark, target)
+    assert "Exchange" not in plan(df)
+    got = sorted((None if r.line is None else float(r.line), float(r.price_decimal), r.participant_id) for r in df.collect() if r.line is not None)
+    assert got == [(1.5, 5.0, 9)] and sorted(float(r.price_decimal) for r in df.collect() if r.line is None) == [3.0, 3.0, 4.0, 4.0]
+
+
+def test_the_feed_and_its_shuffles_take_little_room(spark, sf_dir, tmp_path):
+    """Files of the feed are compressed, no rows are dealt to write them, and what was written leaves no shuffle files."""
+    from footform.sources.folders import CLEANUP_KEY, shared_dir, written
+
+    before = set(children(spark, shared_dir(spark)))
+    QUERIES["odds_stream"](spark, sf_dir)
+    folder = next(n for n in set(children(spark, shared_dir(spark))) - before if n.startswith("stream-"))
+    parts = [p for p in children(spark, f"{shared_dir(spark)}/{folder}/in") if "=" in p]
+    files = [f for p in parts for f in children(spark, f"{shared_dir(spark)}/{folder}/in/{p}")]
+    assert len(parts) == 4 and len(files) >= 4 and all(f.endswith(".json.gz") for f in files)
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    count = held()
+    written(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), f"file://{tmp_path}/t")
+    assert held() <= count and spark.conf.get(CLEANUP_KEY, "false") == "false"
